@@ -119,7 +119,7 @@ def s10(spark, d):
     fees = sinks.register_rows(
         spark, [("trial", 0.0), ("basic", 5.0), ("standard", 12.5), ("premium", 25.0)],
         "plan string, list_fee double", name)
-    subs = views.customers(spark, d).select("plan")
+    subs = views.members(spark, d).select("plan")
     return subs.join(fees, "plan").groupBy("plan").agg(
         F.count("*").alias("n"), F.min("list_fee").alias("list_fee"))
 
@@ -197,7 +197,7 @@ CAST(plan = 'premium' AS INTEGER) AS is_premium,
 CAST(days_active < 10 AS INTEGER) AS low_activity
 FROM subscribers s LEFT JOIN viewing USING (custkey)""")
 def p5(spark, d):
-    df = views.customers(spark, d).join(
+    df = views.members(spark, d).join(
         views.viewing(spark, d).select("custkey", "days_active"), "custkey", "left")
     return df.select("subscriber_id", C.flag(F.col("plan") == "trial").alias("is_trial"),
                      C.flag(F.col("plan") == "premium").alias("is_premium"),
@@ -221,7 +221,7 @@ WHEN {x} >= 100 THEN 'Silver' ELSE 'Bronze' END"""
        + f"""SELECT c.subscriber_id, {RISK_SQL.format(p='p_rf')} AS risk_segment
 FROM customers c LEFT JOIN scores USING (custkey)""")
 def p6(spark, d):
-    df = views.customers(spark, d).join(views.scores(spark, d).select("custkey", "p_rf"),
+    df = views.members(spark, d).join(views.scores(spark, d).select("custkey", "p_rf"),
                                         "custkey", "left")
     return df.select("subscriber_id", risk_segment(F.col("p_rf")).alias("risk_segment"))
 
@@ -238,7 +238,7 @@ def p7(spark, d):
 
 @query("p8_lower_bound", Q.with_views(Q.SUBSCRIBERS, Q.VIEWING) + f"""
 SELECT s.subscriber_id,
-{rnd("CASE WHEN avg_daily_hours IS NOT NULL THEN greatest(1, tenure_months + 12 * avg_daily_hours / 3 * completion_rate) END", 4)} AS months,
+{rnd("CASE WHEN tenure_months + avg_daily_hours * completion_rate IS NOT NULL THEN greatest(1, tenure_months + 12 * avg_daily_hours / 3 * completion_rate) END", 4)} AS months,
 {rnd("CASE WHEN support_tickets IS NOT NULL THEN greatest(0.5, 1 - 0.1 * support_tickets) END", 4)} AS factor
 FROM subscribers s LEFT JOIN viewing USING (custkey) LEFT JOIN support USING (custkey)""")
 def p8(spark, d):
@@ -251,13 +251,13 @@ def p8(spark, d):
 
 @query("p9_equality_filter", "SELECT c_custkey AS custkey FROM customer WHERE c_mktsegment = 'HOUSEHOLD'")
 def p9(spark, d):
-    return views.customers(spark, d).filter(F.col("plan") == "trial").select("custkey")
+    return views.members(spark, d).filter(F.col("plan") == "trial").select("custkey")
 
 
 @query("p10_membership_filter", """SELECT c_custkey AS custkey, c_mktsegment AS segment FROM customer
 WHERE c_mktsegment IN ('BUILDING', 'FURNITURE', 'AUTOMOBILE')""")
 def p10(spark, d):
-    return (views.customers(spark, d).filter(F.col("plan").isin("basic", "standard"))
+    return (views.members(spark, d).filter(F.col("plan").isin("basic", "standard"))
             .select("custkey", "segment"))
 
 
@@ -266,7 +266,7 @@ SELECT s.subscriber_id, {rnd('total_value', 4)} AS prediction
 FROM subscribers s JOIN viewing USING (custkey)""")
 def p11(spark, d):
     v = views.viewing(spark, d).select("custkey", "total_value")
-    df = views.customers(spark, d).join(v, "custkey", "left").withColumn(
+    df = views.members(spark, d).join(v, "custkey", "left").withColumn(
         "prediction", F.coalesce(F.col("total_value"), F.lit(float("nan"))))
     return df.filter(~F.isnan("prediction")).select(
         "subscriber_id", C.half_up(F.col("prediction"), 4).alias("prediction"))
@@ -274,7 +274,7 @@ def p11(spark, d):
 
 @query("p12_substring_number", "SELECT c_custkey AS custkey, c_custkey AS user_id FROM customer")
 def p12(spark, d):
-    return views.customers(spark, d).select(
+    return views.members(spark, d).select(
         "custkey", C.member_number(F.col("subscriber_id")).alias("user_id"))
 
 

@@ -22,7 +22,7 @@ SELECT subscriber_id, plan, days_active, {rnd('completion_rate', 6)} AS completi
 FROM customers LEFT JOIN viewing USING (custkey)""")
 def j1(spark, d):
     v = views.viewing(spark, d)
-    return (views.customers(spark, d).join(v, "custkey", "left")
+    return (views.members(spark, d).join(v, "custkey", "left")
             .select("subscriber_id", "plan", "days_active",
                     C.half_up(F.col("completion_rate"), 6).alias("completion_rate")))
 
@@ -50,7 +50,7 @@ def j3(spark, d):
     risk = views.scores(spark, d).select("custkey", F.col("p_rf").alias("churn_probability"))
     value = views.order_features(spark, d).select(
         "custkey", (F.col("total_spend") / 4000).alias("value"))
-    wide = J.left_chain(views.customers(spark, d).select("custkey", "subscriber_id", "plan"),
+    wide = J.left_chain(views.members(spark, d).select("custkey", "subscriber_id", "plan"),
                         [risk, value], "custkey")
     return wide.select("subscriber_id", "plan", "churn_probability",
                        risk_segment(F.col("churn_probability")).alias("risk_segment"),
@@ -65,7 +65,7 @@ def j4(spark, d):
     scored = views.scores(spark, d).select(
         "custkey", "plan", F.col("p_gbm").alias("prob_churn"),
         C.threshold_label(F.col("p_gbm"), 0.5, "Churn", "Active").alias("prediction"))
-    return J.join_back(views.customers(spark, d).select("custkey", "plan", "segment"),
+    return J.join_back(views.members(spark, d).select("custkey", "plan", "segment"),
                        scored, "custkey")
 
 
@@ -132,14 +132,14 @@ def j8(spark, d):
 
 @query("a1_group_count", Q.with_views(Q.CUSTOMERS) + "SELECT plan, count(*) AS n FROM customers GROUP BY 1")
 def a1(spark, d):
-    return A.group_summary(views.customers(spark, d), "plan")
+    return A.group_summary(views.members(spark, d), "plan")
 
 
 @query("a2_group_mean", Q.with_views(Q.SCORES) + f"""
 SELECT {RISK_SQL.format(p='p_rf')} AS risk_segment, count(*) AS n, {rnd('avg(p_rf)', 6)} AS avg_prob
 FROM customers LEFT JOIN scores USING (custkey) GROUP BY 1""")
 def a2(spark, d):
-    df = views.customers(spark, d).join(views.scores(spark, d).select("custkey", "p_rf"),
+    df = views.members(spark, d).join(views.scores(spark, d).select("custkey", "p_rf"),
                                         "custkey", "left")
     return A.group_summary(df.withColumn("risk_segment", risk_segment(F.col("p_rf"))),
                            "risk_segment", {"avg_prob": "p_rf"}, {"avg_prob": 6})

@@ -66,17 +66,23 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     C.flag(F.col("last_day_any") <= F.col("cutoff")).alias("churned")))
 
 
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with id, plan and balance; no place names, so no joins."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("custkey"),
+        C.member_id(F.col("c_custkey")).alias("subscriber_id"),
+        C.recode(F.col("c_mktsegment"), PLAN_OF_SEGMENT).alias("plan"),
+        F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"),
+        F.col("c_nationkey").alias("nationkey"))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return (table(spark, sf_dir, "customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return (members(spark, sf_dir)
+            .join(nation, F.col("nationkey") == F.col("n_nationkey"), "left")
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-            .select(F.col("c_custkey").alias("custkey"),
-                    C.member_id(F.col("c_custkey")).alias("subscriber_id"),
-                    C.recode(F.col("c_mktsegment"), PLAN_OF_SEGMENT).alias("plan"),
-                    F.col("c_mktsegment").alias("segment"),
-                    F.col("c_acctbal").alias("balance"),
+            .select("custkey", "subscriber_id", "plan", "segment", "balance",
                     F.col("n_name").alias("country"), F.col("r_name").alias("region")))
 
 
@@ -194,7 +200,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five written logistic scores (rounded to four digits) with the churn label."""
     base = (order_features(spark, sf_dir).filter(F.col("n_orders") > 0)
-            .join(customers(spark, sf_dir).select("custkey", "subscriber_id", "plan"), "custkey"))
+            .join(members(spark, sf_dir).select("custkey", "subscriber_id", "plan"), "custkey"))
     parts = [F.col("recency_days") / 365.0, F.col("n_orders") / 10.0,
              F.col("monthly_fee_usd") / 25.0, F.col("tenure_months") / 60.0]
     out = {}
