@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
@@ -101,6 +101,12 @@ def best_threshold(sweep: DataFrame, metric: str = "f1") -> DataFrame:
     return arg_best(sweep, metric, "pct")
 
 
+def mark_best(sweep: DataFrame, metric: str = "f1") -> DataFrame:
+    """Add is_best to a sweep. The window covers the thresholds only, not the scored rows."""
+    order = Window.partitionBy().orderBy(F.desc_nulls_last(metric), "pct")
+    return sweep.withColumn("is_best", F.row_number().over(order) == 1)
+
+
 def regression_errors(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     e = a - p

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
+from propensity.session import keep
 
 RANGE = "__range"
 
@@ -43,10 +44,11 @@ def running_totals(df: DataFrame, order: str, values: Sequence[str], by: Sequenc
     """Add cum_<v> (up to and with this row) and all_<v> (whole group) for each value.
 
     `order` must be unique within `by`: aggregate equal order values first. Rows with a
-    null or NaN order value are left out, as no position is defined for them.
+    null or NaN order value are left out, as no position is defined for them. The rows are
+    written once, so finding the ranges does not compute the input a second time.
     """
     by = list(by)
-    valid = df.filter(F.col(order).isNotNull() & ~F.isnan(F.col(order).cast("double")))
+    valid = keep(df.filter(F.col(order).isNotNull() & ~F.isnan(F.col(order).cast("double"))))
     cut = with_range(valid, order, ranges)
     side = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     per_range = cut.groupBy(*by, RANGE).agg(*[F.sum(v).alias(v) for v in values])
@@ -136,3 +138,13 @@ def arg_best(df: DataFrame, metric: str, index: str, largest: bool = True) -> Da
     sign = F.col(metric) if largest else -F.col(metric)
     row = F.max_by(F.struct(*df.columns), F.struct(sign, -F.col(index)))
     return df.filter(F.col(metric).isNotNull()).agg(row.alias("__row")).select("__row.*")
+
+
+def arg_extremes(df: DataFrame, metric: str, index: str) -> DataFrame:
+    """The best and the worst row (`side` max and min) in one pass; lowest index on ties."""
+    row = F.struct(*df.columns)
+    hi = F.max_by(row, F.struct(F.col(metric), -F.col(index)))
+    lo = F.min_by(row, F.struct(F.col(metric), F.col(index)))
+    both = df.filter(F.col(metric).isNotNull()).agg(hi.alias("hi"), lo.alias("lo"))
+    return both.select(F.inline(F.array(
+        F.struct(F.lit("max").alias("side"), "hi.*"), F.struct(F.lit("min").alias("side"), "lo.*"))))

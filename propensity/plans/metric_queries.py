@@ -93,8 +93,7 @@ SELECT pct, tp, fp, tn, fn, {rnd('f1', 6)} AS f1, pct = (SELECT pct FROM rated W
  ORDER BY f1 DESC, pct LIMIT 1) AS is_best FROM rated""")
 def e7(spark, d):
     sweep = M.threshold_sweep(views.scores(spark, d), "label", "p_gbm", M.grid(*V.SWEEP_FINE))
-    best = M.best_threshold(sweep).select("pct").scalar()
-    out = sweep.withColumn("is_best", F.col("pct") == best).drop("precision", "recall")
+    out = M.mark_best(sweep).drop("precision", "recall")
     return rounded(out, ["f1"])
 
 

@@ -105,9 +105,8 @@ UNION ALL SELECT 'min', pct, {rnd('f1', 6)} FROM
  (SELECT * FROM rated WHERE f1 IS NOT NULL ORDER BY f1, pct LIMIT 1)""")
 def o4(spark, d):
     sweep = M.threshold_sweep(views.scores(spark, d), "label", "p_rf", M.grid(*V.SWEEP_WIDE))
-    hi = ordered.arg_best(sweep, "f1", "pct").withColumn("side", F.lit("max"))
-    lo = ordered.arg_best(sweep, "f1", "pct", largest=False).withColumn("side", F.lit("min"))
-    return hi.unionByName(lo).select("side", "pct", C.half_up(F.col("f1"), 6).alias("f1"))
+    return ordered.arg_extremes(sweep, "f1", "pct").select(
+        "side", "pct", C.half_up(F.col("f1"), 6).alias("f1"))
 
 
 # ---- set operations ------------------------------------------------------------------
