@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
 from propensity.functions import fixed_values as V
+from propensity.operators.features import charge_columns
 from propensity.plans import view_sql as Q
 from propensity.plans.registry import query, rnd
 from propensity.session import new_path
@@ -162,17 +163,6 @@ def p3(spark, d):
     return lines.select(*C.numeric_columns(lines))
 
 
-def charge_features(df):
-    """Derived charge columns of the churn table."""
-    tenure, total, monthly = F.col("tenure"), F.col("TotalCharges"), F.col("MonthlyCharges")
-    return df.withColumns({
-        "tenure_sq": tenure * tenure,
-        "avg_charges": C.per_positive(total, tenure),
-        "high_value": C.flag(monthly > V.HIGH_VALUE_CHARGES),
-        "charge_ratio": C.per_positive(monthly, total),
-    })
-
-
 @query("p4_derived_columns", Q.with_views(Q.CHURN, Q.VIEWING) + f"""
 SELECT "CustomerID", tenure * tenure AS tenure_sq,
 {rnd('"TotalCharges" / CASE WHEN tenure > 0 THEN tenure ELSE 1 END', 4)} AS avg_charges,
@@ -181,7 +171,7 @@ CAST("MonthlyCharges" > 70 AS INTEGER) AS high_value,
 {rnd('v.avg_daily_hours / 3 * v.completion_rate', 4)} AS engagement_score
 FROM churn LEFT JOIN viewing v ON v.custkey = "CustomerID\"""")
 def p4(spark, d):
-    df = charge_features(views.churn(spark, d))
+    df = charge_columns(views.churn(spark, d))
     v = views.viewing(spark, d).select(
         F.col("custkey").alias("CustomerID"),
         (F.col("avg_daily_hours") / 3 * F.col("completion_rate")).alias("engagement_score"))
