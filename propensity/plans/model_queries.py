@@ -81,12 +81,15 @@ def _residual_steps(cols: list[str]) -> str:
     return ", ".join(views_sql)
 
 
+_LAST = f"x{len(LS_COLS) - 1}"
+
+
 @query("m4_linear_regression", Q.with_views(
     Q.ORDER_FEATURES, "base AS (SELECT * FROM order_features WHERE n_orders > 0)",
-    _residual_steps(LS_COLS)) + f""", f AS (SELECT custkey, avg(total_spend) OVER () AS m, """ + ", ".join(
-        f"x3.c{i} AS c{i}, covar_samp(total_spend, x3.c{i}) OVER () / var_samp(x3.c{i}) OVER () AS b{i}"
-        for i in range(len(LS_COLS))) + f""" FROM base JOIN x3 USING (custkey))
-SELECT custkey, {rnd('m + b0 * c0 + b1 * c1 + b2 * c2', 2)} AS prediction FROM f""".replace("x3", f"x{len(LS_COLS) - 1}"))
+    _residual_steps(LS_COLS), "f AS (SELECT custkey, avg(total_spend) OVER () AS m, " + ", ".join(
+        f"{_LAST}.c{i}, covar_samp(total_spend, {_LAST}.c{i}) OVER () / var_samp({_LAST}.c{i}) OVER () AS b{i}"
+        for i in range(len(LS_COLS))) + f" FROM base JOIN {_LAST} USING (custkey))") + f"""
+SELECT custkey, {rnd('m + ' + ' + '.join(f'b{i} * c{i}' for i in range(len(LS_COLS))), 2)} AS prediction FROM f""")
 def m4(spark, d):
     base = keep(views.order_features(spark, d).filter(F.col("n_orders") > 0))
     fit = linear.least_squares(base, "total_spend", LS_COLS)
