@@ -29,7 +29,7 @@ def node_table(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
         "tree", F.col("n.id").alias("node"), F.col("n.leftChild").alias("left"),
         F.col("n.rightChild").alias("right"), (F.col("n.leftChild") < 0).alias("is_leaf"),
         F.col("n.split.featureIndex").alias("feature_index"),
-        F.col("n.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("n.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         F.col("n.gain").alias("gain"), F.col("n.impurity").alias("impurity"),
         F.col("n.rawCount").alias("rows"), F.col("n.prediction").alias("prediction"),
         F.col("n.impurityStats").alias("stats"))

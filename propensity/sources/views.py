@@ -58,7 +58,7 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.sum(F.when(seen, F.col("o_totalprice"))).alias("total_spend"),
                  F.max_by(F.col("o_orderpriority"),
                           F.when(seen, F.struct("day", "o_orderkey"))).alias("last_priority"))
-            .select("custkey", "n_orders", "total_spend", "last_priority",
+            .select("custkey", "n_orders", "total_spend", "last_priority", "last_day",
                     (F.col("total_spend") / F.col("n_orders") / 10000).alias("monthly_fee_usd"),
                     F.floor(F.date_diff("cutoff", "first_day") / 30).cast("int")
                     .alias("tenure_months"),
@@ -87,7 +87,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feats = order_features(spark, sf_dir).drop("churned")
+    feats = order_features(spark, sf_dir).drop("churned", "last_day")
     return customers(spark, sf_dir).join(feats, "custkey", "left")
 
 
