@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
 from propensity.operators.ordered import arg_best, running_totals
+from propensity.session import keep
 
 
 def confusion(df: DataFrame, label: str, predicted: Column, by: Sequence[str] = ()) -> DataFrame:
@@ -49,14 +50,18 @@ def _counts(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFra
                  F.count_if(F.col(label) == 0).alias("neg")))
 
 
-def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve; equal scores count one half."""
-    run = running_totals(_counts(df, label, score, by), "score", ["pos", "neg"], by)
+def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    run = running_totals(counts, "score", ["pos", "neg"], by)
     wins = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2))
     pairs = (F.max("all_pos") * F.max("all_neg")).cast("double")
     return run.groupBy(*by).agg(F.try_divide(wins, pairs).alias("auc"))
 
 
+def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve; equal scores count one half."""
+    return _auc(_counts(df, label, score, by), by)
+
+
 def curve_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """ROC and precision-recall points, one per distinct score, highest score first."""
     run = running_totals(_counts(df, label, score, by), "score", ["pos", "neg"], by,
@@ -132,6 +137,13 @@ def class_errors(df: DataFrame, label: str, predicted: Column) -> DataFrame:
 
 def score_table(df: DataFrame, label: str, score: str, threshold: float,
                 by: Sequence[str]) -> DataFrame:
-    """AUC and F1 side by side for each group (usually the model)."""
-    cells = rates(confusion(df, label, F.col(score) >= threshold, by), ["f1", "accuracy"])
-    return auc_roc(df, label, score, by).join(cells.select(*by, "f1", "accuracy"), list(by))
+    """AUC, F1 and accuracy side by side for each group (usually the model).
+
+    Both come from one table of counts per distinct score.
+    """
+    counts = keep(_counts(df, label, score, by))
+    hit = F.col("score") >= threshold
+    part = lambda c, cond: F.sum(F.when(cond, F.col(c)).otherwise(0))
+    cells = counts.groupBy(*by).agg(part("pos", hit).alias("tp"), part("neg", hit).alias("fp"),
+                                    part("neg", ~hit).alias("tn"), part("pos", ~hit).alias("fn"))
+    return _auc(counts, by).join(rates(cells, ["f1", "accuracy"]).select(*by, "f1", "accuracy"), list(by))

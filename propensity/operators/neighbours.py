@@ -19,16 +19,17 @@ from propensity.operators.ordered import top_n
 from propensity.session import keep
 
 MAX_PIVOTS = 4096  # pivots go to every task: at most this many vectors
-BLOCK = 2048  # rows of a distance block inside a task
+BLOCK = 256  # rows of a distance block inside a task
+WIDTH = 1024  # columns of it
 SLACK = 1e-9  # relative room for rounding in the bounds
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances, one row per row of a."""
     out = np.empty((len(a), len(b)))
-    for j in range(0, len(b), BLOCK):
-        part = b[j:j + BLOCK]
-        out[:, j:j + BLOCK] = np.sqrt(((a[:, None, :] - part[None, :, :]) ** 2).sum(axis=2))
+    for j in range(0, len(b), WIDTH):
+        part = b[j:j + WIDTH]
+        out[:, j:j + WIDTH] = np.sqrt(((a[:, None, :] - part[None, :, :]) ** 2).sum(axis=2))
     return out
 
 
@@ -77,26 +78,24 @@ def nearest(points: DataFrame, k: int, pivots: int | None = None) -> DataFrame:
     near = np.full((len(centre), k + 1), np.inf)
     for cell, reach, rank in close.select("cell", "reach", "rank").collect():
         near[cell, rank - 1] = reach
-    apart = distances(centre, centre)
     enough = np.empty(len(centre))
     for i in range(len(centre)):
-        upper = np.sort((apart[i][:, None] + near).ravel())
-        enough[i] = radius[i] + upper[min(k, len(upper) - 1)]
-    bounds = points.sparkSession.sparkContext.broadcast(
-        (radius, enough * (1 + SLACK) + SLACK, apart))
+        upper = (distances(centre[i:i + 1], centre)[0][:, None] + near).ravel()
+        enough[i] = radius[i] + np.partition(upper, min(k, len(upper) - 1))[min(k, len(upper) - 1)]
+    bounds = points.sparkSession.sparkContext.broadcast((radius, enough * (1 + SLACK) + SLACK))
 
     @F.pandas_udf("array<int>")
     def reached(v: pd.Series, cell: pd.Series) -> pd.Series:
-        rad, need, gap = bounds.value
+        rad, need = bounds.value
         x, own = np.stack(v.to_numpy()), cell.to_numpy()
         out = []
         for i in range(0, len(x), BLOCK):
             d = distances(x[i:i + BLOCK], handle.value)
             mine = own[i:i + BLOCK]
             home = d[np.arange(len(mine)), mine][:, None]
+            gap = distances(handle.value[mine], handle.value)
             with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d ** 2 - home ** 2) / (2 * gap[mine])
-            plane = np.where(gap[mine] > 0, plane, 0.0)
+                plane = np.where(gap > 0, (d ** 2 - home ** 2) / (2 * gap), 0.0)
             hit = (d - rad <= need) & (plane <= need)
             hit[np.arange(len(mine)), mine] = True
             out += [np.flatnonzero(h).astype("int32") for h in hit]
@@ -110,8 +109,8 @@ def nearest(points: DataFrame, k: int, pivots: int | None = None) -> DataFrame:
         own = np.flatnonzero(pdf["own"].to_numpy())
         many = pdf["copies"].to_numpy()
         rows = []
-        for i in range(0, len(own), 256):
-            mine = own[i:i + 256]
+        for i in range(0, len(own), BLOCK):
+            mine = own[i:i + BLOCK]
             d = distances(x[mine], x)
             d[np.arange(len(mine)), mine] = np.inf
             for row, at in zip(d, mine):

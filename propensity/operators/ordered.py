@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
@@ -55,10 +55,12 @@ def running_totals(df: DataFrame, order: str, values: Sequence[str], by: Sequenc
     before = Window.partitionBy(*by).orderBy(side(RANGE)).rowsBetween(
         Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
-    starts = per_range.select(
+    # written, so that the planner sees its size: small enough, it is broadcast and the
+    # rows are shuffled once; if groups are many, it is an ordinary join
+    starts = keep(per_range.select(
         *[F.col(b).alias(f"__{b}") for b in by], F.col(RANGE).alias("__r"),
         *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"__before_{v}") for v in values],
-        *[F.sum(v).over(whole).alias(f"all_{v}") for v in values])
+        *[F.sum(v).over(whole).alias(f"all_{v}") for v in values]))
     inside = Window.partitionBy(*by, RANGE).orderBy(side(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cond = F.col(RANGE) == F.col("__r")
@@ -71,6 +73,27 @@ def running_totals(df: DataFrame, order: str, values: Sequence[str], by: Sequenc
         *[F.col(f"all_{v}") for v in values])
 
 
+def _hash_starts(df: DataFrame, key: str, seed: int, by: list[str], digits: int) -> DataFrame:
+    """Rows, rows before, and group size of each hash range."""
+    prefix = F.substring(C.key_hash(key, seed), 1, digits)
+    per_range = df.groupBy(*by, prefix.alias("__r")).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*by).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    return keep(per_range.select(
+        *[F.col(b).alias(f"__{b}") for b in by], "__r", "__n",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+        F.sum("__n").over(Window.partitionBy(*by)).alias("n_group")))
+
+
+def _join_starts(df: DataFrame, starts: DataFrame, key: str, seed: int, by: list[str],
+                 digits: int) -> DataFrame:
+    hashed = df.withColumn("__h", C.key_hash(key, seed)).withColumn(
+        RANGE, F.substring("__h", 1, digits))
+    cond = F.col(RANGE) == F.col("__r")
+    for b in by:
+        cond = cond & F.col(b).eqNullSafe(F.col(f"__{b}"))
+    return hashed.join(starts, cond)
+
+
 def hash_ranks(df: DataFrame, key: str, seed: int = 0, by: Sequence[str] = (),
                hex_digits: int = 3) -> DataFrame:
     """Add `rank` (1..n in the order of the key hash, within `by`) and `n_group`.
@@ -78,22 +101,31 @@ def hash_ranks(df: DataFrame, key: str, seed: int = 0, by: Sequence[str] = (),
     The leading hex digits of the hash are the ranges: uniform whatever the keys are.
     """
     by = list(by)
-    hashed = df.withColumn("__h", C.key_hash(key, seed)).withColumn(
-        RANGE, F.substring("__h", 1, hex_digits))
-    per_range = hashed.groupBy(*by, RANGE).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_range.select(
-        *[F.col(b).alias(f"__{b}") for b in by], F.col(RANGE).alias("__r"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
-        F.sum("__n").over(Window.partitionBy(*by)).alias("n_group"))
-    cond = F.col(RANGE) == F.col("__r")
-    for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col(f"__{b}"))
+    joined = _join_starts(df, _hash_starts(df, key, seed, by, hex_digits), key, seed, by, hex_digits)
     inside = Window.partitionBy(*by, RANGE).orderBy("__h", key)
-    return hashed.join(starts, cond).select(
+    return joined.select(
         *df.columns, (F.col("__before") + F.row_number().over(inside)).alias("rank"), "n_group")
 
 
+def first_by_hash(df: DataFrame, key: str, count: Column, seed: int = 0, by: Sequence[str] = (),
+                  name: str = "chosen", hex_digits: int = 3) -> DataFrame:
+    """Mark exactly the first `count` rows of each group in hash order.
+
+    `count` may use n_group. Ranges wholly before or after the cut need no ranking; only
+    the rows of the one range that holds the cut are shuffled and sorted.
+    """
+    by = list(by)
+    starts = _hash_starts(df, key, seed, by, hex_digits)
+    joined = _join_starts(df, starts, key, seed, by, hex_digits).withColumn("__cut", count)
+    at_cut = (F.col("__before") < F.col("__cut")) & (F.col("__before") + F.col("__n") > F.col("__cut"))
+    inside = Window.partitionBy(*by, RANGE).orderBy("__h", key)
+    clear = joined.filter(~at_cut).select(
+        *df.columns, (F.col("__before") + F.col("__n") <= F.col("__cut")).alias(name))
+    edge = joined.filter(at_cut).select(
+        *df.columns, (F.col("__before") + F.row_number().over(inside) <= F.col("__cut")).alias(name))
+    return clear.unionByName(edge)
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float],
                     by: Sequence[str] = ()) -> DataFrame:
     """Quantiles with linear interpolation, one row per group; null and NaN are left out.

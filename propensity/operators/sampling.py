@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
-from propensity.operators.ordered import hash_ranks
+from propensity.operators.ordered import first_by_hash, hash_ranks
 
 
 def with_split(df: DataFrame, key: str, shares: dict[str, float], seed: int = 42,
@@ -33,9 +33,7 @@ def random_split(df: DataFrame, key: str, shares: Sequence[float], seed: int = 4
 
 def stratified_split(df: DataFrame, key: str, label: str, share: float, seed: int = 42) -> DataFrame:
     """Add `is_train`: exactly ceil(share * n) rows of each class."""
-    ranked = hash_ranks(df, key, seed, [label])
-    return ranked.withColumn("is_train", F.col("rank") <= F.ceil(F.lit(share) * F.col("n_group"))
-                             ).drop("rank", "n_group")
+    return first_by_hash(df, key, F.ceil(F.lit(share) * F.col("n_group")), seed, [label], "is_train")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int = 42,
@@ -51,8 +49,13 @@ def fraction_sample(df: DataFrame, fraction: float, replacement: bool = False,
 
 
 def fixed_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows (all when there are fewer), chosen by key hash."""
-    return df.orderBy(C.key_hash(key, seed), key).limit(n)
+    """n rows (all when there are fewer), those with the smallest key hash.
+
+    A first pass counts rows per hash range and finds the range where n is reached, so
+    that only rows up to it compete for the sample.
+    """
+    chosen = first_by_hash(df, key, F.lit(n), seed, name="__chosen", hex_digits=4)
+    return chosen.filter("__chosen").drop("__chosen")
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

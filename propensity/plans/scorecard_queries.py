@@ -148,11 +148,11 @@ def c7(spark, d):
 def master_scores(spark, d):
     """One row per subscriber: churn, value and outlier scores with the resulting action."""
     rows = keep(views.subscriber_features(spark, d))
-    risk = views.scores(spark, d).select("custkey", F.col("p_rf").alias("churn_probability"))
-    scored = fraud_scores(rows).withColumn("predicted_ltv_usd", F.col("total_spend") / 10000)
-    wide = J.left_chain(scored, [risk], "custkey").withColumns({
-        "risk_segment": risk_segment(F.col("churn_probability")),
-        "ltv_tier": ltv_tier(F.col("predicted_ltv_usd"))})
+    # every score is a function of these rows, so no join is needed
+    wide = fraud_scores(rows).withColumn("churn_probability", views.formula_score("rf")).withColumn(
+        "predicted_ltv_usd", F.col("total_spend") / 10000)
+    wide = wide.withColumns({"risk_segment": risk_segment(F.col("churn_probability")),
+                             "ltv_tier": ltv_tier(F.col("predicted_ltv_usd"))})
     return wide.select(
         "subscriber_id", "plan", "tenure_months", "monthly_fee_usd", "churn_probability", "risk_segment",
         "predicted_ltv_usd", "ltv_tier", "outlier_score", "is_suspicious",

@@ -21,7 +21,7 @@ order_features AS (
            max(d) AS last_day_any,
            CAST(count(*) FILTER (d <= cutoff) AS BIGINT) AS n_orders,
            sum(o_totalprice) FILTER (d <= cutoff) AS total_spend,
-           arg_max(o_orderpriority, (d, o_orderkey)) FILTER (d <= cutoff) AS last_priority
+           arg_max(o_orderpriority, (d, substr(o_orderpriority, 1, 1))) FILTER (d <= cutoff) AS last_priority
     FROM (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders), cut
     GROUP BY o_custkey, cutoff))"""
 

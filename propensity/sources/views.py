@@ -21,6 +21,7 @@ PLAN_OF_SEGMENT = {
     "MACHINERY": "premium",
 }
 DEVICES = ["smart_tv", "mobile", "tablet", "web"]
+PRIORITIES = {1: "1-URGENT", 2: "2-HIGH", 3: "3-MEDIUM", 4: "4-NOT SPECIFIED", 5: "5-LOW"}
 LABEL_DAYS = 365
 
 # Coefficients of the written score formulas
@@ -46,9 +47,12 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with orders: features up to the cut-off, label after it."""
     day = F.to_date("o_orderdate")
     orders = (table(spark, sf_dir, "orders")
-              .select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority",
+              .select("o_custkey", "o_totalprice", "o_orderpriority",
                       day.alias("day"), cutoff(spark, sf_dir).alias("cutoff")))
     seen = F.col("day") <= F.col("cutoff")
+    # day and priority digit in one number: a string or struct buffer would make Spark sort
+    # every partition instead of hashing; of two orders on one day the less urgent counts
+    rank = F.substring("o_orderpriority", 1, 1).try_cast("int")
     return (orders.groupBy(F.col("o_custkey").alias("custkey"))
             .agg(F.min(F.when(seen, F.col("day"))).alias("first_day"),
                  F.max(F.when(seen, F.col("day"))).alias("last_day"),
@@ -56,8 +60,8 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max("cutoff").alias("cutoff"),
                  F.count_if(seen).alias("n_orders"),
                  F.sum(F.when(seen, F.col("o_totalprice"))).alias("total_spend"),
-                 F.max_by(F.col("o_orderpriority"),
-                          F.when(seen, F.struct("day", "o_orderkey"))).alias("last_priority"))
+                 F.max(F.when(seen, F.unix_date("day") * 10 + rank)).alias("packed"))
+            .withColumn("last_priority", C.recode((F.col("packed") % 10).cast("int"), PRIORITIES))
             .select("custkey", "n_orders", "total_spend", "last_priority", "last_day",
                     (F.col("total_spend") / F.col("n_orders") / 10000).alias("monthly_fee_usd"),
                     F.floor(F.date_diff("cutoff", "first_day") / 30).cast("int")
@@ -201,16 +205,19 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five written logistic scores (rounded to four digits) with the churn label."""
     base = (order_features(spark, sf_dir).filter(F.col("n_orders") > 0)
             .join(members(spark, sf_dir).select("custkey", "subscriber_id", "plan"), "custkey"))
+    return base.select("custkey", "subscriber_id", "plan", F.col("churned").alias("label"),
+                       *[formula_score(m).alias(f"p_{m}") for m in MODELS])
+
+
+def formula_score(model: str) -> Column:
+    """A written score over order features, rounded to four digits."""
     parts = [F.col("recency_days") / 365.0, F.col("n_orders") / 10.0,
              F.col("monthly_fee_usd") / 25.0, F.col("tenure_months") / 60.0]
-    out = {}
-    for name, (b0, *coefs) in SCORE_FORMULAS.items():
-        z = F.lit(b0)
-        for b, x in zip(coefs, parts):
-            z = z + F.lit(b) * x
-        out[f"p_{name}"] = C.half_up(C.logistic(z), 4)
-    return base.select("custkey", "subscriber_id", "plan", F.col("churned").alias("label"),
-                       *[c.alias(n) for n, c in out.items()])
+    b0, *coefs = SCORE_FORMULAS[model]
+    z = F.lit(b0)
+    for b, x in zip(coefs, parts):
+        z = z + F.lit(b) * x
+    return C.half_up(C.logistic(z), 4)
 
 
 def long_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
