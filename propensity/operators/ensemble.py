@@ -58,17 +58,19 @@ def search_weights(df: DataFrame, label: str, columns: Sequence[str], steps: int
     """
     grid = simplex(len(columns), steps)
     units = {c: F.round(F.col(c) * scale).cast("bigint").alias(c) for c in columns}
-    cand = F.array(*[F.struct(F.lit(i).alias("candidate"), *[F.lit(w).alias(f"w_{c}") for w, c in zip(g, columns)])
-                     for i, g in enumerate(grid)])
-    mixed = df.select(*units.values(), F.col(label).alias("label"), F.explode(cand).alias("g")).select(
-        "g.*", sum((F.col(c) * F.col(f"g.w_{c}") for c in columns), F.lit(0)).alias("mix"), "label")
-    names = [f"w_{c}" for c in columns]
-    counts = mixed.groupBy("candidate", *names, "mix").agg(
+    mixes = ", ".join(" + ".join(f"{w} * {c}" for w, c in zip(g, columns) if w) for g in grid)
+    mixed = df.select(*units.values(), F.col(label).alias("label")).select(
+        "label", F.expr(f"posexplode(array({mixes})) AS (candidate, mix)"))
+    counts = mixed.groupBy("candidate", "mix").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-    run = E.running_totals(counts, "mix", ["pos", "neg"], ["candidate", *names])
+    run = E.running_totals(counts, "mix", ["pos", "neg"], ["candidate"])
     wins = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2))
-    return run.groupBy("candidate", *names).agg(
+    auc = run.groupBy("candidate").agg(
         F.try_divide(wins, (F.max("all_pos") * F.max("all_neg")).cast("double")).alias("auc"))
+    weights = F.expr("array(" + ", ".join(
+        "struct(" + ", ".join(f"{w} AS w_{c}" for w, c in zip(g, columns)) + ")" for g in grid) + ")")
+    own = auc.withColumn("g", F.element_at(weights, F.col("candidate") + 1))
+    return own.select("candidate", *[F.col(f"g.w_{c}") for c in columns], "auc")
 
 
 def best_weights(candidates: DataFrame) -> DataFrame:

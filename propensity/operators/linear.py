@@ -29,8 +29,8 @@ def moments(df: DataFrame, cols: Sequence[str]) -> Moments:
     """Means and sample covariances over complete rows."""
     x = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = x.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                *[F.covar_samp(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    row = x.selectExpr("count(*) AS n", *[f"avg(`{c}`) AS m{i}" for i, c in enumerate(cols)],
+                       *[f"covar_samp(`{cols[i]}`, `{cols[j]}`) AS c{i}_{j}" for i, j in pairs]).first()
     cov = np.zeros((len(cols), len(cols)))
     for i, j in pairs:
         cov[i, j] = cov[j, i] = row[f"c{i}_{j}"] or 0.0
@@ -53,14 +53,12 @@ def mahalanobis(df: DataFrame, cols: Sequence[str], out: str = "outlier_score")
         if (sd > 0).all() and np.linalg.eigvalsh(block / np.outer(sd, sd))[0] > 1e-10:
             kept = trial
     whiten = np.linalg.inv(np.linalg.cholesky(m.cov[np.ix_(kept, kept)])) if kept else np.zeros((0, 0))
-    total = F.lit(0.0)
+    parts = []
     for r in range(len(kept)):
-        z = F.lit(0.0)
-        for c in range(r + 1):
-            i = kept[c]
-            z = z + F.lit(float(whiten[r, c])) * (F.col(cols[i]) - F.lit(float(m.mean[i])))
-        total = total + z * z
-    return df.withColumn(out, total)
+        z = " + ".join(f"{float(whiten[r, c])!r}D * (`{cols[kept[c]]}` - {float(m.mean[kept[c]])!r}D)"
+                       for c in range(r + 1))
+        parts.append(f"pow({z}, 2)")
+    return df.withColumn(out, F.expr(" + ".join(parts) or "0D"))
 
 
 def flag_outliers(df: DataFrame, score: str, quantile: float = V.OUTLIER_QUANTILE,

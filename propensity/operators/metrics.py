@@ -87,18 +87,15 @@ def grid(first: int, last: int, step: int) -> list[int]:
 def threshold_sweep(df: DataFrame, label: str, score: str, percents: Sequence[int],
                     by: Sequence[str] = ()) -> DataFrame:
     """Confusion cells and F1 per threshold in one pass over the rows."""
-    pos = F.col(label) == 1
-    cuts = []
-    for i, t in enumerate(percents):
-        hit = F.col(score) >= F.lit(t / 100.0)
-        cuts += [F.count_if(pos & hit).alias(f"tp{i}"), F.count_if(~pos & hit).alias(f"fp{i}")]
-    one = df.groupBy(*by).agg(F.count_if(pos).alias("p"), F.count_if(~pos).alias("n"), *cuts)
-    rows = F.array(*[F.struct(F.lit(t).alias("pct"), F.col(f"tp{i}").alias("tp"),
-                              F.col(f"fp{i}").alias("fp"),
-                              (F.col("n") - F.col(f"fp{i}")).alias("tn"),
-                              (F.col("p") - F.col(f"tp{i}")).alias("fn"))
-                     for i, t in enumerate(percents)])
-    return rates(one.select(*by, F.inline(rows)), ["precision", "recall", "f1"])
+    cells = ", ".join(
+        f"count_if({label} = 1 AND {score} >= {t / 100.0}D) AS tp{i}, "
+        f"count_if({label} <> 1 AND {score} >= {t / 100.0}D) AS fp{i}" for i, t in enumerate(percents))
+    one = df.groupBy(*by).agg(
+        F.expr(f"count_if({label} = 1)").alias("p"), F.expr(f"count_if({label} <> 1)").alias("n"),
+        F.expr(f"struct({cells})").alias("cells"))
+    rows = ", ".join(f"struct({t} AS pct, cells.tp{i} AS tp, cells.fp{i} AS fp, n - cells.fp{i} AS tn, "
+                     f"p - cells.tp{i} AS fn)" for i, t in enumerate(percents))
+    return rates(one.select(*by, F.expr(f"inline(array({rows}))")), ["precision", "recall", "f1"])
 
 
 def best_threshold(sweep: DataFrame, metric: str = "f1") -> DataFrame:

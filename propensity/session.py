@@ -23,6 +23,8 @@ def build_session(app: str = "propensity", cpus: int | str = "*", **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
+        # call sites of every column expression cost milliseconds each; errors still say what failed
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -6,8 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table. Its schema is read from the files once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    slot = (spark.sparkContext.applicationId, path)
+    if slot not in _SCHEMAS:
+        _SCHEMAS[slot] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[slot]).parquet(path)
 
 
 def load_dataset(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -211,13 +211,10 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def formula_score(model: str) -> Column:
     """A written score over order features, rounded to four digits."""
-    parts = [F.col("recency_days") / 365.0, F.col("n_orders") / 10.0,
-             F.col("monthly_fee_usd") / 25.0, F.col("tenure_months") / 60.0]
-    b0, *coefs = SCORE_FORMULAS[model]
-    z = F.lit(b0)
-    for b, x in zip(coefs, parts):
-        z = z + F.lit(b) * x
-    return C.half_up(C.logistic(z), 4)
+    b0, recency, orders, fee, tenure = SCORE_FORMULAS[model]
+    z = (f"{b0}D + {recency}D * (recency_days / 365.0D) + {orders}D * (n_orders / 10.0D)"
+         f" + {fee}D * (monthly_fee_usd / 25.0D) + {tenure}D * (tenure_months / 60.0D)")
+    return F.expr(f"floor(1.0D / (1.0D + exp(-({z}))) * 10000.0D + 0.5D) / 10000.0D")
 
 
 def long_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
