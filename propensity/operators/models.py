@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
@@ -92,8 +92,9 @@ def fit(preset: str, train: DataFrame, **kwargs):
 
 def fit_many(jobs: dict[str, Callable], threads: int = 4) -> dict:
     """Run independent fits from a few driver threads; Spark shares the executors."""
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(threads) as pool:
-        started = {n: pool.submit(inheritable_thread_target(job)) for n, job in jobs.items()}
+        started = {n: pool.submit(inherit(job)) for n, job in jobs.items()}
         return {n: f.result() for n, f in started.items()}
 
 

@@ -61,23 +61,27 @@ def f4(spark, d):
     return X.dummies(df, df, ["l_returnflag", "l_linestatus"])
 
 
-MODEL_FEATURES = X.FeatureSet(("tenure", "tenure_sq", "avg_charges", "MonthlyCharges",
-                               "TotalCharges", "high_value", "charge_ratio"),
-                              ("Contract", "InternetService", "PaymentMethod"))
-
-
-@query("f5_design_matrix")
+@query("f5_design_matrix", Q.with_views(Q.SUBSCRIBERS, """base AS (SELECT o.*, c.plan FROM order_features o
+JOIN customers c USING (custkey) WHERE n_orders > 0)""", """lev AS (SELECT plan, row_number() OVER (ORDER BY count(*) DESC, plan) AS rk
+FROM base GROUP BY 1)""") + """
+SELECT custkey, CAST(churned AS DOUBLE) AS label, CAST(n_orders AS DOUBLE) AS x0, CAST(tenure_months AS DOUBLE) AS x1,
+CAST(rk = 1 AS DOUBLE) AS x2, CAST(rk = 2 AS DOUBLE) AS x3, CAST(rk = 3 AS DOUBLE) AS x4 FROM base JOIN lev USING (plan)""")
 def f5(spark, d):
-    df = views.churn(spark, d).fillna(0.0, ["TotalCharges"])
-    out = X.design(df, "Churn", ["tenure", "MonthlyCharges", "TotalCharges", "Contract"])
-    return out.select("CustomerID", "label", X.vector_to_array("features").alias("features"))
+    df = (views.order_features(spark, d).filter(F.col("n_orders") > 0)
+          .join(views.members(spark, d).select("custkey", "plan"), "custkey")
+          .select("custkey", "churned", "n_orders", "tenure_months", "plan"))
+    out = X.design(df, "churned", ["n_orders", "tenure_months", "plan"])
+    x = X.vector_to_array("features")
+    return out.select("custkey", "label", *[x[i].alias(f"x{i}") for i in range(5)])
 
 
-@query("f6_assembled_vector")
+@query("f6_assembled_vector", Q.with_views(Q.SUBSCRIBERS) + """
+SELECT custkey, balance AS x0, CAST(coalesce(CAST(n_orders AS DOUBLE), 'NaN') AS DOUBLE) AS x1,
+CAST(coalesce(CAST(tenure_months AS DOUBLE), 'NaN') AS DOUBLE) AS x2 FROM subscribers""")
 def f6(spark, d):
-    df = X.charge_columns(views.churn(spark, d))
-    out = X.assemble(df, ["tenure", "tenure_sq", "MonthlyCharges", "TotalCharges"])
-    return out.select("CustomerID", X.vector_to_array("features").alias("features"))
+    out = X.assemble(views.subscribers(spark, d), ["balance", "n_orders", "tenure_months"])
+    x = X.vector_to_array("features")
+    return out.select("custkey", *[x[i].alias(f"x{i}") for i in range(3)])
 
 
 LOAN_NUMERIC = ["l_quantity", "l_discount", "l_tax"]

@@ -40,7 +40,7 @@ def score_arrivals(spark: SparkSession, source: str, schema: T.StructType, out:
     """Score new rows once per key and append them under their score date.
 
     A key that is sent again within the delay is dropped; state holds the keys of that
-    time only.
+    time only. Spark starts the watermark at 1970, so event times must lie after it.
     """
     rows = read_stream(spark, source, schema, files_per_batch)
     fresh = rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
