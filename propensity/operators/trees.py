@@ -124,21 +124,25 @@ def representative_tree(voted: DataFrame, votes: str = "votes") -> DataFrame:
 def class_proximity(model, df: DataFrame, key: str, label: str) -> DataFrame:
     """Mean share of trees in which a row shares its leaf with the rows of each class.
 
-    Rows are counted per (tree, leaf, class) first, so the work is rows x trees and no
-    pair of rows is formed.
+    Rows are counted per (tree, leaf, class) on the map side. The counts have the size of
+    the model and are looked up row by row: no pair of rows, and no shuffle of the rows.
     """
     placed = leaves_of(model, df.select(key, label, "features"))
-    n_trees = F.size("leaves")
-    each = placed.select(key, label, n_trees.alias("t"), F.posexplode("leaves").alias("tree", "leaf"))
-    cells = each.groupBy("tree", "leaf").agg(F.count_if(F.col(label) == 0).alias("in0"),
-                                             F.count_if(F.col(label) == 1).alias("in1"))
-    sizes = df.agg(F.struct(F.count_if(F.col(label) == 0).alias("n0"),
-                            F.count_if(F.col(label) == 1).alias("n1"))).scalar()
-    return (each.join(cells, ["tree", "leaf"]).groupBy(key, label)
-            .agg(F.sum(F.col("in0") / F.col("t")).alias("s0"), F.sum(F.col("in1") / F.col("t")).alias("s1"))
-            .withColumn("size", sizes)
-            .select(key, label, F.try_divide("s0", F.col("size.n0")).alias("to_class0"),
-                    F.try_divide("s1", F.col("size.n1")).alias("to_class1")))
+    each = placed.select(label, F.posexplode("leaves").alias("tree", "leaf"))
+    cells = each.groupBy("tree", "leaf").agg(
+        F.array(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("n"))
+    per_tree = cells.groupBy("tree").agg(
+        F.map_from_entries(F.collect_list(F.struct("leaf", "n"))).alias("m"))
+    table = per_tree.agg(F.map_from_entries(F.collect_list(F.struct("tree", "m")))).scalar()
+    sizes = df.agg(F.array(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1))).scalar()
+    shared = F.transform("leaves", lambda leaf, t: F.element_at(F.element_at("__m", t), leaf))
+
+    def share(c: int) -> Column:
+        total = F.aggregate("__near", F.lit(0).cast("bigint"), lambda s, x: s + x[c])
+        return F.try_divide(total / F.size("leaves"), F.col("__size")[c])
+
+    return (placed.withColumn("__m", table).withColumn("__size", sizes).withColumn("__near", shared)
+            .select(key, label, share(0).alias("to_class0"), share(1).alias("to_class1")))
 
 
 PAIR_LIMIT = 2000  # rows of a proximity matrix

@@ -13,6 +13,7 @@ from propensity.plans import view_sql as Q
 from propensity.plans.metric_queries import AUC_BY_MODEL, rounded
 from propensity.plans.prepared import churn_data
 from propensity.plans.registry import query, rnd
+from propensity.session import keep
 from propensity.sources import views
 
 COLS = [f"p_{m}" for m in views.MODELS]
@@ -37,7 +38,8 @@ def n2(spark, d):
 auc / sum(auc) OVER () AS w FROM aucs)""") + f"""
 SELECT custkey, {rnd('sum(p * w)', 6)} AS prob FROM long_scores JOIN w USING (model) GROUP BY 1""")
 def n3(spark, d):
-    rows = views.scores(spark, d).withColumn("w", N.auc_weights(views.scores(spark, d), "label", COLS))
+    kept = keep(views.scores(spark, d).select("custkey", "label", *COLS))
+    rows = kept.withColumn("w", N.auc_weights(kept, "label", COLS))
     return rows.select("custkey", C.half_up(N.weighted(COLS, F.col("w")), 6).alias("prob"))
 
 

@@ -12,6 +12,7 @@ from propensity.operators import subscribers as S
 from propensity.plans import view_sql as Q
 from propensity.plans.order_queries import u_sql
 from propensity.plans.registry import query, rnd
+from propensity.session import keep
 from propensity.sources import tables, views
 
 CHARGES = ["tenure", "MonthlyCharges", "TotalCharges"]
@@ -26,7 +27,7 @@ def _rounded(df, cols, digits=4):
     rnd(f'coalesce("{c}", (SELECT median("{c}") FROM churn))', 4) + f' AS "{c}"' for c in CHARGES)
        + " FROM churn")
 def f1(spark, d):
-    df = views.churn(spark, d).select("CustomerID", *CHARGES)
+    df = keep(views.churn(spark, d).select("CustomerID", *CHARGES))
     return _rounded(X.impute(df, X.medians(df, CHARGES), CHARGES), CHARGES)
 
 
@@ -35,7 +36,7 @@ new AS (SELECT * FROM churn WHERE NOT {u_sql('"CustomerID"')} < 0.8)""") + "SELE
     rnd(f'coalesce("{c}", (SELECT median("{c}") FROM train))', 4) + f' AS "{c}"' for c in CHARGES)
        + " FROM new")
 def f2(spark, d):
-    df = views.churn(spark, d).select("CustomerID", *CHARGES)
+    df = keep(views.churn(spark, d).select("CustomerID", *CHARGES))
     train, new = sampling.random_split(df, "CustomerID", [0.8, 0.2])
     return _rounded(X.impute(new, X.medians(train, CHARGES), CHARGES), CHARGES)
 
@@ -178,7 +179,8 @@ def f14(spark, d):
 # ---- class balance -------------------------------------------------------------------
 
 def _labelled(spark, d):
-    return views.scores(spark, d).select("custkey", "label", "p_rf", "p_gbm", "p_lgb")
+    """Written once: the class sizes, the ranks and the rows all read it."""
+    return keep(views.scores(spark, d).select("custkey", "label", "p_rf", "p_gbm", "p_lgb"))
 
 
 @query("b1_class_weight", Q.with_views(Q.SCORES) + f"""
@@ -220,5 +222,5 @@ def b5(spark, d):
 
 @query("b6_minority_interpolation")
 def b6(spark, d):
-    df = views.churn(spark, d).select("CustomerID", "Churn", "tenure", "MonthlyCharges")
+    df = keep(views.churn(spark, d).select("CustomerID", "Churn", "tenure", "MonthlyCharges"))
     return B.interpolate_minority(df, "CustomerID", "Churn", ["tenure", "MonthlyCharges"])

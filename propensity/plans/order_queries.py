@@ -11,6 +11,7 @@ from propensity.operators import metrics as M
 from propensity.operators import ordered, reshape, sampling, series
 from propensity.plans import view_sql as Q
 from propensity.plans.registry import query, rnd
+from propensity.session import keep
 from propensity.sources import tables, views
 
 # ---- windows -------------------------------------------------------------------------
@@ -177,14 +178,14 @@ _RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY label
 @query("x3_stratified_split", Q.with_views(Q.SCORES, _RANKED) + """
 SELECT custkey, label, rk <= ceil(0.8 * n_group) AS is_train FROM ranked""")
 def x3(spark, d):
-    return sampling.stratified_split(views.scores(spark, d).select("custkey", "label"),
+    return sampling.stratified_split(keep(views.scores(spark, d).select("custkey", "label")),
                                      "custkey", "label", 0.8)
 
 
 @query("x4_stratified_folds", Q.with_views(Q.SCORES, _RANKED) + """
 SELECT custkey, label, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM ranked""")
 def x4(spark, d):
-    return sampling.stratified_folds(views.scores(spark, d).select("custkey", "label"),
+    return sampling.stratified_folds(keep(views.scores(spark, d).select("custkey", "label")),
                                      "custkey", "label", 5)
 
 
