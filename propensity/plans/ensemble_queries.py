@@ -11,6 +11,7 @@ from propensity.operators import metrics as E
 from propensity.operators import models as M
 from propensity.plans import view_sql as Q
 from propensity.plans.metric_queries import AUC_BY_MODEL, rounded
+from propensity.plans.order_queries import u_sql
 from propensity.plans.prepared import churn_data
 from propensity.plans.registry import query, rnd
 from propensity.session import keep
@@ -66,6 +67,16 @@ def n5(spark, d):
     return out.select("CustomerID", "label", "fold", *[f"prob_{n}" for n in SHORT])
 
 
+@query("n5_out_of_fold_keys", Q.with_views(Q.CHURN, f"""train AS (SELECT * FROM churn WHERE {u_sql('"CustomerID"')} < 0.7)""") + """
+SELECT "CustomerID", "Churn" AS label, CAST((row_number() OVER (PARTITION BY "Churn"
+ORDER BY md5(CAST("CustomerID" AS VARCHAR) || '|42'), "CustomerID") - 1) % 3 AS INTEGER) AS fold, TRUE AS in_range FROM train""")
+def n5_keys(spark, d):
+    """Each training row once, in its fold, with scores between 0 and 1."""
+    out = N.out_of_fold(churn_data(spark, d).train, "CustomerID", {"tree": {}, "lasso": {}}, 3)
+    inside = F.col("prob_tree").between(0, 1) & F.col("prob_lasso").between(0, 1)
+    return out.select("CustomerID", "label", "fold", inside.alias("in_range"))
+
+
 @query("n6_stacking")
 def n6(spark, d):
     data = churn_data(spark, d)

@@ -224,3 +224,21 @@ def b5(spark, d):
 def b6(spark, d):
     df = keep(views.churn(spark, d).select("CustomerID", "Churn", "tenure", "MonthlyCharges"))
     return B.interpolate_minority(df, "CustomerID", "Churn", ["tenure", "MonthlyCharges"])
+
+
+_LABEL_COUNTS = """g AS (SELECT count(*) AS n, sum(label) AS n1 FROM scores)"""
+
+
+@query("b5_class_counts", Q.with_views(Q.SCORES) + f"""
+SELECT CAST({u_sql('custkey', 52)} < 0.5 AS INTEGER) AS label, count(*) AS n FROM scores GROUP BY 1""")
+def b5_counts(spark, d):
+    out = B.smoothed_bootstrap(_labelled(spark, d), "custkey", "label", ["p_rf", "p_gbm", "p_lgb"])
+    return out.groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("b6_origin_counts", Q.with_views(Q.SCORES, _LABEL_COUNTS) + """
+SELECT 'minority' AS origin, CAST(n1 AS BIGINT) AS n FROM g UNION ALL SELECT 'synthetic', CAST(2 * n1 AS BIGINT) FROM g
+UNION ALL SELECT 'majority', CAST(floor(2 * n1 * 150 / 100) AS BIGINT) FROM g""")
+def b6_counts(spark, d):
+    out = B.interpolate_minority(_labelled(spark, d), "custkey", "label", ["p_rf", "p_gbm", "p_lgb"])
+    return out.groupBy("origin").agg(F.count("*").alias("n"))

@@ -217,6 +217,22 @@ def c9(spark, d):
     ).orderBy(F.desc("prob_churn"), "CustomerID")
 
 
+@query("c9_formula_scoring", Q.with_views(Q.SCORES) + """
+SELECT c.custkey, c.plan, c.balance, s.p_gbm AS prob_churn, CASE WHEN s.p_gbm >= 0.35 THEN 'Churn'
+WHEN s.p_gbm < 0.35 THEN 'Active' END AS prediction, '2024-01-31' AS score_date
+FROM customers c LEFT JOIN scores s USING (custkey) ORDER BY prob_churn DESC NULLS LAST, custkey""")
+def c9b(spark, d):
+    """The batch steps with a written score: threshold, join back, append by date, rank."""
+    new = views.members(spark, d).select("custkey", "plan", "balance")
+    scored = views.scores(spark, d).select(
+        "custkey", F.col("p_gbm").alias("prob_churn"),
+        C.threshold_label(F.col("p_gbm"), 0.35, "Churn", "Active").alias("prediction"))
+    full = J.join_back(new, scored, "custkey")
+    path = sinks.append_by_date(full, new_path(spark, "formula-scores"), "2024-01-31")
+    schema = full.schema.add("score_date", "string")
+    return tables.load_dataset(spark, path, schema=schema).orderBy(F.desc_nulls_last("prob_churn"), "custkey")
+
+
 @query("c10_ensemble_scoring")
 def c10(spark, d):
     data = churn_data(spark, d)
