@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
-from propensity.operators.ordered import exact_quantiles
+from propensity.operators.ordered import quantile_of_runs, value_runs
 
 
 def group_summary(df: DataFrame, key: str, means: dict[str, str] | None = None,
@@ -50,13 +50,16 @@ def contingency(df: DataFrame, rows: str, columns: str, values: Sequence) -> Dat
 
 
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per column: count, min, quartiles, mean, max."""
+    """One row per column: count, min, quartiles, mean, max. One pass over the rows."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], list(cols), "column", "value")
-    basic = long.groupBy("column").agg(F.count("value").alias("n"), F.min("value").alias("min"),
-                                       F.avg("value").alias("mean"), F.max("value").alias("max"))
-    parts = exact_quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column"])
-    return basic.join(parts, "column", "left")
+    v, n = F.col("v"), F.col("n")
+    out = value_runs(long, "value", ["column"]).groupBy("column").agg(
+        F.sum(n).alias("n"), F.min(v).alias("min"), (F.sum(v * n) / F.sum(n)).alias("mean"),
+        F.max(v).alias("max"), quantile_of_runs(0.25).alias("q1"),
+        quantile_of_runs(0.5).alias("median"), quantile_of_runs(0.75).alias("q3"))
+    named = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return named.join(out, "column", "left").fillna(0, ["n"])  # a column of nulls keeps its row
 
 
 def pair_statistics(df: DataFrame, cols: Sequence[str], fn: str = "corr") -> DataFrame:

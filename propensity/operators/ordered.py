@@ -126,28 +126,31 @@ def first_by_hash(df: DataFrame, key: str, count: Column, seed: int = 0, by: Seq
     return clear.unionByName(edge)
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float],
-                    by: Sequence[str] = ()) -> DataFrame:
-    """Quantiles with linear interpolation, one row per group; null and NaN are left out.
+def value_runs(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per group and distinct value `v` with n, cum_n and all_n; no null, no NaN.
 
     Equal values are counted first, so a value that fills a third of the table is one row.
     """
     by = list(by)
-    value = F.col(column).cast("double")
-    counts = (df.select(*by, value.alias("__v"))
-              .filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-              .groupBy(*by, "__v").agg(F.count("*").alias("n")))
-    run = running_totals(counts, "__v", ["n"], by)
-    aggs = []
-    for name, p in probs.items():
-        pos = F.lit(float(p)) * (F.col("all_n") - 1)
-        aggs += [F.min(F.when(F.col("cum_n") > F.floor(pos), F.col("__v"))).alias(f"__lo_{name}"),
-                 F.min(F.when(F.col("cum_n") > F.ceil(pos), F.col("__v"))).alias(f"__hi_{name}"),
-                 F.max(pos - F.floor(pos)).alias(f"__f_{name}")]
-    picked = run.groupBy(*by).agg(*aggs)
-    return picked.select(*by, *[
-        (F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}"))
-        .alias(n) for n in probs])
+    counts = (df.select(*by, F.col(column).cast("double").alias("v"))
+              .filter(F.col("v").isNotNull() & ~F.isnan("v"))
+              .groupBy(*by, "v").agg(F.count("*").alias("n")))
+    return running_totals(counts, "v", ["n"], by)
+
+
+def quantile_of_runs(p: float) -> Column:
+    """Aggregate over value_runs rows: the p-quantile with linear interpolation."""
+    pos = F.lit(float(p)) * (F.col("all_n") - 1)
+    lo = F.min(F.when(F.col("cum_n") > F.floor(pos), F.col("v")))
+    hi = F.min(F.when(F.col("cum_n") > F.ceil(pos), F.col("v")))
+    return lo + (hi - lo) * F.max(pos - F.floor(pos))
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float],
+                    by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles with linear interpolation, one row per group; null and NaN are left out."""
+    return value_runs(df, column, by).groupBy(*by).agg(
+        *[quantile_of_runs(p).alias(name) for name, p in probs.items()])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

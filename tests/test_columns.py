@@ -109,3 +109,10 @@ def test_hash_fraction_is_uniform(spark):
     r = spark.range(20000).select(C.hash_fraction("id", 1).alias("u")).agg(
         F.avg("u").alias("m"), F.min("u").alias("lo"), F.max("u").alias("hi")).first()
     assert math.isclose(r.m, 0.5, abs_tol=0.01) and 0 <= r.lo and r.hi < 1
+
+
+def test_profile_of_nulls_and_one_value(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None), (None, None)], "a double, b double")
+    got = {r.column: r for r in A.profile(df, ["a", "b"]).collect()}
+    assert (got["a"].n, got["a"].mean, got["a"].median, got["a"].max) == (2, 2.0, 2.0, 3.0)
+    assert (got["b"].n, got["b"].mean) == (0, None)
