@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propensity.functions import columns as C
 from propensity.operators.ordered import arg_best, running_totals
 from propensity.session import keep
 

@@ -8,7 +8,6 @@ from propensity.functions import columns as C
 from propensity.operators import aggregates as A
 from propensity.operators import ensemble as N
 from propensity.operators import metrics as E
-from propensity.operators import models as M
 from propensity.plans import view_sql as Q
 from propensity.plans.metric_queries import AUC_BY_MODEL, rounded
 from propensity.plans.order_queries import u_sql

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
-from propensity.functions import fixed_values as V
 from propensity.operators import aggregates as A
 from propensity.operators import joins as J
 from propensity.operators.ordered import exact_quantiles

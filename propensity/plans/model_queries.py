@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from propensity.functions import columns as C
 from propensity.operators import balance, linear, sampling
 from propensity.operators import forecast as T
-from propensity.operators import metrics as E
 from propensity.operators import models as M
 from propensity.operators.features import assemble
 from propensity.operators.subscribers import plan_flags, value_columns
