@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import positional_index, secret_index
+from propensity.llm import piece_encoding, positional_index, secret_index, token_codes
 from propensity.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +82,22 @@ def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
+# ---- 4: pieces
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op4_piece_encoding")
+def piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encoding.encode_documents(table(spark, sf_dir, "documents"), PIECES, ids=False)
+
+
+# ---- 10: token files
+
+@query("op10_token_codes")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_codes.write_tokens(table(spark, sf_dir, "documents"), WORDS, end_id=2)
+    return token_codes.read_documents(spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "ids_crc32")
