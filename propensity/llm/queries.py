@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import piece_encoding, positional_index, secret_index, token_codes
+from propensity.llm import piece_encoding, positional_index, secret_index, token_codes, url_trees
 from propensity.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,11 @@ def piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_codes.write_tokens(table(spark, sf_dir, "documents"), WORDS, end_id=2)
     return token_codes.read_documents(spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+# ---- 9: URLs
+
+@query("op9_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_trees.judge(pages).select("page_id", "host", "path", "rule", "verdict", "p_block")
