@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import piece_encoding, positional_index, secret_index, token_codes, url_trees
+from propensity.llm import piece_encoding, positional_index, secret_index, token_codes, toxicity, url_trees
 from propensity.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,18 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_trees.judge(pages).select("page_id", "host", "path", "rule", "verdict", "p_block")
+
+
+# ---- 7: toxicity
+
+def learning_labels(labels: DataFrame) -> DataFrame:
+    """The rows that a fit may use: crc32 of the id as text, modulo 4, is not 2."""
+    return labels.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+
+
+@query("op7_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, learning_labels(table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return toxicity.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
