@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import piece_encoding, positional_index, secret_index, token_codes, toxicity, url_trees
+from propensity.llm import order_minhash, piece_encoding, positional_index, secret_index, token_codes, toxicity, url_trees
 from propensity.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, learning_labels(table(spark, sf_dir, "labels")))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     return toxicity.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+# ---- 1: near-duplicates
+
+@query("op1_near_duplicates")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.find_groups(table(spark, sf_dir, "documents"))
