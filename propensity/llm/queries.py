@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import order_minhash, piece_encoding, positional_index, secret_index, token_codes, toxicity, url_trees
+from propensity.llm import (order_minhash, piece_encoding, positional_index, projections, secret_index, token_codes,
+                           toxicity, url_trees)
 from propensity.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +132,27 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_near_duplicates")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.find_groups(table(spark, sf_dir, "documents"))
+
+
+# ---- 3: embeddings
+
+EMBEDDINGS_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+named AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id)::BIGINT AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM embeddings JOIN named ON named.id = vec_id"""
+
+
+@query("op3_embedding_links", EMBEDDINGS_SQL)
+def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.find_links(table(spark, sf_dir, "embeddings"))
