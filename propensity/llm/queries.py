@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import (order_minhash, piece_encoding, positional_index, projections, secret_index, token_codes,
+from propensity.llm import (order_minhash, piece_encoding, positional_index, projections, secret_index, suffix_sort, token_codes,
                            toxicity, url_trees)
 from propensity.sources.tables import table
 
@@ -156,3 +156,10 @@ FROM embeddings JOIN named ON named.id = vec_id"""
 @query("op3_embedding_links", EMBEDDINGS_SQL)
 def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.find_links(table(spark, sf_dir, "embeddings"))
+
+
+# ---- 6: repeated passages
+
+@query("op6_repeated_passages")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_sort.remove_repeats(table(spark, sf_dir, "documents"), kept_text=False)
