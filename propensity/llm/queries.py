@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import (order_minhash, piece_encoding, positional_index, projections, secret_index, suffix_sort, token_codes,
+from propensity.llm import (order_minhash, personal_data, piece_encoding, positional_index, projections, secret_index, suffix_sort, token_codes,
                            toxicity, url_trees)
 from propensity.sources.tables import table
 
@@ -163,3 +163,14 @@ def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_repeated_passages")
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sort.remove_repeats(table(spark, sf_dir, "documents"), kept_text=False)
+
+
+# ---- 8: personal data
+
+@query("op8_personal_data")
+def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data.find_personal_data(docs, personal_data.fit(docs))
+    base = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    return found.select("doc_id", *[base(k) for k in personal_data.KINDS],
+                        F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
