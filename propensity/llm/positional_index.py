@@ -183,14 +183,9 @@ def proximity_matches(voted: DataFrame, slop: int = SLOP) -> DataFrame:
             .select("doc", "win").distinct())
 
 
-def find_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
-                  item_key: str = "item_id", item_text: str = "text", width: int = WIDTH,
-                  anchors: int = ANCHORS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per row of `docs`: n_words, the word spans hit (disjoint, in order) and the items found.
-
-    Returns key, n_words, hits array<struct<start, end>> in word numbers, items array<string>.
-    """
-    docs = docs.select(key, text)
+def with_candidates(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str, item_text: str, width: int,
+                    anchors: int, block_words: int) -> tuple[DataFrame, list[Windows]]:
+    """`docs` with `__found` array<struct<block, win, start>>, and the windows by block."""
     found = None
     dictionary: list[Windows] = []
     for rows in item_blocks(items, item_key, item_text, block_words):
@@ -203,42 +198,73 @@ def find_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         candidates = phrase_candidates(votes(index, chosen)).withColumn("block", F.lit(len(dictionary)))
         found = candidates if found is None else found.unionByName(candidates)
         dictionary.append(block)
-    kind = dict(docs.dtypes)[key]
-    schema = f"`{key}` {kind}, n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>"
     if found is None:
-        joined = docs.withColumn("__found", F.lit(None).cast("array<struct<block:int,win:int,start:int>>"))
-    else:
-        lists = found.groupBy("doc").agg(F.collect_list(F.struct("block", "win", "start")).alias("__found"))
-        joined = docs.join(lists, docs[key] == lists["doc"], "left").drop("doc")
-    return joined.select(key, text, "__found").mapInArrow(_verifier(dictionary, key, text), schema)
+        return docs.withColumn("__found", F.lit(None).cast("array<struct<block:int,win:int,start:int>>")), dictionary
+    lists = found.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("block", "win", "start")).alias("__found"))
+    return docs.join(lists, docs[key] == lists["__doc"], "left").drop("__doc"), dictionary
 
 
-def _verifier(dictionary: list[Windows], key: str, text: str):
-    phrases = [b.phrase for b in dictionary]
-    sizes = [[len(h) for h in b.hashes] for b in dictionary]
-    owner = [[str(b.item_ids[i]) for i in b.item] for b in dictionary]
+def find_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
+                  item_key: str = "item_id", item_text: str = "text", width: int = WIDTH,
+                  anchors: int = ANCHORS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Per row of `docs`: n_words, the word spans hit (disjoint, in order) and the items found.
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Returns key, n_words, hits array<struct<start, end>> in word numbers, items array<string>.
+    """
+    joined, dictionary = with_candidates(docs.select(key, text), items, key, text, item_key, item_text, width, anchors, block_words)
+    match = _matcher(dictionary)
+    kind = dict(docs.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, text):
-            words = Words(part.column(1))
-            n_words = np.diff(words.bounds)
-            hits, items = [], []
-            for d, found in enumerate(part.column(2).to_pylist()):
-                spans, names = [], set()
-                for f in found or ():
-                    b, w, s = f["block"], f["win"], f["start"]
-                    a = words.bounds[d] + s
-                    e = a + sizes[b][w]
-                    if e <= words.bounds[d + 1] and b"".join(words.word(k) + b"\0" for k in range(a, e)) == phrases[b][w]:
-                        spans.append((s, s + sizes[b][w]))
-                        names.add(owner[b][w])
-                at = np.array(spans, np.int64).reshape(-1, 2)
-                s, e = merge_spans(at[:, 0], at[:, 1])
-                hits.append([{"start": x, "end": y} for x, y in zip(s.tolist(), e.tolist())])
-                items.append(sorted(names))
+            n_words, hits, names = match(part.column(1), part.column(2))
+            spans = [[{"start": x, "end": y} for x, y in h] for h in hits]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n_words.astype(np.int64)),
-                 pa.array(hits, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(items, pa.list_(pa.string()))], [key, "n_words", "hits", "items"])
+                [part.column(0), pa.array(n_words), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                 pa.array(names, pa.list_(pa.string()))], [key, "n_words", "hits", "items"])
+
+    return joined.select(key, text, "__found").mapInArrow(
+        run, f"`{key}` {kind}, n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+                      item_text: str = "text", width: int = WIDTH, anchors: int = ANCHORS,
+                      block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of `docs`, with all their columns, that hold no window of an item."""
+    joined, dictionary = with_candidates(docs, items, key, text, item_key, item_text, width, anchors, block_words)
+    match = _matcher(dictionary)
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in blocks(batches, text):
+            place = part.schema.get_field_index
+            _, hits, _ = match(part.column(place(text)), part.column(place("__found")))
+            yield part.select(columns).filter(pa.array([not h for h in hits], pa.bool_()))
+
+    return joined.mapInArrow(run, docs.schema)
+
+
+def _matcher(dictionary: list[Windows]):
+    """A function (texts, candidates) -> (words, disjoint spans hit, items found) per text, compared byte by byte."""
+    phrases = [b.phrase for b in dictionary]
+    sizes = [[len(h) for h in b.hashes] for b in dictionary]
+    owner = [[str(b.item_ids[i]) for i in b.item] for b in dictionary]
 
-    return verify
+    def match(texts: pa.Array, candidates: pa.Array):
+        words = Words(texts)
+        hits, items = [], []
+        for d, found in enumerate(candidates.to_pylist()):
+            spans, names = [], set()
+            for f in found or ():
+                b, w, s = f["block"], f["win"], f["start"]
+                a = words.bounds[d] + s
+                e = a + sizes[b][w]
+                if e <= words.bounds[d + 1] and b"".join(words.word(k) + b"\0" for k in range(a, e)) == phrases[b][w]:
+                    spans.append((s, s + sizes[b][w]))
+                    names.add(owner[b][w])
+            at = np.array(spans, np.int64).reshape(-1, 2)
+            hits.append(list(zip(*(x.tolist() for x in merge_spans(at[:, 0], at[:, 1])))))
+            items.append(sorted(names))
+        return np.diff(words.bounds).astype(np.int64), hits, items
+
+    return match

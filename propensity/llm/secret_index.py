@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from propensity.llm.arrow_text import LOWER, blocks, bytes_of, runs
+from propensity.llm.arrow_text import LOWER, blocks, bytes_of, merge_spans, runs
 
 # A trigram query is True (no condition), or ("and" | "or", frozenset of queries), or a trigram.
 SET_LIMIT = 64  # alternatives of exact strings kept before they are turned into a query
@@ -215,27 +215,9 @@ def find_secrets(docs: DataFrame, rules: list[Rule], key: str = "doc_id", text:
     Spans of one kind do not overlap; they are ordered by start, then in the order of the rules.
     """
     codes = np.array(sorted({_code(g) for r in rules for g in trigrams_in(r.query)}), np.int64)
-    rank = {r.kind: i for i, r in enumerate(rules)}
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, text):
-            segment = Segment(part.column(1), codes)
-            texts: dict[int, str] = {}
-            found: dict[int, list] = {}
-            for rule in rules:
-                full = rule.query is True
-                for d in segment.matching(rule.query).tolist():
-                    t = texts.get(d)
-                    if t is None:
-                        t = part.column(1)[d].as_py() or ""
-                        texts[d] = t
-                    for m in rule.compiled.finditer(t):
-                        if rule.accept is None or rule.accept(m):
-                            found.setdefault(d, []).append((m.start(), rank[rule.kind], m.end(), rule.kind))
-                    if full and d in texts and len(rules) == 1:
-                        del texts[d]
-            spans = [[{"kind": k, "start": s, "end": e} for s, _, e, k in sorted(found.get(d, []))]
-                     for d in range(part.num_rows)]
+            spans = [[{"kind": k, "start": s, "end": e} for s, e, k in row] for row in scan_segment(part.column(1), rules, codes)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spans, _SPANS)], [key, "spans"])
 
     kind = dict(docs.dtypes)[key]
@@ -243,6 +225,40 @@ def find_secrets(docs: DataFrame, rules: list[Rule], key: str = "doc_id", text:
         scan, f"`{key}` {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
+def scan_segment(texts: pa.Array, rules: list[Rule], codes: np.ndarray) -> list[list[tuple[int, int, str]]]:
+    """(start, end, kind) of the spans of each text, found through the segment's posting lists."""
+    segment = Segment(texts, codes)
+    read: dict[int, str] = {}
+    found: list[list] = [[] for _ in range(len(texts))]
+    for rank, rule in enumerate(rules):
+        for d in segment.matching(rule.query).tolist():
+            if d not in read:
+                read[d] = texts[d].as_py() or ""
+            for m in rule.compiled.finditer(read[d]):
+                if rule.accept is None or rule.accept(m):
+                    found[d].append((m.start(), rank, m.end(), rule.kind))
+    return [[(s, e, k) for s, _, e, k in sorted(row)] for row in found]
+
+
+def redact_secrets(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """`docs` with every span found (overlapping ones as one) replaced by `[secret]`; null stays null."""
+    codes = np.array(sorted({_code(g) for r in rules for g in trigrams_in(r.query)}), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in blocks(batches, text):
+            place = part.schema.get_field_index(text)
+            column = part.column(place)
+            clean = column.to_pylist()
+            for d, row in enumerate(scan_segment(column, rules, codes)):
+                if row:
+                    at = np.array([(s, e) for s, e, _ in row])
+                    for s, e in reversed(list(zip(*merge_spans(at[:, 0], at[:, 1])))):
+                        clean[d] = clean[d][:s] + "[secret]" + clean[d][e:]
+            yield part.set_column(place, part.schema.field(place), pa.array(clean, column.type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 # Fixed values of the base rules: keyword letters in either case, ASCII only.

@@ -175,3 +175,14 @@ def score_documents(docs: DataFrame, model: ToxicityModel, key: str = "doc_id",
                 [key, "score", "predicted"])
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, with all their columns, that score below the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = model.scorer()
+        for part in blocks(batches, text):
+            texts = part.column(part.schema.get_field_index(text)).to_pylist()
+            yield part.filter(pa.array([score(t or "") < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
