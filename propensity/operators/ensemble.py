@@ -77,6 +77,32 @@ def best_weights(candidates: DataFrame) -> DataFrame:
     return arg_best(candidates, "auc", "candidate")
 
 
+def refine_weights(df: DataFrame, label: str, columns: Sequence[str], smallest: float = 1 / 64) -> DataFrame:
+    """One row: weights on the simplex found by pattern search, with the exact AUC of their mix.
+
+    From equal weights, weight moves in steps between every two scores; the step is halved when no
+    move helps, down to `smallest`. All moves of a round are judged in one job on unrounded scores.
+    """
+    rows = keep(df.select(F.col(label).alias("label"), *columns))
+    best, step, auc = [1 / len(columns)] * len(columns), 0.25, -1.0
+    while step >= smallest:
+        moves = [best]
+        for i in range(len(columns)):
+            for j in range(len(columns)):
+                if i != j and best[j] >= step - 1e-12:
+                    moves.append([w + step * ((k == i) - (k == j)) for k, w in enumerate(best)])
+        mixes = F.array(*[sum((F.col(c) * F.lit(float(w)) for c, w in zip(columns, m)), F.lit(0.0)) for m in moves])
+        long = rows.select("label", F.posexplode(mixes).alias("model", "p"))
+        top = E.auc_roc(long, "label", "p", ["model"]).orderBy(F.desc("auc"), "model").first()
+        if top is None or top.auc is None:
+            break
+        if top.auc > auc + 1e-12:
+            best, auc = moves[top.model], float(top.auc)
+        else:
+            step /= 2
+    return df.sparkSession.createDataFrame([(*map(float, best), auc)], [*[f"w_{c}" for c in columns], "auc"])
+
+
 @dataclass(frozen=True)
 class Stack:
     base: dict
@@ -98,7 +124,7 @@ def score_meta(meta, scored: DataFrame, columns: Sequence[str], name: str) -> Da
 
 
 def out_of_fold(train: DataFrame, key: str, presets: dict[str, dict], folds: int = 5,
-                threads: int = 4) -> DataFrame:
+                threads: int = 8) -> DataFrame:
     """Scores of each row by models that did not see its fold; every key occurs once."""
     rows = keep(stratified_folds(train, key, "label", folds))
     jobs: dict[str, Callable] = {

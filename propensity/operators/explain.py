@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
 from propensity.operators.models import score
+from propensity.operators.ordered import hash_ranks
+from propensity.session import keep
 
 
 def importance(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
@@ -32,9 +34,9 @@ def coefficients(spark: SparkSession, model, names: Sequence[str], nonzero: bool
 def regression_summary(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
     """Coefficients with errors where the fit allows them, and the fit measures as rows."""
     s = model.summary
-    try:
+    if model.getRegParam() == 0 and model.getSolver() == "normal":
         errors = [(float(e), float(p)) for e, p in zip(s.coefficientStandardErrors, s.pValues)]
-    except Exception:  # a penalised fit has no standard errors
+    else:  # a penalised fit has no standard errors
         errors = [(None, None)] * (len(names) + 1)
     rows = [(n, float(b), *e) for n, b, e in zip(names, model.coefficients.toArray(), errors)]
     rows.append(("(intercept)", float(model.intercept), *errors[-1]))
@@ -42,20 +44,14 @@ def regression_summary(spark: SparkSession, model, names: Sequence[str]) -> Data
     return spark.createDataFrame(rows, "term string, value double, std_error double, p_value double")
 
 
-def _with_partner(df: DataFrame, key: str, seed: int, rows_per_group: int = 20000) -> DataFrame:
-    """Add `__other`: the feature array of another row, each row used once.
+def _with_partner(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Add `__other`: the feature array of the next row in the order of a key hash, the first for the last.
 
-    Rows are spread evenly into groups by key hash and shifted by one inside a group in
-    the order of a second hash: a random permutation that needs one shuffle, no global sort.
+    A permutation of all rows at every size: ranks come from hash ranges, without a global sort.
     """
-    groups = max(1, df.count() // rows_per_group)
-    g = F.floor(C.hash_fraction(key, seed) * groups)
-    h = C.key_hash(key, seed + 1)
-    marked = df.withColumn("__g", g).withColumn("__h", h)
-    w = Window.partitionBy("__g").orderBy("__h", key)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    other = F.coalesce(F.lead("__x").over(w), F.first("__x").over(whole))
-    return marked.withColumn("__other", other).drop("__g", "__h")
+    ranked = keep(hash_ranks(df, key, seed))
+    others = ranked.select((F.col("rank") % F.col("n_group") + 1).alias("__turn"), F.col("__x").alias("__other"))
+    return ranked.join(others, F.col("rank") == F.col("__turn")).drop("rank", "n_group", "__turn")
 
 
 def _replace(array: str, at, value):

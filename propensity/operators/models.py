@@ -90,7 +90,7 @@ def fit(preset: str, train: DataFrame, **kwargs):
     return estimator(preset, **kwargs).fit(train)
 
 
-def fit_many(jobs: dict[str, Callable], threads: int = 4) -> dict:
+def fit_many(jobs: dict[str, Callable], threads: int = 8) -> dict:
     """Run independent fits from a few driver threads; Spark shares the executors."""
     inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(threads) as pool:

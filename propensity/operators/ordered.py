@@ -22,7 +22,8 @@ RANGE = "__range"
 def range_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
     """Cut points that put about the same number of rows into each range."""
     spark = df.sparkSession
-    n = ranges or min(1000, max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    # as many as tasks, and more for more rows: a range stays at about a million rows
+    n = ranges or max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200")), df.count() // 1_000_000)
     probs = [i / n for i in range(1, n)]
     cuts = df.select(F.col(column).cast("double").alias(column)).approxQuantile(
         column, probs, 0.5 / n)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import PCA, OneHotEncoder, VectorAssembler
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from propensity.operators.ordered import arg_best
-from propensity.session import new_path
+from propensity.functions import columns as C
+from propensity.session import keep, new_path
 
 
 def names_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:
@@ -131,11 +131,13 @@ def class_proximity(model, df: DataFrame, key: str, label: str) -> DataFrame:
     each = placed.select(label, F.posexplode("leaves").alias("tree", "leaf"))
     cells = each.groupBy("tree", "leaf").agg(
         F.array(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("n"))
-    per_tree = cells.groupBy("tree").agg(
-        F.map_from_entries(F.collect_list(F.struct("leaf", "n"))).alias("m"))
-    table = per_tree.agg(F.map_from_entries(F.collect_list(F.struct("tree", "m")))).scalar()
+    # arrays indexed by tree and leaf, of the size of the model
+    per_tree = cells.groupBy("tree").agg(F.map_from_entries(F.collect_list(F.struct("leaf", "n"))).alias("m"), F.max("leaf").alias("last"))
+    dense = F.transform(F.sequence(F.lit(0).cast("int"), F.col("last").cast("int")), lambda i: F.element_at("m", i))
+    table = per_tree.select("tree", dense.alias("n")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("tree", "n"))), lambda t: t["n"])).scalar()
     sizes = df.agg(F.array(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1))).scalar()
-    shared = F.transform("leaves", lambda leaf, t: F.element_at(F.element_at("__m", t), leaf))
+    shared = F.transform("leaves", lambda leaf, t: F.get(F.get("__m", t), leaf.cast("int")))
 
     def share(c: int) -> Column:
         total = F.aggregate("__near", F.lit(0).cast("bigint"), lambda s, x: s + x[c])
@@ -145,34 +147,33 @@ def class_proximity(model, df: DataFrame, key: str, label: str) -> DataFrame:
             .select(key, label, share(0).alias("to_class0"), share(1).alias("to_class1")))
 
 
-PAIR_LIMIT = 2000  # rows of a proximity matrix
+LANDMARKS = 256  # rows that span the map, at most
 
 
-def pair_proximity(model, sample: DataFrame, key: str) -> DataFrame:
-    """(row_a, row_b, share) for a sample; a matrix has n^2 cells, so the sample is limited."""
-    n = sample.count()
-    if n > PAIR_LIMIT:
-        raise ValueError(f"{n} rows; a pair table takes a sample of at most {PAIR_LIMIT}")
-    placed = leaves_of(model, sample.select(key, "features")).select(key, "leaves")
-    a = placed.select(F.col(key).alias("row_a"), F.posexplode("leaves").alias("tree", "leaf"),
-                      F.size("leaves").alias("t"))
-    b = placed.select(F.col(key).alias("row_b"), F.posexplode("leaves").alias("tree", "leaf"))
-    return a.join(b, ["tree", "leaf"]).groupBy("row_a", "row_b").agg(
-        (F.count("*") / F.max("t")).alias("share"))
+def leaf_map(model, df: DataFrame, key: str, landmarks: int = LANDMARKS) -> DataFrame:
+    """Two principal coordinates of the proximity to a bounded set of landmark rows.
 
-
-def leaf_map(model, df: DataFrame, key: str) -> DataFrame:
-    """Two principal coordinates of the leaf membership of each row."""
-    n = len(model.trees)
-    placed = leaves_of(model, df.select(key, "features"))
-    cols = [f"leaf{i}" for i in range(n)]
-    wide = placed.select(key, *[F.col("leaves")[i].cast("double").alias(c) for i, c in enumerate(cols)])
-    hot = [f"{c}_hot" for c in cols]
-    steps = Pipeline(stages=[OneHotEncoder(inputCols=cols, outputCols=hot, dropLast=False),
-                             VectorAssembler(inputCols=hot, outputCol="leaf_vector"),
-                             PCA(k=2, inputCol="leaf_vector", outputCol="at")])
-    out = steps.fit(wide).transform(wide).withColumn("at", vector_to_array("at"))
-    return out.select(key, F.col("at")[0].alias("dim1"), F.col("at")[1].alias("dim2"))
+    The landmarks are the first rows of a key hash; their proximities (share of common leaves) give
+    a small eigenproblem, and every row is placed by its proximities to them, row by row.
+    """
+    placed = keep(leaves_of(model, df.select(key, "features")).select(key, "leaves"))
+    marks = np.array([r.leaves for r in placed.orderBy(C.key_hash(key), key).limit(landmarks).select("leaves").collect()])
+    if not len(marks):
+        return placed.select(key, F.lit(0.0).alias("dim1"), F.lit(0.0).alias("dim2"))
+    near = (marks[:, None, :] == marks[None, :, :]).mean(axis=2)
+    mean, whole = near.mean(axis=0), near.mean()
+    values, vectors = np.linalg.eigh(near - mean[:, None] - mean[None, :] + whole)
+    order = np.argsort(-values)[:2]
+    root = np.sqrt(np.maximum(values[order], 1e-12))
+    axes = vectors[:, order] * np.sign(vectors[np.abs(vectors[:, order]).argmax(axis=0), order]) / root
+
+    @F.pandas_udf("dim1 double, dim2 double")
+    def place(leaves: pd.Series) -> pd.DataFrame:
+        k = np.array([(marks == x).mean(axis=1) for x in leaves]).reshape(-1, len(marks))
+        at = (k - k.mean(axis=1, keepdims=True) - mean + whole) @ axes
+        return pd.DataFrame({"dim1": at[:, 0], "dim2": at[:, 1] if at.shape[1] > 1 else 0.0})
+
+    return placed.withColumn("at", place("leaves")).select(key, "at.dim1", "at.dim2")
 
 
 def split_importance(nodes: DataFrame) -> DataFrame:
@@ -182,7 +183,3 @@ def split_importance(nodes: DataFrame) -> DataFrame:
                                         F.sum("rows").alias("cover"), F.count("*").alias("frequency"))
     total = F.sum("gain").over(Window.partitionBy())
     return out.withColumn("relative_influence", 100 * F.try_divide(F.col("gain"), total))
-
-
-def best_tree_count(curve: DataFrame) -> DataFrame:
-    return arg_best(curve, "error", "trees", largest=False)

@@ -13,12 +13,10 @@ from propensity.plans.model_queries import value_rows
 from propensity.plans.prepared import VALUE_COLUMNS, churn_data
 from propensity.plans.registry import query
 
-TREES = {"numTrees": 20, "maxDepth": 5}
 
-
-def _forest(spark, d, **override):
+def _forest(spark, d):
     data = churn_data(spark, d)
-    return data, M.fit("forest", data.train, **{**TREES, **override})
+    return data, M.fit("forest", data.train)
 
 
 @query("e11_error_by_trees")
@@ -45,14 +43,14 @@ def i1(spark, d):
 @query("i2_permutation_importance")
 def i2(spark, d):
     data, model = _forest(spark, d)
-    return X.permutation_importance(model, data.rows, "CustomerID", "label", data.names)
+    return X.permutation_importance(model, data.test, "CustomerID", "label", data.names)
 
 
 @query("i3_importance_spread")
 def i3(spark, d):
     data, model = _forest(spark, d)
     names = data.names
-    runs = [X.permutation_importance(model, data.rows, "CustomerID", "label", names, seed)
+    runs = [X.permutation_importance(model, data.test, "CustomerID", "label", names, seed)
             for seed in (1, 2, 3)]
     every = runs[0].unionByName(runs[1]).unionByName(runs[2])
     return every.groupBy("feature").agg(F.avg("importance").alias("mean"),
@@ -68,9 +66,9 @@ def i4(spark, d):
 @query("i5_importance_comparison")
 def i5(spark, d):
     data, model = _forest(spark, d)
-    boosted = M.fit("boosted", data.train, maxIter=5)
+    boosted = M.fit("boosted", data.train)
     forest = X.importance(spark, model, data.names).withColumnRenamed("importance", "forest_gini")
-    mda = X.permutation_importance(model, data.rows, "CustomerID", "label", data.names
+    mda = X.permutation_importance(model, data.test, "CustomerID", "label", data.names
                                    ).withColumnRenamed("importance", "forest_mda")
     gain = R.split_importance(R.node_table(spark, boosted, data.names)).select(
         "feature", F.col("gain").alias("boosted_gain"))
@@ -99,7 +97,7 @@ def i8(spark, d):
 @query("i9_tree_text")
 def i9(spark, d):
     _, model = _forest(spark, d)
-    return spark.createDataFrame([(0, model.trees[0].toDebugString)], "tree int, text string")
+    return spark.createDataFrame([(i, t.toDebugString) for i, t in enumerate(model.trees)], "tree int, text string")
 
 
 @query("i10_vote_distribution")
@@ -113,7 +111,7 @@ def i10(spark, d):
 def _decile_grid(data, name: str, points: int = 10) -> tuple[int, list[float]]:
     """Slot of a feature and its approximate quantiles over the training rows."""
     slot = data.names.index(name)
-    col = data.encoder.transform(data.raw).select(name)
+    col = data.encoder.transform(data.raw.filter(F.col("split") == "train")).select(name)
     return slot, sorted(set(col.approxQuantile(name, [(i + 0.5) / points for i in range(points)], 0.01)))
 
 
@@ -121,7 +119,7 @@ def _decile_grid(data, name: str, points: int = 10) -> tuple[int, list[float]]:
 def i11(spark, d):
     data, model = _forest(spark, d)
     slot, values = _decile_grid(data, "tenure_imp")
-    out = X.partial_dependence(model, data.rows, {slot: values})
+    out = X.partial_dependence(model, data.train, {slot: values})
     return out.withColumnRenamed(f"value_{slot}", "tenure")
 
 
@@ -130,7 +128,7 @@ def i11b(spark, d):
     data, model = _forest(spark, d)
     a, av = _decile_grid(data, "tenure_imp", 5)
     b, bv = _decile_grid(data, "MonthlyCharges_imp", 5)
-    out = X.partial_dependence(model, data.rows, {a: av, b: bv})
+    out = X.partial_dependence(model, data.train, {a: av, b: bv})
     return out.withColumnsRenamed({f"value_{a}": "tenure", f"value_{b}": "MonthlyCharges"})
 
 
@@ -142,7 +140,7 @@ def i12(spark, d):
 
 @query("i13_leaf_map")
 def i13(spark, d):
-    data, model = _forest(spark, d, numTrees=10, maxDepth=4)
+    data, model = _forest(spark, d)
     return R.leaf_map(model, data.rows, "CustomerID")
 
 
@@ -167,7 +165,7 @@ def i15(spark, d):
 
 @query("i16_regression_summary")
 def i16(spark, d):
-    rows = value_rows(spark, d)
+    rows = value_rows(spark, d).filter(F.col("split") != "new")
     model = M.fit("linear", rows, solver="normal")
     return X.regression_summary(spark, model, VALUE_COLUMNS)
 
@@ -175,5 +173,5 @@ def i16(spark, d):
 @query("i17_boosting_importance")
 def i17(spark, d):
     data = churn_data(spark, d)
-    model = M.fit("boosted", data.train, maxIter=5)
+    model = M.fit("boosted", data.train)
     return R.split_importance(R.node_table(spark, model, data.names))

@@ -57,7 +57,7 @@ def loan_rows(spark, d):
 @query("m3_forest_regressor")
 def m3(spark, d):
     train, test = loan_rows(spark, d)
-    model = M.fit("loan_forest", train, numTrees=20)
+    model = M.fit("loan_forest", train)
     return model.transform(test).select("l_orderkey", "l_linenumber", "l_partkey",
                                         F.col("label").alias("actual"), "prediction")
 
@@ -103,10 +103,11 @@ def m4b(spark, d):
 
 
 def value_rows(spark, d):
-    """Lifetime-value rows with assembled features and an 80/20 split."""
-    df = value_columns(plan_flags(views.subscriber_features(spark, d))).filter(
-        F.col("estimated_ltv_usd").isNotNull())
-    df = sampling.with_split(df, "subscriber_id", {"train": 0.8, "test": 0.2})
+    """All subscribers with assembled features; rows with a label are split 80/20, the others are only
+    scored: split `new`."""
+    df = value_columns(plan_flags(views.subscriber_features(spark, d)))
+    df = sampling.with_split(df, "subscriber_id", {"train": 0.8, "test": 0.2}).fillna(0, VALUE_COLUMNS)
+    df = df.withColumn("split", F.when(F.col("estimated_ltv_usd").isNotNull(), F.col("split")).otherwise("new"))
     return keep(assemble(df, VALUE_COLUMNS).select(
         "subscriber_id", F.col("estimated_ltv_usd").alias("label"), "features", "split"))
 
@@ -114,7 +115,7 @@ def value_rows(spark, d):
 @query("m5_boosted_regressor")
 def m5(spark, d):
     rows = value_rows(spark, d)
-    model = M.fit("value_boosted", rows.filter(F.col("split") == "train"), maxIter=20)
+    model = M.fit("value_boosted", rows.filter(F.col("split") == "train"))
     return model.transform(rows).select("subscriber_id", "label", "prediction")
 
 
@@ -122,13 +123,13 @@ def m5(spark, d):
 def m6(spark, d):
     data = churn_data(spark, d)
     train = balance.add_class_weight(data.train, "label")
-    return _scored(M.fit("boosted", train, weight="class_weight", maxIter=15), data.rows)
+    return _scored(M.fit("boosted", train, weight="class_weight"), data.rows)
 
 
 @query("m7_best_rounds")
 def m7(spark, d):
     data = churn_data(spark, d)
-    model = M.fit("boosted", data.train, maxIter=15)
+    model = M.fit("boosted", data.train)
     losses = M.best_rounds(model, data.val)
     best = min(losses, key=lambda r: (r[1], r[0]))[0]
     return spark.createDataFrame([(n, v, n == best) for n, v in losses],
@@ -138,20 +139,22 @@ def m7(spark, d):
 @query("m8_xgb_like_booster")
 def m8(spark, d):
     data = churn_data(spark, d)
-    return _scored(M.fit("xgb_like", data.train, maxIter=12), data.rows)
+    train = balance.add_class_weight(data.train, "label")
+    return _scored(M.fit("xgb_like", train, weight="class_weight"), data.rows)
 
 
 @query("m9_lgb_like_booster")
 def m9(spark, d):
     data = churn_data(spark, d)
-    return _scored(M.fit("lgb_like", data.train, maxIter=12), data.rows)
+    train = balance.add_class_weight(data.train, "label")
+    return _scored(M.fit("lgb_like", train, weight="class_weight"), data.rows)
 
 
 @query("m10_lasso_path")
 def m10(spark, d):
     data = churn_data(spark, d)
     train = sampling.stratified_folds(data.train, "CustomerID", "label", 5)
-    path = M.penalty_path(keep(train), [0.001, 0.003, 0.01, 0.03], 5, fold_col="fold")
+    path = M.penalty_path(keep(train), [10 ** (-i / 4) for i in range(4, 17)], 5, fold_col="fold")
     best, sparse = M.choose_penalty(path)
     return spark.createDataFrame(
         [(lam, m, s, lam == best, lam == sparse) for lam, m, s in path],
@@ -177,6 +180,7 @@ def m13(spark, d):
 
 
 def rating_rows(spark, d):
+    # the learner takes 32-bit ids: dense numbers would be needed beyond them, so an overflow has to fail
     return keep(views.ratings(spark, d).select(
         F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
         F.col("rating").cast("float").alias("rating")))
@@ -196,7 +200,7 @@ def m15(spark, d):
 @query("m16_score_any_model")
 def m16(spark, d):
     data = churn_data(spark, d)
-    parts = [M.score(M.fit(name, data.train), data.test).select(
+    parts = [M.score(M.fit(name, data.train), data.rows).select(
         F.lit(name).alias("model"), "CustomerID", "prob") for name in ("tree", "bayes", "lasso")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -46,7 +46,8 @@ def churn_data(spark: SparkSession, sf_dir: str) -> ChurnData:
     raw = charge_columns(views.churn(spark, sf_dir)).withColumn("label", F.col("Churn"))
     raw = keep(sampling.with_split(raw, "CustomerID", {"train": 0.7, "val": 0.15, "test": 0.15}))
     encoder = CHURN_FEATURES.fit(raw.filter(F.col("split") == "train"))
-    rows = encoder.transform(raw).select("CustomerID", "label", "features", "split")
+    # fits pass over these rows many times: the encoded ones are kept, too
+    rows = keep(encoder.transform(raw).select("CustomerID", "label", "features", "split"))
     return ChurnData(rows, encoder, raw)
 
 

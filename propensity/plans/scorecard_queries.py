@@ -19,7 +19,7 @@ from propensity.operators import sampling, tuning
 from propensity.operators import subscribers as S
 from propensity.plans import view_sql as Q
 from propensity.plans.column_queries import RISK_SQL, TIER_SQL, ltv_tier, risk_segment
-from propensity.plans.ensemble_queries import SHORT, eight_scores
+from propensity.plans.ensemble_queries import BASE, eight_scores
 from propensity.plans.loan_job import errors, loan_frames
 from propensity.plans.model_queries import (OUTLIER_COLS, outlier_sql, rating_rows, value_rows)
 from propensity.plans.prepared import CHURN_COLUMNS, churn_data
@@ -31,9 +31,11 @@ from propensity.sources import sinks, tables, views
 
 
 def churn_rows(spark, d):
-    """Subscriber churn rows with assembled features and an 80/20 split."""
-    df = S.plan_flags(views.subscriber_features(spark, d)).filter(F.col("n_orders") > 0)
+    """All subscribers with assembled features; those with an order before the cut-off split 80/20, the
+    others (no tenure, no fee, no label) are only scored: split `new`."""
+    df = S.plan_flags(views.subscriber_features(spark, d)).fillna(0, ["tenure_months", "monthly_fee_usd"])
     df = sampling.with_split(df, "subscriber_id", {"train": 0.8, "test": 0.2})
+    df = df.withColumn("split", F.when(F.col("n_orders") > 0, F.col("split")).otherwise("new"))
     return keep(X.assemble(df, CHURN_COLUMNS).select(
         "subscriber_id", F.col("churned").alias("label"), "features", "split"))
 
@@ -62,7 +64,7 @@ def c1b(spark, d):
 @query("c2_value_tiers")
 def c2(spark, d):
     rows = value_rows(spark, d)
-    model = M.fit("value_boosted", rows.filter(F.col("split") == "train"), maxIter=15)
+    model = M.fit("value_boosted", rows.filter(F.col("split") == "train"))
     scored = model.transform(rows).withColumn("ltv_tier", ltv_tier(F.col("prediction")))
     return A.group_summary(scored, "ltv_tier", {"avg_ltv": "prediction"})
 
@@ -72,7 +74,7 @@ def c2b(spark, d):
     rows = value_rows(spark, d)
     train, test = (rows.filter(F.col("split") == s) for s in ("train", "test"))
     models = M.fit_many({"value_linear": lambda: M.fit("value_linear", train),
-                         "value_boosted": lambda: M.fit("value_boosted", train, maxIter=15)})
+                         "value_boosted": lambda: M.fit("value_boosted", train)})
     parts = [m.transform(test).select(F.lit(n).alias("model"), "label", "prediction")
              for n, m in models.items()]
     return E.regression_errors(parts[0].unionByName(parts[1]), "label", "prediction", ["model"])
@@ -109,7 +111,7 @@ def c4(spark, d):
 @query("c5_upsell_top")
 def c5(spark, d):
     df = views.subscriber_features(spark, d).filter(
-        F.col("plan").isin("basic", "standard") & F.col("tenure_months").isNotNull())
+        F.col("plan").isin("basic", "standard")).fillna(0, ["tenure_months", "monthly_fee_usd"])
     df = S.upgrade_label(S.plan_flags(df.withColumn("genres_watched", F.col("plan_changes"))))
     df = sampling.with_split(df, "subscriber_id", {"train": 0.8, "test": 0.2})
     rows = keep(X.assemble(df, UPSELL_COLUMNS).select(
@@ -205,7 +207,7 @@ def c9(spark, d):
                            {"threshold": threshold, "version": "v1.0"})
     # a later run: only the bundle and the new rows
     models, details = L.load_bundle(spark, bundle)
-    new = views.churn(spark, d).drop("Churn")
+    new = views.churn(spark, d, everyone=True).drop("Churn")
     scored = M.score(models["churn"], X.charge_columns(new)).select(
         "CustomerID", C.half_up(F.col("prob"), 4).alias("prob_churn"))
     scored = scored.withColumn("prediction", C.threshold_label(
@@ -236,7 +238,7 @@ def c9b(spark, d):
 @query("c10_ensemble_scoring")
 def c10(spark, d):
     data = churn_data(spark, d)
-    stack = N.fit_stack(data.train, "CustomerID", SHORT, 3)
+    stack = N.fit_stack(data.train, "CustomerID", BASE, 5)
     long = N.score_all(stack.base, data.val)
     weights = E.auc_roc(long.unpivot(["label"], list(stack.columns), "model", "p"), "label", "p", ["model"]).collect()
     total = sum(r.auc for r in weights)
@@ -245,10 +247,11 @@ def c10(spark, d):
         **{f"base_{n}": PipelineModel([m]) for n, m in stack.base.items()}},
         {f"weight_{r.model}": r.auc / total for r in weights})
     models, details = L.load_bundle(spark, path)
-    base = {n: models[f"base_{n}"].stages[0] for n in SHORT}
+    base = {n: models[f"base_{n}"].stages[0] for n in BASE}
     again = N.Stack(base, models["meta"].stages[0], stack.columns)
     w = F.struct(*[F.lit(float(details[f"weight_{c}"])).alias(c) for c in stack.columns])
-    new = models["encoder"].transform(data.raw).select("CustomerID", "features")
+    everyone = X.charge_columns(views.churn(spark, d, everyone=True))
+    new = models["encoder"].transform(everyone).select("CustomerID", "features")
     return eight_scores(again.score(new), w)
 
 
@@ -256,7 +259,7 @@ def c10(spark, d):
 def c11(spark, d):
     train, test = loan_frames(spark, d)
     grid = tuning.combinations({"maxDepth": [3, 7], "minInstancesPerNode": [10, 50]})
-    best, _ = tuning.grid_search(train, "loan_forest", grid, 3, regression=True, numTrees=10)
-    plain = M.fit("loan_forest", train, numTrees=20)
+    best, _ = tuning.grid_search(train, "loan_forest", grid, 5, regression=True)
+    plain = M.fit("loan_forest", train)
     return errors(plain.transform(test)).withColumn("model", F.lit("forest")).unionByName(
         errors(best.transform(test)).withColumn("model", F.lit("tuned")))

@@ -13,7 +13,7 @@ from propensity.operators import models as M
 from propensity.operators import records as L
 from propensity.operators import tuning as T
 from propensity.plans import view_sql as Q
-from propensity.plans.ensemble_queries import SHORT
+from propensity.plans.ensemble_queries import BASE
 from propensity.plans.loan_job import train_loan_model
 from propensity.plans.metric_queries import AUC_BY_MODEL
 from propensity.plans.prepared import CHURN_FEATURES, churn_data
@@ -28,34 +28,34 @@ from propensity.sources import tables, views
 def t1(spark, d):
     data = churn_data(spark, d)
     grid = T.combinations({"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]})
-    return T.grid_search(data.train, "logistic", grid, 5, "CustomerID", maxIter=30)[1]
+    return T.grid_search(data.train, "logistic", grid, 5, "CustomerID", maxIter=100)[1]
 
 
 @query("t2_train_validation_split")
 def t2(spark, d):
     data = churn_data(spark, d)
     grid = T.combinations({"maxDepth": [3, 5], "minInstancesPerNode": [1, 10]})
-    return T.split_search(data.train, "forest", grid, numTrees=10)[1]
+    return T.split_search(data.train, "forest", grid)[1]
 
 
 @query("t3_metrics_per_parameters")
 def t3(spark, d):
     data = churn_data(spark, d)
     grid = T.combinations({"maxDepth": [3, 5], "minInstancesPerNode": [5, 10]})
-    return T.grid_search(data.train, "forest", grid, 3, "CustomerID", numTrees=10)[1]
+    return T.grid_search(data.train, "forest", grid, 5, "CustomerID")[1]
 
 
 @query("t4_holdout_error_grid")
 def t4(spark, d):
     data = churn_data(spark, d)
-    grid = T.combinations({"featureSubsetStrategy": ["3", "5", "7"], "minInstancesPerNode": [1, 5]})
-    return T.brier_search(data.train, data.val, "forest", grid, numTrees=10, maxDepth=5)
+    grid = T.combinations({"numTrees": [300, 500], "featureSubsetStrategy": ["3", "5", "7"], "minInstancesPerNode": [1, 5, 10]})
+    return T.brier_search(data.train, data.val, "forest", grid)
 
 
 @query("t5_stepwise_features_per_split")
 def t5(spark, d):
     data = churn_data(spark, d)
-    return T.stepwise_features_per_split(data.train, data.val, len(data.names), numTrees=10, maxDepth=5)
+    return T.stepwise_features_per_split(data.train, data.val, len(data.names))
 
 
 @query("t6_random_grid")
@@ -63,21 +63,21 @@ def t6(spark, d):
     data = churn_data(spark, d)
     grid = T.random_combinations({"regParam": [0.001, 0.01, 0.1, 1.0], "maxIter": [20, 40],
                                   "elasticNetParam": [0.0, 0.5, 1.0]}, 4)
-    return T.grid_search(data.train, "logistic", grid, 3, "CustomerID")[1]
+    return T.grid_search(data.train, "logistic", grid, 5, "CustomerID")[1]
 
 
 @query("t7_meta_alpha_search")
 def t7(spark, d):
     data = churn_data(spark, d)
     specs = {"tree": {}, "bayes": {}, "lasso": {}}
-    oof = N.out_of_fold(data.train, "CustomerID", specs, 3).drop("features", "fold")
+    oof = N.out_of_fold(data.train, "CustomerID", specs, 5).drop("features", "fold")
     rows = keep(X.assemble(oof, [f"prob_{n}" for n in specs]))
-    grid = T.combinations({"elasticNetParam": [0.0, 0.25, 0.5, 0.75, 1.0]})
-    return T.grid_search(rows, "logistic", grid, 3, "CustomerID", regParam=0.001, maxIter=50)[1]
+    grid = T.combinations({"elasticNetParam": [i / 10 for i in range(11)]})
+    return T.grid_search(rows, "logistic", grid, 5, "CustomerID", regParam=0.001, maxIter=100)[1]
 
 
-REGULARISED = {"forest_regularised": {"numTrees": 20}, "boosted_regularised": {"maxIter": 5},
-               "logistic_regularised": {}, "xgb_regularised": {"maxIter": 5}, "lgb_regularised": {"maxIter": 5}}
+REGULARISED: dict[str, dict] = {n: {} for n in (
+    "forest_regularised", "boosted_regularised", "logistic_regularised", "xgb_regularised", "lgb_regularised")}
 
 
 @query("t8_regularised_presets")
@@ -89,29 +89,29 @@ def t8(spark, d):
 @query("t9_leaderboard")
 def t9(spark, d):
     data = churn_data(spark, d)
-    return T.leaderboard(data.train, data.test, {**SHORT, "tree": {}, "bayes": {}, "svc": {"maxIter": 20}},
+    return T.leaderboard(data.train, data.test, {**BASE, "tree": {}, "bayes": {}, "svc": {}},
                          "CustomerID")
 
 
 @query("t10_parameterised_job")
 def t10(spark, d):
-    return train_loan_model(spark, d, n_estimators=20, max_depth=5, min_samples_leaf=10,
+    return train_loan_model(spark, d, n_estimators=200, max_depth=5, min_samples_leaf=10,
                             min_samples_split=20)[1]
 
 
 @query("t11_error_by_complexity")
 def t11(spark, d):
     data = churn_data(spark, d)
-    grid = T.combinations({"maxDepth": [1, 2, 4], "minInfoGain": [0.0, 0.01]})
-    return T.grid_search(data.train, "tree", grid, 3, "CustomerID")[1]
+    grid = T.combinations({"maxDepth": [1, 2, 3, 4, 6, 8], "minInfoGain": [0.0, 0.001, 0.01]})
+    return T.grid_search(data.train, "tree", grid, 5, "CustomerID")[1]
 
 
 @query("f12_feature_elimination")
 def f12(spark, d):
     data = churn_data(spark, d)
-    cols = ["tenure", "tenure_sq", "MonthlyCharges", "TotalCharges", "avg_charges", "charge_ratio"]
-    rows = data.raw.filter(F.col("split") == "train").select("CustomerID", "label", *cols).fillna(0.0)
-    return T.eliminate_features(rows, cols, [2, 4], "CustomerID", 3, numTrees=10, maxDepth=4)
+    cols = [f"{c}_imp" for c in CHURN_FEATURES.numeric]  # medians of the training rows
+    rows = data.encoder.transform(data.raw.filter(F.col("split") == "train")).select("CustomerID", "label", *cols)
+    return T.eliminate_features(rows, cols, [2, 4], "CustomerID", 5)
 
 
 # ---- records -------------------------------------------------------------------------

@@ -154,14 +154,20 @@ def subscriber_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "churned")
 
 
-def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The churn table: charges, three categorical columns, nulls in TotalCharges."""
+def churn(spark: SparkSession, sf_dir: str, everyone: bool = False) -> DataFrame:
+    """The churn table: charges, three categorical columns, nulls in TotalCharges.
+
+    With `everyone` also customers without an order before the cut-off, who can be scored but not
+    learned from: their tenure and charges are null.
+    """
+    features = order_features(spark, sf_dir)
+    if not everyone:
+        features = features.filter(F.col("n_orders") > 0)
     spent = (table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("custkey"))
              .agg(F.sum("value").alias("TotalCharges")))
     return (customers(spark, sf_dir)
-            .join(order_features(spark, sf_dir), "custkey")
+            .join(features, "custkey", "left" if everyone else "inner")
             .join(spent, "custkey", "left")
-            .filter(F.col("n_orders") > 0)
             .select(F.col("custkey").alias("CustomerID"),
                     F.col("tenure_months").alias("tenure"),
                     (F.col("monthly_fee_usd") * 3).alias("MonthlyCharges"),

@@ -10,7 +10,7 @@ from propensity.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", 8)
+    session = build_session("tests", os.environ.get("TEST_CPUS", "8"))
     yield session
     session.stop()
 
