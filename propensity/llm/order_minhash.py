@@ -6,14 +6,15 @@ One sketch is the `LENGTH` k-mers with the smallest hash values, kept in the ord
 two texts agree in a sketch if they share these k-mers in the same order, which is likelier the
 smaller their edit distance is. Texts that agree in one of `SKETCHES` sketches are candidates.
 
-A candidate pair is aligned inside a band of diagonals, which is widened until the edit distance
-is certain. The similarity is the share of shingles that the alignment keeps together:
-kept / (shingles of a + shingles of b - kept); pairs with 0.8 or more are linked.
+A candidate pair is aligned word by word inside the band of diagonals that a similar pair cannot leave.
+Pairs whose similarity, 1 - distance / words of the longer text, is 0.8 or more
+are linked. Five-word shingle sets with a Jaccard similarity of 0.8 imply that; at that similarity
+a pair is a candidate with probability 1 - (1 - 0.8^3)^12 = 0.9998, at 0.6 with 0.94.
 
 Equal word sequences are one text with a class of copies from the start. Buckets are worked off
 in rounds: the members that are not yet in the class of the bucket's leaders are compared with
-these, small rests are compared pair by pair, and what was linked leaves together; so a bucket of
-many copies costs one comparison per member and a round ends in smaller buckets. The rounds go
+these, small buckets are compared pair by pair, and what was linked counts as one class. A bucket of
+many copies costs a few comparisons per member; leaders multiply from round to round, so rounds are few. The rounds go
 on until no bucket holds two classes that were not compared.
 
 A text without words (null and empty ones too) is a copy only of rows with the same text; null counts
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from propensity.llm.arrow_text import Words, blocks, mix, prefix_sums, span_hashes
+from propensity.llm.arrow_text import Words, blocks, mix
 from propensity.llm.components import components
 from propensity.session import keep
 
@@ -38,10 +39,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 LENGTH = 3  # k-mers of a sketch
 SKETCHES = 12
-LEADERS = 3  # of a large bucket in a round
-SMALL = 8  # members of a bucket that are compared pair by pair
-REFINE = (3, 6)  # rounds after which the large buckets left are split by a further sketch
-TABLE = 1 << 22  # cells of the table of equal words; longer texts use span hashes
+LEADERS = 4  # of a large bucket in the first round; 64 times as many in each further one
+SMALL = 40  # members of a bucket that are compared pair by pair
+REFINE = (2, 4)  # rounds after which the large buckets left are split by a further sketch
 _SALTS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -81,128 +81,57 @@ def sketch(words: np.ndarray, sketches: int = SKETCHES, length: int = LENGTH) ->
     return value
 
 
-def _extender(a: np.ndarray, b: np.ndarray, band: int):
-    """A function (places in a, rows) -> the place where a and b first differ on that diagonal."""
-    n, m = len(a), len(b)
-    width = 2 * band + 1
-    if width * (n + 1) <= TABLE:
-        j = np.arange(n)[None, :] + np.arange(-band, band + 1)[:, None]
-        same = (j >= 0) & (j < m) & (b[np.clip(j, 0, m - 1)] == a[None, :])
-        place = np.full((width, n + 1), n)
-        place[:, :n] = np.where(same, n, np.arange(n)[None, :])
-        reach = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1]
-        return lambda at, rows: reach[rows, at]
-    sa, sb = prefix_sums(a), prefix_sums(b)
-
-    def extend(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        # longest common run by bisection over span hashes: no table, for very long texts
-        j = at + rows - band
-        low = np.zeros(len(at), np.int64)
-        high = np.maximum(np.minimum(n - at, m - j), 0)
-        ok = (j >= 0) & (j <= m)
-        high[~ok] = 0
-        j = np.where(ok, j, 0)
-        while (low < high).any():
-            mid = (low + high + 1) // 2
-            same = span_hashes(sa, at, at + mid) == span_hashes(sb, j, j + mid)
-            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return at + low
-
-    return extend
-
-
-def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> tuple[int, list[tuple[int, int, int]]] | None:
-    """Edit distance (substitute, insert, delete) and matched runs (start in a, in b, length), or None
-    if the distance is over `most`. The band is doubled until it holds an optimal path."""
+def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """Edit distance (substitute, insert, delete), or None if it is over `most`.
+
+    Bit-parallel alignment inside the band of 2 * most + 1 diagonals: one integer holds the differences
+    between neighbouring cells of a column, and moves down with the band from word to word of b.
+    """
+    if len(a) < len(b):
+        a, b = b, a
     n, m = len(a), len(b)
-    if abs(n - m) > most:
+    most = min(most, n)
+    if n - m > most:
         return None
-    band = max(8, abs(n - m))
-    while True:
-        band = min(band, max(most, abs(n - m)))
-        found = _search(a, b, band, min(band, most))
-        if found is not None or band >= most:
-            return found
-        band *= 2
+    if not m:
+        return n
+    places: dict[int, int] = {}
+    for i, w in enumerate(a.tolist()):
+        places[w] = places.get(w, 0) | 1 << i
+    width = 2 * most + 2
+    full = (1 << width) - 1
+    low = 1 << (width - 1)  # the lowest diagonal of the band
+    up = full ^ ((1 << (width - most - 1)) - 1)  # vertical differences of +1
+    down = 0  # and of -1
+    start = most + 1 - width  # word of a at the band's first bit
+    at = most  # distance in the cell that is followed: down the lowest diagonal, then along the last row
+    row = width - 2
+    for i, w in enumerate(b.tolist()):
+        here = places.get(w, 0)
+        match = (here >> start if start >= 0 else here << -start) & full
+        zero = ((((match & up) + up) ^ up) | match | down) & full  # diagonal differences of 0
+        right_up = down | (full ^ (zero | up))
+        right_down = zero & up
+        if i < n - most:
+            if not zero & low:
+                at += 1
+        else:
+            at += (right_up >> row & 1) - (right_down >> row & 1)
+            row -= 1
+        if at > 2 * most + m - n:
+            return None
+        shifted = zero >> 1
+        up = right_down | (full ^ (shifted | right_up))
+        down = shifted & right_up
+        start += 1
+    return at if at <= most else None
 
 
-def _search(a: np.ndarray, b: np.ndarray, band: int, most: int) -> tuple[int, list[tuple[int, int, int]]] | None:
-    """Furthest-reaching points per number of edits and diagonal, inside the band."""
-    n, m = len(a), len(b)
-    extend = _extender(a, b, band)
-    rows = np.arange(2 * band + 1)
-    diagonal = rows - band
-    end = np.minimum(n, m - diagonal)  # last place in a on each diagonal
-    goal = m - n + band
-    front = np.full(2 * band + 1, -1)
-    front[band] = extend(np.zeros(1, np.int64), np.array([band]))[0]
-    history = [front]
-    while True:
-        if front[goal] >= n:
-            return len(history) - 1, _runs(history, band, goal, n, m)
-        if len(history) > most:
-            return None
-        sub = np.where(front >= 0, front + 1, -1)
-        ins = np.concatenate([[-1], front[:-1]])  # a word of b more: one diagonal up, same place in a
-        dele = np.concatenate([np.where(front[1:] >= 0, front[1:] + 1, -1), [-1]])
-        best = np.maximum(np.maximum(sub, ins), dele)
-        best = np.minimum(best, end)
-        ok = (best >= 0) & (best + diagonal >= 0)
-        at = np.where(ok, best, 0)
-        front = np.where(ok, np.minimum(np.maximum(extend(at, rows), at), np.maximum(end, 0)), -1)
-        history.append(front)
-
-
-def _runs(history: list[np.ndarray], band: int, goal: int, n: int, m: int) -> list[tuple[int, int, int]]:
-    """Walk back from the end and collect the runs of equal words."""
-    out = []
-    k, i = goal, int(history[-1][goal])
-    for e in range(len(history) - 1, -1, -1):
-        if e == 0:
-            start = 0
-        else:
-            before = history[e - 1]
-            options = [(int(before[k]) + 1 if before[k] >= 0 else -1, k), (int(before[k - 1]) if k else -1, k - 1)]
-            options.append((int(before[k + 1]) + 1 if k + 1 < len(before) and before[k + 1] >= 0 else -1, k + 1))
-            start, came = max(options)
-            start = min(start, n, m - (k - band))
-        if i > start:
-            out.append((start, start + k - band, i - start))
-        if e:
-            k, i = came, int(history[e - 1][came])
-    return out[::-1]
-
-
-def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, width: int = SHINGLE) -> float:
-    """Share of shingles kept together by the alignment; 0.0 if it must be below `least`."""
-    if len(a) < width or len(b) < width:
-        return float(len(a) == len(b) and bool((a == b).all()))
-    na, nb = len(a) - width + 1, len(b) - width + 1
-    if min(na, nb) < least * max(na, nb):
-        return 0.0
-    # no alignment keeps more shingles together than the texts share
-    sa, sb = labelled(shingle_hashes(a, width)), labelled(shingle_hashes(b, width))
-    shared = len(np.intersect1d(sa, sb, assume_unique=True))
-    if shared < least * (na + nb - shared):
-        return 0.0
-    # every edit ends a shingle, and the shingles that end are (1 - least) of all, so:
-    most = int(min(na, nb) * (1 - least) / least) + 1
-    found = banded_distance(a, b, most)
-    if found is None:
-        return 0.0
-    kept = sum(length - width + 1 for _, _, length in _joined(found[1]) if length >= width)
-    return kept / (na + nb - kept)
-
-
-def _joined(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Runs that follow each other on one diagonal without a gap are one run."""
-    out: list[tuple[int, int, int]] = []
-    for i, j, n in runs:
-        if out and out[-1][0] + out[-1][2] == i and out[-1][1] + out[-1][2] == j:
-            out[-1] = (out[-1][0], out[-1][1], out[-1][2] + n)
-        else:
-            out.append((i, j, n))
-    return out
+def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+    """1 - edit distance / words of the longer text; 0.0 if it is below `least`."""
+    longer = max(len(a), len(b))
+    found = banded_distance(a, b, int((1 - least) * longer + 1e-9))
+    return 0.0 if found is None else 1 - found / longer
 
 
 def sketched(docs: DataFrame, key: str, text: str, sketches: int, length: int) -> DataFrame:
@@ -276,7 +205,7 @@ def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
     turn = 0
     while True:
         now = _with_labels(members, labels)
-        pairs, leaders = _round_pairs(now, led)
+        pairs, leaders = _round_pairs(now, led, LEADERS << 6 * min(turn, 4))
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         leaders = keep(leaders)
@@ -321,7 +250,7 @@ def _with_labels(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return keep(now.join(mixed, "bucket"))
 
 
-def _round_pairs(now: DataFrame, led: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _round_pairs(now: DataFrame, led: DataFrame | None, leaders: int) -> tuple[DataFrame, DataFrame]:
     """(pairs a < b to compare, leaders): in small buckets all pairs of different classes; in large ones
     leaders with the members of other classes. Leaders are those members outside the bucket's main
     class with the smallest hash that did not lead there yet. When all of them led, every pair of
@@ -334,7 +263,7 @@ def _round_pairs(now: DataFrame, led: DataFrame | None) -> tuple[DataFrame, Data
     if led is not None:
         able = able.join(led, ["bucket", "id"], "left_anti")
     order = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
-    chosen = able.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= LEADERS)
+    chosen = able.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= leaders)
     heads = keep(chosen.select("bucket", F.col("id").alias("head"), F.col("label").alias("head_label")))
     large = now.filter(F.col("n") > SMALL).join(heads, "bucket").filter("label <> head_label").select(
         F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b"))

@@ -18,11 +18,9 @@ def full_distance(a, b):
     return d[-1]
 
 
-@pytest.mark.parametrize("table", [1 << 22, 0])
-def test_banded_distance(table, monkeypatch):
-    monkeypatch.setattr(om, "TABLE", table)
+def test_banded_distance():
     rng = random.Random(4)
-    for _ in range(300):
+    for _ in range(1500):
         a = [rng.randint(0, 4) for _ in range(rng.randint(1, 40))]
         b = list(a)
         for _ in range(rng.randint(0, 12)):
@@ -31,23 +29,19 @@ def test_banded_distance(table, monkeypatch):
         b = b or [1]
         x, y = np.array(a, np.uint64), np.array(b, np.uint64)
         want = full_distance(a, b)
-        d, runs = om.banded_distance(x, y, 100)
-        assert d == want
-        for i, j, n in runs:
-            assert a[i:i + n] == b[j:j + n]
-        assert max(len(a), len(b)) - sum(n for _, _, n in runs) <= d
-        assert (om.banded_distance(x, y, want - 1) if want else None) is None
+        assert om.banded_distance(x, y, 100) == want
+        assert om.banded_distance(x, y, want) == want
+        assert want == 0 or om.banded_distance(x, y, want - 1) is None
 
 
-def test_similarity_of_substitutions():
+def test_similarity():
     a = np.arange(100, dtype=np.uint64)
     b = a.copy()
     b[[20, 60]] = 1000, 1001
-    kept = 96 - 10
-    assert om.similarity(a, b, 0.5) == pytest.approx(kept / (192 - kept))
-    assert om.similarity(a, a) == 1.0
-    assert om.similarity(a, a[::-1].copy()) == 0.0
-    assert om.similarity(a[:3], a[:3]) == 1.0 and om.similarity(a[:3], a[1:4]) == 0.0
+    assert om.similarity(a, b) == pytest.approx(0.98) and om.similarity(a, a) == 1.0
+    assert om.similarity(a, np.concatenate([a, a[:25]])) == pytest.approx(0.8)
+    assert om.similarity(a, np.concatenate([a, a[:26]])) == 0.0
+    assert om.similarity(a, a[::-1].copy()) == 0.0 and om.similarity(a[:3], a[1:4]) == 0.0
 
 
 def test_sketch_keeps_order():
@@ -95,17 +89,17 @@ def classes(texts, words):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("small,refine", [(8, (3, 6)), (3, (1,))])
+@pytest.mark.parametrize("small,refine", [(40, (2, 4)), (3, (1,))])
 def test_classes_equal_all_pairs(spark, monkeypatch, small, refine):
     monkeypatch.setattr(om, "SMALL", small)
     monkeypatch.setattr(om, "REFINE", refine)
     rng = random.Random(6)
     texts, n = {}, 0
     for base in range(6):
-        w = [f"w{rng.randint(0, 400)}" for _ in range(rng.choice([30, 120, 200]))]
+        w = [f"w{rng.randint(0, 400)}" for _ in range(rng.choice([120, 200]))]
         for _ in range(14 if base == 0 else rng.randint(1, 5)):
             v = list(w)
-            for _ in range(rng.randint(0, 5)):
+            for _ in range(rng.randint(0, 3)):
                 k = rng.randrange(len(v))
                 v[k:k + 1] = rng.choice([[], ["new", f"x{rng.randint(0, 99)}"], [f"y{rng.randint(0, 99)}"]])
             texts[n] = " ".join(v)
