@@ -5,7 +5,8 @@ words that end in a full stop, exclamation or question mark): its features are t
 of a word, digit and letter counts, and the coarse class of its neighbours. It is trained on a small
 labelled table of sentences whose words are tagged by base spans, at most SENTENCES of each sort,
 from at most DOCUMENTS documents in the order of a hash, and decoded by Viterbi for all sentences
-of a block at once. Spans it finds where no base span lies are added; base spans stay.
+of a block at once. Spans it finds where no base span and no failed match of the kind lies are added;
+base spans stay.
 
 A null text is empty. Rows are independent of each other.
 """
@@ -26,6 +27,7 @@ from propensity.llm.arrow_text import blocks, bytes_of, prefix_sums, span_hashes
 DOCUMENTS = 1500  # documents with digits that are looked at for training, at most
 FIT_BYTES = 20_000
 SENTENCES = 2500  # training sentences with and without personal data, at most
+PIECE = 16  # words; longer sentences are cut for training (not for decoding)
 STEPS, RATE, PENALTY = 80, 0.1, 1e-4
 SHAPES = 4096
 
@@ -53,20 +55,30 @@ def _byte_sized(part: str) -> bool:
     return len(p) <= 3 and int(p or 0) <= 255
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) by kind, then start; matches that fail their test are dropped."""
-    out = []
+def matches(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+    """((kind, start, end) of the matches that pass their test, of those that fail), by kind, then start."""
+    passed: list[tuple[str, int, int]] = []
+    failed: list[tuple[str, int, int]] = []
+
+    def put(kind: str, m: re.Match, ok: bool) -> None:
+        (passed if ok else failed).append((kind, m.start(), m.end()))
+
     if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
-    out += [("ip", *m.span()) for m in IP.finditer(text) if all(map(_byte_sized, m.group().split(".")))]
+        for m in EMAIL.finditer(text):
+            put("email", m, True)
+    for m in IP.finditer(text):
+        put("ip", m, all(map(_byte_sized, m.group().split("."))))
     for m in CARD.finditer(text):
-        if m.end() - m.start() >= 16:
-            digits = m.group().replace(" ", "").replace("-", "")
-            if 16 <= len(digits) <= 19 and luhn(digits):
-                out.append(("card", *m.span()))
+        digits = m.group().replace(" ", "").replace("-", "") if m.end() - m.start() >= 16 else ""
+        put("card", m, 16 <= len(digits) <= 19 and luhn(digits))
     if "+" in text:
-        out += [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= len(_DIGITS.findall(m.group())) <= 15]
-    return out
+        for m in PHONE.finditer(text):
+            put("phone", m, 8 <= len(_DIGITS.findall(m.group())) <= 15)
+    return passed, failed
+
+
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    return matches(text)[0]
 
 
 # ---- words and their features
@@ -208,10 +220,12 @@ def train(features: list[np.ndarray], tags: list[np.ndarray], steps: int = STEPS
         some = [i for i, t in enumerate(tags) if len(t) == n]
         groups[n] = (np.stack([features[i] for i in some]), np.stack([tags[i] for i in some]))
     total = sum(len(t) for t in tags)
+    flat = np.concatenate([x.reshape(-1, x.shape[2]) for x, _ in groups.values()])
     params = [field.emission, field.transition, field.start]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     for step in range(1, steps + 1):
         grads = [np.zeros_like(p) for p in params]
+        errors = []
         for n, (x, y) in groups.items():
             score = sum(field.emission[x[:, :, c]] for c in range(x.shape[2]))
             alpha = [field.start + score[:, 0]]
@@ -220,19 +234,18 @@ def train(features: list[np.ndarray], tags: list[np.ndarray], steps: int = STEPS
             beta = [np.zeros_like(alpha[0])]
             for t in range(n - 1, 0, -1):
                 beta.append(_log_sum(field.transition + (score[:, t] + beta[-1])[:, None, :], 2))
-            beta = beta[::-1]
-            z = _log_sum(alpha[-1], 1)
-            for t in range(n):
-                error = np.exp(alpha[t] + beta[t] - z[:, None])
-                error[np.arange(len(y)), y[:, t]] -= 1
-                for c in range(x.shape[2]):
-                    np.add.at(grads[0], x[:, t, c], error)
-                if t == 0:
-                    grads[2] += error.sum(axis=0)
-                else:
-                    pair = np.exp(alpha[t - 1][:, :, None] + field.transition + (score[:, t] + beta[t])[:, None, :] - z[:, None, None])
-                    grads[1] += pair.sum(axis=0)
-                    np.add.at(grads[1], (y[:, t - 1], y[:, t]), -1)
+            alpha, beta = np.stack(alpha, 1), np.stack(beta[::-1], 1)
+            z = _log_sum(alpha[:, -1], 1)
+            error = np.exp(alpha + beta - z[:, None, None]) - (y[:, :, None] == np.arange(k))
+            errors.append(error.reshape(-1, k))
+            grads[2] += error[:, 0].sum(axis=0)
+            pair = np.exp(alpha[:, :-1, :, None] + field.transition + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
+            grads[1] += pair.sum(axis=(0, 1))
+            np.add.at(grads[1], (y[:, :-1].ravel(), y[:, 1:].ravel()), -1)
+        error = np.concatenate(errors)
+        for c in range(flat.shape[1]):
+            for j in range(k):
+                grads[0][:, j] += np.bincount(flat[:, c], weights=error[:, j], minlength=WIDTH)
         for p, g, (m, v) in zip(params, grads, moments):
             g = g / total + PENALTY * p
             m *= 0.9
@@ -275,18 +288,21 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", documents: int
     s = sentences(data, offsets)
     tags = tag_words(s, code_points(data), offsets, [base_spans(t) for t in texts])
     chosen: dict[bool, list] = {True: [], False: []}
-    for a, b in zip(s.first[:-1], s.first[1:]):
-        own = chosen[bool(tags[a:b].any())]
-        if len(own) < SENTENCES and b - a <= 60:
-            own.append((s.features[a:b], tags[a:b]))
+    for first, last in zip(s.first[:-1], s.first[1:]):
+        for a in range(first, last, PIECE):
+            b = min(a + PIECE, last)
+            own = chosen[bool(tags[a:b].any())]
+            if len(own) < SENTENCES:
+                own.append((s.features[a:b], tags[a:b]))
     if not chosen[True]:
         return None
     rows = chosen[True] + chosen[False]
     return train([x for x, _ in rows], [y for _, y in rows])
 
 
-def _added(s: Sentences, tags: np.ndarray, data: np.ndarray, points: np.ndarray, offsets: np.ndarray, spans: list[list]) -> None:
-    """Add the field's spans that touch no base span."""
+def _added(s: Sentences, tags: np.ndarray, data: np.ndarray, points: np.ndarray, offsets: np.ndarray, spans: list[list],
+           failed: list[list]) -> None:
+    """Add the field's spans that touch no base span and no match of their kind that failed its test."""
     word = 0
     marked = np.flatnonzero(tags)
     at = 0
@@ -306,7 +322,7 @@ def _added(s: Sentences, tags: np.ndarray, data: np.ndarray, points: np.ndarray,
         a, b = a + inner[0], a + good[-1] + 1
         d = s.text[word]
         x, y = int(points[a] - points[offsets[d]]), int(points[b] - points[offsets[d]])
-        if not any(x < e and y > b_ for _, b_, e in spans[d]):
+        if not any(x < e and y > b_ for k, b_, e in spans[d] + [f for f in failed[d] if f[0] == kind]):
             spans[d].append((kind, x, y))
 
 
@@ -318,12 +334,12 @@ def find_personal_data(docs: DataFrame, field: Field | None, key: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, text, limit=1 << 20):
-            base = [base_spans(t or "") for t in part.column(1).to_pylist()]
+            base, failed = zip(*(matches(t or "") for t in part.column(1).to_pylist()))
             spans = [list(b) for b in base]
             if field is not None:
                 data, offsets = bytes_of(part.column(1))
                 s = sentences(data, offsets)
-                _added(s, field.decode(s), data, code_points(data), offsets, spans)
+                _added(s, field.decode(s), data, code_points(data), offsets, spans, failed)
             rows = [[[{"kind": k, "start": a, "end": b} for k, a, b in sorted(r, key=lambda x: (order[x[0]], x[1]))] for r in side]
                     for side in (base, spans)]
             yield pa.RecordBatch.from_arrays(
