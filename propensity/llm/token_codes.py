@@ -32,7 +32,8 @@ CHUNK = 8
 BLOCK = 512  # bits of a rank block
 SEGMENT = 1 << 20  # a segment is closed once it has this many tokens
 MAGIC = 0x31434144
-CACHE = 200_000  # words in each of the two generations of the encoder's cache
+MARKS = ".,;:!?*#$%&"  # marks that may end a word and are no letters, digits or apostrophes
+CACHE = 500_000  # words in each of the two generations of the encoder's cache
 LONGEST = 48
 NO_ID = -(1 << 63)
 
@@ -145,36 +146,68 @@ class Segment:
 class WordEncoder:
     """The tokenizers library, with its results per word kept in a cache of bounded size.
 
-    The vocabulary drops white space, so no token crosses a space or a line end and a text's ids
-    are those of its space-separated parts. New parts are encoded many at a time.
+    The vocabulary drops white space and lower-cases, so no token crosses a space or a line end and a
+    text's ids are those of its space-separated parts. A part made of Latin letters and marks after
+    them is cut in two, as the vocabulary's own pattern cuts there. Letters-only parts are encoded
+    many in one call and told apart by their last token, which ends a word.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        vocabulary = self.library.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.last[i] = token.endswith("</w>")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    @staticmethod
+    def plain(word: str) -> bool:
+        """One run of letters for the library: only letters of ASCII and Latin-1."""
+        return word.isalpha() and max(word) < "\u0100"
+
+    def _library_ids(self, words: list[str]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _encode_new(self, words: list[str]) -> dict[str, bytes]:
+        letters = [w for w in words if self.plain(w)]
+        out: dict[str, bytes] = {}
+        for at in range(0, len(letters), 256):
+            group = letters[at:at + 256]
+            ids = self._library_ids([" ".join(group)])[0]
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(group):
+                out |= {w: i.tobytes() for w, i in zip(group, np.split(ids, ends[:-1]))}
+        rest = [w for w in words if w not in out]
+        out |= {w: i.tobytes() for w, i in zip(rest, self._library_ids(rest))}
+        return out
+
+    def _parts(self, word: str) -> tuple[str, ...]:
+        core = word.rstrip(MARKS)
+        if len(core) == len(word) or not core or not self.plain(core):
+            return (word.lower(),) if self.plain(word) else (word,)
+        return core.lower(), word[len(core):]
+
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known: dict[str, bytes] = {}
-        for words in split:
-            for w in set(words).difference(self.young):
-                if w in self.old:
-                    known[w] = self.old[w]
-                else:
-                    known[w] = b""
-        fresh = [w for w, v in known.items() if w not in self.old]
-        for w, e in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        young, get = self.young, known.get
-        out = [np.frombuffer(b"".join([young[w] if w in young else get(w) for w in words]), "<u4") for words in split]
-        for w, v in known.items():
-            if len(w) <= LONGEST:
-                self.young[w] = v
-        if len(self.young) >= CACHE:
-            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        fresh = set().union(*split).difference(young)
+        young.update({w: old[w] for w in fresh if w in old})
+        cut = {w: self._parts(w) for w in fresh if w not in old}
+        parts = {p for ps in cut.values() for p in ps}
+        ready = {p: young[p] if p in young else old.get(p) for p in parts}
+        ready |= self._encode_new([p for p, ids in ready.items() if ids is None])
+        young.update(ready)
+        young.update({w: b"".join([ready[p] for p in ps]) for w, ps in cut.items()})
+        get = young.__getitem__
+        out = [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
+        for w in [w for w in {*cut, *parts} if len(w) > LONGEST]:
+            del young[w]
+        if len(young) >= CACHE:
+            self.old, self.young = young, {}
         return out
 
 
