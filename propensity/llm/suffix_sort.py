@@ -37,7 +37,7 @@ from propensity.llm.arrow_text import blocks, bytes_of, merge_spans, mix, prefix
 
 DEPTH = 50
 DIGIT = 24
-BUCKETS_PER_PARTITION = 2  # rows between buckets are at most the square of their number
+BUCKETS_PER_PARTITION = 1  # rows between buckets are at most the square of their number
 _HASH_BITS = np.uint64(0xFFFFFFFFFFFFFFFF << 26 & 0xFFFFFFFFFFFFFFFF)
 UNDECIDED, SHARED, DECIDED = 0, 1, 2
 
