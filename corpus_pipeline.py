@@ -30,7 +30,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = order_minhash.find_groups(docs)
+    groups = order_minhash.find_groups(docs, shingles=order_minhash.SIMILARITY)
     return docs.join(groups.filter(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -7,9 +7,9 @@ two texts agree in a sketch if they share these k-mers in the same order, which
 smaller their edit distance is. Texts that agree in one of `SKETCHES` sketches are candidates.
 
 A candidate pair is aligned word by word inside the band of diagonals that a similar pair cannot leave.
-Pairs whose similarity, 1 - distance / words of the longer text, is 0.8 or more
-are linked. Five-word shingle sets with a Jaccard similarity of 0.8 imply that; at that similarity
-a pair is a candidate with probability 1 - (1 - 0.8^3)^12 = 0.9998, at 0.6 with 0.94.
+Pairs are linked whose edit similarity, 1 - distance / words of the longer text, is `least` or more, and
+whose labelled shingles have a Jaccard similarity of `shingles` or more. op1 and the pipeline ask for 0.8 in
+both; without `shingles` only the edit similarity counts.
 
 Equal word sequences are one text with a class of copies from the start. Buckets are worked off
 in rounds: the members that are not yet in the class of the bucket's leaders are compared with
@@ -134,6 +134,24 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return 0.0 if found is None else 1 - found / longer
 
 
+def shingle_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+    """Jaccard similarity of the labelled shingles; 0.0 if it is below `least`."""
+    na, nb = max(1, len(a) - SHINGLE + 1), max(1, len(b) - SHINGLE + 1)
+    if min(na, nb) < least * max(na, nb):
+        return 0.0
+    shared = len(np.intersect1d(labelled(shingle_hashes(a)), labelled(shingle_hashes(b)), assume_unique=True))
+    found = shared / (na + nb - shared)
+    return found if found >= least else 0.0
+
+
+def linked(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, shingles: float = 0.0) -> float:
+    """Edit similarity if it reaches `least` and the shingles reach `shingles`, else 0.0. Shingles are
+    looked at first, as they cost less than the alignment."""
+    if shingles > 0 and not shingle_similarity(a, b, shingles):
+        return 0.0
+    return similarity(a, b, least)
+
+
 def sketched(docs: DataFrame, key: str, text: str, sketches: int, length: int) -> DataFrame:
     """(id, same, n_words, keys): a digest of the word sequence and the sketches of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,12 +188,12 @@ def word_rows(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
     return rows.mapInArrow(run, "id bigint, words binary").groupBy("id").agg(F.min("words").alias("words"))
 
 
-def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) with their similarity, where it is at least `least`."""
+def _verified(pairs: DataFrame, words: DataFrame, least: float, shingles: float) -> DataFrame:
+    """The pairs (a, b) that are linked, with their edit similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            s = np.array([similarity(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), least)
+            s = np.array([linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), least, shingles)
                           for x, y in zip(left, right)])
             ok = pa.array(s >= least)
             yield pa.RecordBatch.from_arrays(
@@ -187,9 +205,10 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
 
 
 def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY,
-                sketches: int = SKETCHES, length: int = LENGTH) -> DataFrame:
+                sketches: int = SKETCHES, length: int = LENGTH, shingles: float = 0.0) -> DataFrame:
     """Per row of `docs` with an id: key, component_id (smallest id of its class), copy_of (smallest id
-    with the same words), kept (it is the smallest). Repeated ids give one row."""
+    with the same words), kept (it is the smallest). Repeated ids give one row. `shingles` is the
+    shingle similarity that a link needs besides the edit similarity `least`."""
     rows = keep(sketched(docs, key, text, sketches, length))
     # copies first: minima combine before the shuffle, so a hot text is no burden. Aggregates are
     # written before they are joined, so that a hot key of the other side can be split
@@ -214,7 +233,7 @@ def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
             break
         asked = pairs if asked is None else keep(asked.unionByName(pairs))
         led = leaders if led is None else keep(led.unionByName(leaders))
-        new = keep(_verified(pairs, words, least).select("a", "b"))
+        new = keep(_verified(pairs, words, least, shingles).select("a", "b"))
         links = new if links is None else keep(links.unionByName(new))
         labels = keep(components(links))
         turn += 1

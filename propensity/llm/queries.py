@@ -131,7 +131,7 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_near_duplicates")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.find_groups(table(spark, sf_dir, "documents"))
+    return order_minhash.find_groups(table(spark, sf_dir, "documents"), shingles=order_minhash.SIMILARITY)
 
 
 # ---- 3: embeddings

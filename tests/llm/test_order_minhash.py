@@ -116,3 +116,64 @@ def test_classes_equal_all_pairs(spark, monkeypatch, small, refine):
 
 def test_empty(spark):
     assert om.find_groups(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def jaccard(a, b):
+    """Of the five-word shingles, each with its occurrence number; short texts are one shingle."""
+    sets = []
+    for w in (a, b):
+        seen, out = {}, set()
+        for i in range(max(1, len(w) - 4)):
+            k = tuple(w[i:i + 5])
+            seen[k] = seen.get(k, 0) + 1
+            out.add((k, seen[k]))
+        sets.append(out)
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_shingle_similarity():
+    rng = random.Random(9)
+    for _ in range(300):
+        a = [rng.randint(0, 3) for _ in range(rng.randint(1, 60))]
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(b))
+            b[k:k + 1] = [rng.randint(0, 3)] * rng.randint(1, 2)
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        want = jaccard(a, b)
+        assert om.shingle_similarity(x, y, 0.0) == pytest.approx(want)
+        assert om.shingle_similarity(x, y, 0.8) == (pytest.approx(want) if want >= 0.8 else 0.0)
+    form = np.arange(300, dtype=np.uint64)
+    other = form.copy()
+    other[::20] += np.uint64(1000)  # a form letter with other names: 5 % of the words
+    assert om.similarity(form, other) >= 0.95 and om.linked(form, other, 0.8, 0.8) == 0.0
+
+
+@pytest.mark.parametrize("small,refine", [(40, (2, 4)), (3, (1,))])
+def test_shingle_classes_equal_all_pairs(spark, monkeypatch, small, refine):
+    monkeypatch.setattr(om, "SMALL", small)
+    monkeypatch.setattr(om, "REFINE", refine)
+    rng = random.Random(6)
+    words = {}
+    for base in range(6):
+        w = [f"w{rng.randint(0, 400)}" for _ in range(rng.choice([30, 120, 200]))]
+        for _ in range(14 if base == 0 else rng.randint(1, 5)):
+            v = list(w)
+            for _ in range(rng.randint(0, 5)):
+                k = rng.randrange(len(v))
+                v[k:k + 1] = rng.choice([[], ["new", f"x{rng.randint(0, 99)}"], [f"y{rng.randint(0, 99)}"]])
+            words[len(words)] = v
+    form = [f"f{i}" for i in range(200)]
+    for i in range(50):  # one form letter, other names in 5 % of the words
+        words[1000 + i] = [f"n{i}x{k}" if k % 20 == 0 else w for k, w in enumerate(form)]
+    ids, codes = sorted(words), {}
+    coded = {i: np.array([codes.setdefault(x, len(codes)) for x in w], np.uint64) for i, w in words.items()}
+    want = {i: i for i in ids}
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            if jaccard(words[a], words[b]) >= 0.8 and om.similarity(coded[a], coded[b]) >= 0.8:
+                low, high = sorted((want[a], want[b]))
+                want = {i: low if c == high else c for i, c in want.items()}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in om.find_groups(docs, shingles=om.SIMILARITY).collect()}
+    assert got == want and all(want[1000 + i] == 1000 + i for i in range(50)) and len(set(want.values())) < len(ids)
