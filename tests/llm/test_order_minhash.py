@@ -177,3 +177,24 @@ def test_shingle_classes_equal_all_pairs(spark, monkeypatch, small, refine):
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id bigint, text string").repartition(4)
     got = {r.doc_id: r.component_id for r in om.find_groups(docs, shingles=om.SIMILARITY).collect()}
     assert got == want and all(want[1000 + i] == 1000 + i for i in range(50)) and len(set(want.values())) < len(ids)
+
+
+def test_recall_just_above_the_threshold(spark):
+    rng = random.Random(12)
+    rows, want = [], set()
+    for n in range(400):
+        a = [f"p{n}x{i}" for i in range(300)]
+        b = list(a)
+        for k in rng.sample(range(2, 298, 6), rng.choice([6, 7])):  # six: 266 of 326 shingles, seven: 261 of 331
+            b[k] = "other" + b[k]
+        if jaccard(a, b) >= 0.8:
+            want.add(2 * n)
+        rows += [(2 * n, " ".join(a)), (2 * n + 1, " ".join(b))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in om.find_groups(docs, shingles=om.SIMILARITY).collect()}
+    found = {a for a in got if a % 2 == 0 and got[a + 1] == a}
+    assert found <= want and len(want - found) <= 1 and 150 < len(want) < 250
+    assert all(c == i or i % 2 and c == i - 1 for i, c in got.items())
+    a = np.arange(300, dtype=np.uint64)
+    swapped = np.concatenate([a[150:], a[:150]])
+    assert om.shingle_similarity(a, swapped) > 0.95 and om.linked(a, swapped, 0.8, 0.8) == 0.0  # order counts
