@@ -6,7 +6,9 @@ of a word, digit and letter counts, and the coarse class of its neighbours. It i
 labelled table of sentences whose words are tagged by base spans, at most SENTENCES of each sort,
 from at most DOCUMENTS documents in the order of a hash, and decoded by Viterbi for all sentences
 of a block at once. Spans it finds where no base span and no failed match of the kind lies are added;
-base spans stay.
+base spans stay. So that it knows cards in other groupings than the patterns do, some training sentences
+are repeated with their cards written with each of SEPARATORS; a card is added if its digits pass the
+test of the pattern.
 
 A null text is empty. Rows are independent of each other.
 """
@@ -27,6 +29,8 @@ from propensity.llm.arrow_text import blocks, bytes_of, prefix_sums, span_hashes
 DOCUMENTS = 1500  # documents with digits that are looked at for training, at most
 FIT_BYTES = 20_000
 SENTENCES = 2500  # training sentences with and without personal data, at most
+SEPARATORS = [".", "/", "_", "  "]  # of groups of four digits
+REWRITTEN = 400  # sentences with a card written in another way, at most
 PIECE = 16  # words; longer sentences are cut for training (not for decoding)
 STEPS, RATE, PENALTY = 80, 0.1, 1e-4
 SHAPES = 4096
@@ -56,7 +60,8 @@ def _byte_sized(part: str) -> bool:
 
 
 def matches(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """((kind, start, end) of the matches that pass their test, of those that fail), by kind, then start."""
+    """((kind, start, end) of the matches that pass their test, of those that fail), by kind, then start.
+    Runs of fewer or more digits than a card has are no failed card: a card may be written in such runs."""
     passed: list[tuple[str, int, int]] = []
     failed: list[tuple[str, int, int]] = []
 
@@ -70,7 +75,8 @@ def matches(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int,
         put("ip", m, all(map(_byte_sized, m.group().split("."))))
     for m in CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "") if m.end() - m.start() >= 16 else ""
-        put("card", m, 16 <= len(digits) <= 19 and luhn(digits))
+        if 16 <= len(digits) <= 19:
+            put("card", m, luhn(digits))
     if "+" in text:
         for m in PHONE.finditer(text):
             put("phone", m, 8 <= len(_DIGITS.findall(m.group())) <= 15)
@@ -278,25 +284,57 @@ def tag_words(s: Sentences, points: np.ndarray, offsets: np.ndarray, spans: list
     return tags
 
 
+def rewritten(texts: list[str], most: int = REWRITTEN, around: int = 60) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """(text, spans): cards of the texts in other groupings, with what stands around them in the line."""
+    out: list[tuple[str, list[tuple[str, int, int]]]] = []
+    for t in texts:
+        spans = base_spans(t)
+        for _, x, y in (s for s in spans if s[0] == "card"):
+            digits = "".join(_DIGITS.findall(t[x:y]))
+            before, after = t[max(0, x - around):x].rpartition("\n")[2], t[y:y + around].partition("\n")[0]
+            for mark in SEPARATORS:
+                if len(out) == most:
+                    return out
+                card = mark.join(digits[i:i + 4] for i in range(0, len(digits), 4))
+                shift = x - len(before)
+                others = [(k, a - shift, b - shift) for k, a, b in spans if shift <= a and b <= x] + [
+                    (k, a - y + len(before) + len(card), b - y + len(before) + len(card)) for k, a, b in spans if y <= a and b <= y + len(after)]
+                out.append((before + card + after, [("card", len(before), len(before) + len(card)), *others]))
+    return out
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", documents: int = DOCUMENTS) -> Field | None:
     """A field trained on a bounded sample; None if it holds no personal data."""
     sample = docs.select(text).filter((F.octet_length(text) <= FIT_BYTES) & F.col(text).rlike("[0-9@]"))
     texts = sorted({r[0] for r in sample.orderBy(F.xxhash64(text), text).limit(documents).collect()})
     if not texts:
         return None
+    return fit_texts(texts)
+
+
+def _pieces(texts: list[str], spans: list[list[tuple[str, int, int]]], most: int) -> dict[bool, list]:
+    """(features, tags) of pieces of sentences with and without personal data, at most `most` of each."""
     data, offsets = bytes_of(pa.array(texts, pa.string()))
     s = sentences(data, offsets)
-    tags = tag_words(s, code_points(data), offsets, [base_spans(t) for t in texts])
+    tags = tag_words(s, code_points(data), offsets, spans)
     chosen: dict[bool, list] = {True: [], False: []}
     for first, last in zip(s.first[:-1], s.first[1:]):
         for a in range(first, last, PIECE):
             b = min(a + PIECE, last)
             own = chosen[bool(tags[a:b].any())]
-            if len(own) < SENTENCES:
+            if len(own) < most:
                 own.append((s.features[a:b], tags[a:b]))
+    return chosen
+
+
+def fit_texts(texts: list[str]) -> Field | None:
+    """A field trained on the base spans of the texts and on rewritten cards; None without personal data."""
+    chosen = _pieces(texts, [base_spans(t) for t in texts], SENTENCES)
     if not chosen[True]:
         return None
     rows = chosen[True] + chosen[False]
+    if other := rewritten(texts):
+        rows += _pieces([t for t, _ in other], [f for _, f in other], REWRITTEN)[True]
     return train([x for x, _ in rows], [y for _, y in rows])
 
 
@@ -317,6 +355,11 @@ def _added(s: Sentences, tags: np.ndarray, data: np.ndarray, points: np.ndarray,
         a, b = s.starts[word], s.ends[last]
         inner = np.flatnonzero(_ALNUM[data[a:b]] | (data[a:b] == 43) | (data[a:b] == 40))
         good = np.flatnonzero(_ALNUM[data[a:b]])
+        if kind == "card":
+            inner = good = np.flatnonzero(_CLASS[data[a:b]] == 2)
+            digits = data[a:b][good].tobytes().decode()
+            if not (16 <= len(digits) <= 19 and luhn(digits)):
+                continue
         if not len(good):
             continue
         a, b = a + inner[0], a + good[-1] + 1

@@ -77,3 +77,27 @@ def test_viterbi_equals_enumeration():
                 field.transition[p, q] + score[a + t + 1, q] for t, (p, q) in enumerate(zip(path, path[1:])))
         assert value(tags[a:b]) == pytest.approx(max(map(value, itertools.product(range(k), repeat=b - a))))
     assert [data[x:y].tobytes() for x, y in zip(s.starts, s.ends)] == b"ab 12. c@d x y 3 +4 one two three four z".split()
+
+
+def test_field_adds_cards_in_other_groupings(spark):
+    def card(i):
+        d = f"4{i * 7919 % 10 ** 14:014d}"
+        return next(d + c for c in "0123456789" if pd_.luhn(d + c))
+
+    def grouped(d, mark):
+        return mark.join(d[k:k + 4] for k in range(0, 16, 4))
+
+    train = [(i, f"in {1900 + i} we had {i} apples, host 10.{i}.7.{i % 90} said\nplease pay with {grouped(card(i), ['', ' ', '-'][i % 3])} before noon\n"
+              f"call +1 ({i + 100}) 555-{i + 1000} or mail name.{i}@mail{i % 9}.example.com") for i in range(150)]
+    field = pd_.fit(spark.createDataFrame(train, "doc_id bigint, text string"))
+    marks = [".", "/", "_", "  "]
+    tests = [(k, f"please pay with {grouped(card(1000 + k), m)} before noon") for k, m in enumerate(marks)]
+    wrong = [(10 + k, t[:-13] + str((int(t[-13]) + 1) % 10) + t[-12:]) for k, t in tests]  # the last digit is another
+    other = [(20, "please pay with 4111 1111 1111 1112 before noon"), (21, "order 12345678 of 2020 with 300.1.2.3 and 12 34 56")]
+    rows = pd_.find_personal_data(spark.createDataFrame(tests + wrong + other, "doc_id bigint, text string"), field).collect()
+    texts = dict(tests)
+    assert all(not r.base for r in rows)
+    for r in rows:
+        cards = [(s.start, s.end) for s in r.spans if s.kind == "card"]
+        assert cards == ([(16, len(texts[r.doc_id]) - 12)] if r.doc_id in texts else []), r
+    assert pd_.matches("in 1999, 12; 4111111111111112; 300.1.2.3; 41111111111111111111")[1] == [("ip", 31, 40), ("card", 13, 29)]
