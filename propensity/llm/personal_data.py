@@ -306,9 +306,14 @@ def rewritten(texts: list[str], most: int = REWRITTEN, around: int = 60) -> list
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", documents: int = DOCUMENTS) -> Field | None:
     """A field trained on a bounded sample; None if it holds no personal data."""
     sample = docs.select(text).filter((F.octet_length(text) <= FIT_BYTES) & F.col(text).rlike("[0-9@]"))
-    texts = sorted({r[0] for r in sample.orderBy(F.xxhash64(text), text).limit(documents).collect()})
-    if not texts:
+    # copies count once, else a text with many copies could be the whole sample. Only hashes are compared
+    # over all rows; texts move once the last hash of the sample is known
+    hashes = sample.select(F.xxhash64(text).alias("h"))
+    last = [r.h for r in hashes.distinct().orderBy("h").limit(documents).collect()]
+    if not last:
         return None
+    chosen = sample.filter(F.xxhash64(text) <= max(last)).groupBy(F.xxhash64(text)).agg(F.min(text).alias(text))
+    texts = sorted(r[0] for r in chosen.select(text).collect())
     return fit_texts(texts)
 
 

@@ -101,3 +101,12 @@ def test_field_adds_cards_in_other_groupings(spark):
         cards = [(s.start, s.end) for s in r.spans if s.kind == "card"]
         assert cards == ([(16, len(texts[r.doc_id]) - 12)] if r.doc_id in texts else []), r
     assert pd_.matches("in 1999, 12; 4111111111111112; 300.1.2.3; 41111111111111111111")[1] == [("ip", 31, 40), ("card", 13, 29)]
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    texts = [f"line {i} of {i * i} apples" for i in range(40)] + [f"mail a{i}@b{i}.example.com" for i in range(4)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    first = df.selectExpr("text", "xxhash64(text) AS h").filter("text LIKE 'line%'").orderBy("h").first().text
+    hot = df.unionByName(spark.range(300).selectExpr(f"'{first}' AS text"))
+    assert pd_.fit(hot, documents=44) is not None
+    assert pd_.fit(hot, documents=1) is None
