@@ -62,6 +62,17 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _lowest(h: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest hash in every run of `width`, the leftmost on ties; h has at most ~_HASH_BITS + 1 entries."""
+    low, size = (h & _HASH_BITS) | np.arange(len(h)).astype(np.uint64), 1
+    while size * 2 <= width:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    if size < width:
+        low = np.minimum(low[:len(low) - (width - size)], low[width - size:])
+    return (low & ~_HASH_BITS).astype(np.int64)
+
+
 def sampled(data: np.ndarray, offsets: np.ndarray, depth: int, digit: int):
     """(text, place, first, last, hash) of the sampled digits: text number, place of the digit, and the
     first and last window start that has it; places count from the start of `data`."""
@@ -71,15 +82,9 @@ def sampled(data: np.ndarray, offsets: np.ndarray, depth: int, digit: int):
         return none, none, none, none, np.zeros(0, np.uint64)
     at = np.arange(n - digit + 1)
     h = span_hashes(prefix_sums(data), at, at + digit)
-    key = (h & _HASH_BITS) | at.astype(np.uint64)  # smallest hash, leftmost on ties
     width = depth - digit + 1
-    low, size = key, 1
-    while size * 2 <= width:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    if size < width:
-        low = np.minimum(low[:len(low) - (width - size)], low[width - size:])
-    place = (low & ~_HASH_BITS).astype(np.int64)  # of window start 0..n-depth
+    step = int(~_HASH_BITS) + 2 - width  # windows at a time, so that places fit beside the hash in texts of any length
+    place = np.concatenate([c + _lowest(h[c:c + step + width - 1], width) for c in range(0, n - depth + 1, step)])  # of window start 0..n-depth
     starts = np.arange(n - depth + 1)
     text = np.searchsorted(offsets, starts, "right") - 1
     inside = starts + depth <= offsets[text + 1]

@@ -55,3 +55,19 @@ def test_equals_all_windows(spark, alphabet, depth, buckets):
 
 def test_empty(spark):
     assert ss.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_places_beyond_the_bits_of_a_key(monkeypatch):
+    import numpy as np
+
+    from propensity.llm import suffix_sort
+    from propensity.llm.arrow_text import prefix_sums, span_hashes
+
+    mask = 0xFFFFFFFFFFFFFFFF << 6 & 0xFFFFFFFFFFFFFFFF  # six bits stand for the 26 of a text over 64 MiB
+    monkeypatch.setattr(suffix_sort, "_HASH_BITS", np.uint64(mask))
+    data = np.random.default_rng(3).integers(97, 122, 1000).astype(np.uint8)
+    at = np.arange(len(data) - 23)
+    h = span_hashes(prefix_sums(data), at, at + 24).tolist()
+    want = [min(range(s, s + 27), key=lambda i: (h[i] & mask, i)) for s in range(len(data) - 49)]
+    _, place, first, last, _ = suffix_sort.sampled(data, np.array([0, len(data)]), 50, 24)
+    assert [p for p, a, b in zip(place, first, last) for _ in range(a, b + 1)] == want
