@@ -1,14 +1,14 @@
-"""Repeated passages by a depth-limited radix sort of suffixes.
+"""Repeated passages by hash grouping of suffixes, in place of a depth-limited radix sort.
 
-Suffixes are ordered only through their first `depth` bytes, in passes from the most significant
-digit on; a group that a pass leaves with one document is done. The suffixes at the start of the
+Suffixes are grouped only through their first `depth` bytes, in two passes; a group that a pass
+leaves with one document is done. The suffixes at the start of the
 windows are grouped by a sampled digit first: the 24-byte string of smallest hash inside the
 window. Equal windows have the same digit at the same offset, so a digit that one document alone
 holds ends all its windows at once, and about one row stands for fourteen suffixes.
 
 1. Digit pass: digits are dealt to buckets; those found in two documents stay.
 2. Window pass: the digits that stay take the bytes around them along; in each group the windows
-   are sorted at every offset through all `depth` bytes. Equal groups are exactly the repeated
+   are grouped at every offset by a 64-bit hash of all `depth` bytes, not by the bytes themselves. Equal groups are exactly the repeated
    windows, and every member but those of the smallest document is removed.
 3. The removed windows of a document are united and cut out.
 
