@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import (order_minhash, personal_data, piece_encoding, positional_index, projections, secret_index, suffix_sort, token_codes,
+from propensity.llm import (decision_lists, order_minhash, personal_data, piece_encoding, positional_index, projections, secret_index, suffix_sort, token_codes,
                            toxicity, url_trees)
 from propensity.sources.tables import table
 
@@ -174,3 +174,11 @@ def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
     return found.select("doc_id", *[base(k) for k in personal_data.KINDS],
                         F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+
+
+# ---- 11: quality rules
+
+@query("op11_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decision_lists.filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
