@@ -24,7 +24,8 @@ from propensity.session import keep
 
 # White space between words, symbols, and the base rules' limits.
 SPACE = r"[\x20\x09-\x0D]+"
-NO_SYMBOL = r"[^#*$%&|<>]+"
+WORD = r"[^\x20\x09-\x0D]"
+SYMBOL = "[#*$%&|<>]"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent of the words
 
@@ -33,8 +34,8 @@ MAX_CONDITIONS = 4
 MAX_RULES = 16
 PRECISION = 0.8  # of a rule, on pruning rows and on all rows it is learned from
 
-# Statistics that rules may use: parts are per 100 words, characters or lines.
-STATISTICS = ("n_words", "word_length", "symbols", "dup_lines", "repeated", "upper", "digits", "marks", "different", "line_words")
+# Statistics that rules may use: parts are per 100 words or lines; word_length and line_words are means.
+STATISTICS = ("n_words", "word_length", "symbols", "dup_lines", "repeated", "marks", "different", "line_words")
 
 
 @dataclass(frozen=True)
@@ -72,30 +73,50 @@ def all_of(conditions: tuple[Condition, ...] | list[Condition]) -> Column:
     return out
 
 
-def left_over(text: Column, drop: str) -> Column:
-    """Characters that stay when matches of `drop` are removed."""
-    return F.length(F.regexp_replace(text, drop, "")).cast("bigint")
+def occurrences(text: Column, one: str) -> Column:
+    """How many characters of a class the text holds."""
+    return (F.length(text) - F.length(F.regexp_replace(text, one, ""))).cast("bigint")
 
 
-def repeated_words(words: Column) -> Column:
-    """Words inside 3-word windows that the array holds twice or more.
+def window_hashes(hashes: str) -> Column:
+    """A hash of every 3 neighbours of an array column."""
+    n = F.size(hashes) - 2
+    return F.when(n > 0, F.transform(F.arrays_zip(F.slice(hashes, 1, n), F.slice(hashes, 2, n), F.slice(hashes, 3, n)),
+                                     lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
 
-    Windows are sorted with their places, so equal ones are neighbours; strings are compared, not hashes.
+
+def like_a_neighbour(rows: str, fields: tuple[str, ...]) -> Column:
+    """Elements of a sorted array column that agree with the one before or after them.
+
+    Takes a column name: an expression would be evaluated again for every element.
+    """
+    last = F.size(rows)
+
+    def same(x: Column, y: Column) -> Column:
+        out = F.lit(True)
+        for f in fields:
+            out = out & (x[f] == y[f])
+        return out
+
+    return F.filter(rows, lambda x, k: ((k > 0) & same(x, F.get(rows, k - 1))) | ((k < last - 1) & same(x, F.get(rows, k + 1))))
+
+
+def with_repeated_windows(rows: DataFrame) -> DataFrame:
+    """Replace h3 by `places`: sorted places of the 3-word windows that the text holds twice or more.
+
+    Equal windows have equal hashes: those that share a hash are sorted as strings, so equal ones are neighbours.
     """
-    n = F.size(words)
-    zipped = F.arrays_zip(F.slice(words, 1, n - 2).alias("a"), F.slice(words, 2, n - 2).alias("b"), F.slice(words, 3, n - 2).alias("c"),
-                          F.sequence(F.lit(0), n - 3).alias("i"))
-    return F.when(n >= 3, F.sort_array(zipped)).otherwise(F.array().cast(
-        "array<struct<a:string,b:string,c:string,i:int>>"))
-
-
-def covered(windows: Column) -> Column:
-    """Size of the union of the places of windows that equal a neighbour; `windows` is sorted."""
-    last = F.size(windows)
-    same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
-    twice = F.filter(windows, lambda x, k: ((k > 0) & same(x, F.get(windows, k - 1)))
-                     | ((k < last - 1) & same(x, F.get(windows, k + 1))))
-    places = F.sort_array(twice["i"])
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    pairs = F.sort_array(F.arrays_zip(F.col("h3").alias("h"), F.sequence(F.lit(0), F.size("h3") - 1).alias("i")))
+    rows = rows.withColumn("pairs", F.when(F.size(F.array_distinct("h3")) < F.size("h3"), pairs).otherwise(none)).drop("h3")
+    rows = rows.withColumn("shared", like_a_neighbour("pairs", ("h",))["i"]).drop("pairs")
+    rows = rows.withColumn("texts", F.sort_array(F.transform("shared", lambda i: F.struct(
+        F.get("w", i).alias("a"), F.get("w", i + 1).alias("b"), F.get("w", i + 2).alias("c"), i.alias("i"))))).drop("shared")
+    return rows.withColumn("places", F.sort_array(like_a_neighbour("texts", ("a", "b", "c"))["i"])).drop("texts")
+
+
+def union_of_threes(places: Column) -> Column:
+    """Size of the union of [p, p + 3) over sorted places p."""
     start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n"))
     return F.aggregate(places, start, lambda acc, p: F.struct(
         p.alias("last"), (acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n")), lambda acc: acc["n"])
@@ -108,21 +129,20 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     t = F.col("t")
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = rows.select("id", "t", F.array_remove(F.split(t, SPACE), "").alias("w"),
-                       F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("l"))
+    rows = rows.select("id", "t", F.array_remove(F.split(t, SPACE), "").alias("w"), F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD)).alias("l"))
+    rows = rows.select("*", F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+    rows = rows.select("*", window_hashes("h").alias("h3"))
+    rows = with_repeated_windows(rows)
     rows = rows.select(
-        "id", F.size("w").cast("bigint").alias("n_words"), F.size(F.array_distinct("w")).alias("n_different"),
+        "id", F.size("w").cast("bigint").alias("n_words"), F.size(F.array_distinct("h")).alias("n_different"),
         F.size("l").alias("n_lines"), (F.size("l") - F.size(F.array_distinct("l"))).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col("w")).alias("windows"), left_over(t, SPACE).alias("word_chars"),
-        left_over(t, NO_SYMBOL).alias("n_symbols"), left_over(t, "[^A-Z]+").alias("n_upper"),
-        left_over(t, "[^0-9]+").alias("n_digits"), left_over(t, "[^!?]+").alias("n_marks"))
-    rows = rows.withColumn("n_repeat_words", covered(F.col("windows"))).drop("windows")
+        F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"), union_of_threes(F.col("places")).alias("n_repeat_words"),
+        occurrences(t, SYMBOL).alias("n_symbols"), occurrences(t, "[!?]").alias("n_marks"))
     part = lambda a, b: F.coalesce(F.try_divide(100.0 * F.col(a), F.col(b)), F.lit(0.0))
     return rows.select(
         F.col("id").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (part("word_chars", "n_words") / 100).alias("word_length"), part("n_symbols", "n_words").alias("symbols"),
         part("n_dup_lines", "n_lines").alias("dup_lines"), part("n_repeat_words", "n_words").alias("repeated"),
-        part("n_upper", "word_chars").alias("upper"), part("n_digits", "word_chars").alias("digits"),
         part("n_marks", "n_words").alias("marks"), part("n_different", "n_words").alias("different"),
         (part("n_words", "n_lines") / 100).alias("line_words"))
 
