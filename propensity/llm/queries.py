@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import (decision_lists, order_minhash, personal_data, piece_encoding, positional_index, projections, secret_index, suffix_sort, token_codes,
+from propensity.llm import (decision_lists, order_minhash, personal_data, piece_encoding, positional_index, prefix_trie, projections, secret_index, suffix_sort, token_codes,
                            toxicity, url_trees)
 from propensity.sources.tables import table
 
@@ -182,3 +182,38 @@ def personal_data_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decision_lists.filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+# ---- 13: conversation prefixes
+
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+PREFIX_SQL = f"""
+WITH own AS (
+    SELECT conv_id, conv_id::VARCHAR AS s, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST,
+        sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT conv_id, s, turns, ({_CRC}) % 6 AS h FROM own),
+paths AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS p
+    FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+members AS (SELECT conv_id, len(p) AS n, d, md5(p[1:d]::JSON::VARCHAR) AS node, CASE WHEN d > 0 THEN md5(p[1:d - 1]::JSON::VARCHAR) END AS parent,
+        CASE WHEN d > 0 THEN length(p[d].t) ELSE 0 END AS chars
+    FROM paths, unnest(range(0, len(p) + 1)) AS r(d)),
+nodes AS (
+    SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * any_value(chars) AS own,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+    FROM members GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+    SELECT m.node, count(*) FILTER (k.n_children IS NULL) AS n_leaves, sum(b.own) AS saved
+    FROM nodes b LEFT JOIN kids k ON k.node = b.node JOIN members m ON m.conv_id = b.conv_id AND m.d <= b.depth GROUP BY m.node)
+SELECT a.conv_id, a.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, a.n_convs::BIGINT AS n_convs,
+       coalesce(k.n_children, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, a.ends_sha256
+FROM nodes a JOIN sums s ON s.node = a.node LEFT JOIN kids k ON k.node = a.node LEFT JOIN nodes p ON p.node = a.parent"""
+
+
+@query("op13_conversation_trie", PREFIX_SQL)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
