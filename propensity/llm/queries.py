@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.llm import (decision_lists, order_minhash, personal_data, piece_encoding, positional_index, prefix_trie, projections, secret_index, suffix_sort, token_codes,
+from propensity.llm import (decision_lists, hard_negatives, order_minhash, personal_data, piece_encoding, positional_index, prefix_trie, projections, secret_index, suffix_sort, token_codes,
                            toxicity, url_trees)
 from propensity.sources.tables import table
 
@@ -184,6 +184,31 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+# ---- 12: hard negatives
+
+NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, n.id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id)
+QUALIFY row_number() OVER w <= 5"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 # ---- 13: conversation prefixes
 
 _CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::BIGINT)),
