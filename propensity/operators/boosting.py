@@ -13,8 +13,9 @@ the models, not the rows. `fit_local`: if the rows are few enough for one task,
 from __future__ import annotations
 
 import heapq
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -529,3 +530,34 @@ def fit_trees(data: Binned, jobs: Sequence[Job]) -> list[TreeModel]:
         raise ValueError("no rows to learn from")
     small = data.n_rows <= LOCAL_ROWS and data.n_rows * len(jobs) <= LOCAL_COPIES
     return (fit_local if small else fit_spread)(data, jobs)
+
+
+def loss_by_round(model: TreeModel, df: DataFrame, label: str = "label", features: str = "features") -> DataFrame:
+    """(rounds, loss): mean log loss of the rows after each boosting round, summed per batch before it is shuffled."""
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            y = b.column(1).to_numpy()
+            margin = model.base + np.cumsum(model.leaf_values(model.binned(np.stack(b.column(0).to_numpy(zero_copy_only=False)))), axis=0)
+            loss = np.logaddexp(0, np.where(y == 1, -margin, margin)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(1, len(loss) + 1, dtype=np.int32)), pa.array(loss),
+                                              pa.array(np.full(len(loss), b.num_rows))], ["rounds", "loss", "n"])
+
+    x = df.select(vector_to_array(features).alias("x"), F.col(label).cast("int").alias("y"))
+    return x.mapInArrow(run, "rounds int, loss double, n bigint").groupBy("rounds").agg((F.sum("loss") / F.sum("n")).alias("loss"))
+
+
+def save_trees(spark: SparkSession, model: TreeModel, path: str) -> None:
+    """A row per tree and one of settings, as Parquet."""
+    rows = [(k, model.base, *[t[p].tolist() for p in _PARTS]) for k, t in enumerate(model.trees)]
+    spark.createDataFrame(rows, NODE_SCHEMA.split(", ", 1)[1]).write.parquet(f"{path}/trees")
+    settings = [(json.dumps(asdict(model.spec)), [e.tolist() for e in model.edges], model.base)]
+    spark.createDataFrame(settings, "spec string, edges array<array<double>>, base double").write.parquet(f"{path}/settings")
+
+
+def load_trees(spark: SparkSession, path: str) -> TreeModel:
+    row = spark.read.parquet(f"{path}/settings").first()
+    trees = [{p: np.array(r[p], np.int64 if p in ("feature", "bin", "left", "right") else float) for p in _PARTS}
+             for r in spark.read.parquet(f"{path}/trees").orderBy("tree").collect()]
+    return TreeModel(Spec(**json.loads(row.spec)), [np.array(e) for e in row.edges], trees, row.base)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from propensity.operators import metrics as E
 from propensity.operators.features import assemble
-from propensity.operators.models import fit, fit_many, score
+from propensity.operators.models import fit_families, score
 from propensity.operators.ordered import arg_best
 from propensity.operators.sampling import stratified_folds
 from propensity.session import keep
@@ -123,36 +123,36 @@ def score_meta(meta, scored: DataFrame, columns: Sequence[str], name: str) -> Da
     return score(meta, wide, name).drop("features").withColumnRenamed("__base", "features")
 
 
-def out_of_fold(train: DataFrame, key: str, presets: dict[str, dict], folds: int = 5,
-                threads: int = 8) -> DataFrame:
+def held_out_scores(models: dict, rows: DataFrame, presets: dict[str, dict], folds: int) -> DataFrame:
+    """prob_<name> of each row by the models that did not see its fold."""
+    parts = [score_all({n: models[n, f] for n in presets}, rows.filter(F.col("fold") == f)) for f in range(folds)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def out_of_fold(train: DataFrame, key: str, presets: dict[str, dict], folds: int = 5) -> DataFrame:
     """Scores of each row by models that did not see its fold; every key occurs once."""
     rows = keep(stratified_folds(train, key, "label", folds))
-    jobs: dict[str, Callable] = {
-        f"{f}|{n}": (lambda f=f, n=n, o=o: fit(n, rows.filter(F.col("fold") != f), **o))
-        for f in range(folds) for n, o in presets.items()}
-    models = fit_many(jobs, threads)
-    parts = [score_all({n: models[f"{f}|{n}"] for n in presets}, rows.filter(F.col("fold") == f))
-             for f in range(folds)]
-    return reduce(DataFrame.unionByName, parts)
+    return held_out_scores(fit_families(rows, key, presets, range(folds)), rows, presets, folds)
 
 
-def fit_meta(scored: DataFrame, columns: Sequence[str], preset: str = "meta_lasso", **override):
-    return fit(preset, assemble(scored.drop("features"), columns), **override)
+def fit_meta(scored: DataFrame, key: str, columns: Sequence[str], meta: str = "lasso"):
+    """Meta model on score columns; a lasso takes the penalty that cross-validation finds best."""
+    return fit_families(assemble(scored.drop("features", "fold"), columns), key, {meta: {}}, penalty_folds=5)[meta, None]
 
 
-def fit_stack(train: DataFrame, key: str, presets: dict[str, dict], folds: int = 5,
-              meta: str = "meta_lasso") -> Stack:
-    """Meta model on out-of-fold scores; base models fitted again on all training rows."""
-    oof = keep(out_of_fold(train, key, presets, folds).drop("features"))
+def fit_stack(train: DataFrame, key: str, presets: dict[str, dict], folds: int = 5, meta: str = "lasso",
+              final: dict[str, dict] | None = None) -> Stack:
+    """Meta model on out-of-fold scores; base models of all training rows are fitted in the same passes as those of the folds."""
+    rows = keep(stratified_folds(train, key, "label", folds))
+    models = fit_families(rows, key, presets, [*range(folds), None], final)
     columns = tuple(f"prob_{n}" for n in presets)
-    top = fit_meta(oof, columns, meta)
-    base = fit_many({n: (lambda n=n, o=o: fit(n, train, **o)) for n, o in presets.items()})
-    return Stack(base, top, columns)
+    oof = keep(held_out_scores(models, rows, presets, folds).select(key, "label", *columns))
+    return Stack({n: models[n, None] for n in presets}, fit_meta(oof, key, columns, meta), columns)
 
 
-def fit_blend(train: DataFrame, val: DataFrame, presets: dict[str, dict], meta: str = "meta_lasso") -> Stack:
+def fit_blend(train: DataFrame, val: DataFrame, key: str, presets: dict[str, dict], meta: str = "lasso") -> Stack:
     """Base models on the training rows, meta model on their validation scores."""
-    base = fit_many({n: (lambda n=n, o=o: fit(n, train, **o)) for n, o in presets.items()})
+    models = fit_families(train, key, presets)
+    base = {n: models[n, None] for n in presets}
     columns = tuple(f"prob_{n}" for n in presets)
-    top = fit_meta(keep(score_all(base, val)), columns, meta)
-    return Stack(base, top, columns)
+    return Stack(base, fit_meta(keep(score_all(base, val).select(key, "label", *columns)), key, columns, meta), columns)

@@ -24,7 +24,7 @@ def importance(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
 def coefficients(spark: SparkSession, model, names: Sequence[str], nonzero: bool = True) -> DataFrame:
     """Intercept and coefficients, largest magnitude first."""
     rows = [("(intercept)", float(model.intercept))]
-    rows += [(n, float(v)) for n, v in zip(names, model.coefficients.toArray())]
+    rows += [(n, float(v)) for n, v in zip(names, model.coefficients)]
     df = spark.createDataFrame(rows, "feature string, coefficient double")
     if nonzero:
         df = df.filter(F.col("coefficient") != 0)

@@ -7,18 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
+from propensity.operators import boosting as B
+from propensity.operators.boosting import TreeModel
+from propensity.operators.penalised import LinearScore, penalty_paths
 
 FAMILIES = {
     "logistic": LogisticRegression,
@@ -100,6 +102,8 @@ def fit_many(jobs: dict[str, Callable], threads: int = 8) -> dict:
 
 def score(model, df: DataFrame, name: str = "prob") -> DataFrame:
     """Add the class-1 probability; a model without one gives the logistic of its margin."""
+    if isinstance(model, (TreeModel, LinearScore)):
+        return model.score(df, name)
     out = model.transform(df)
     if "probability" in out.columns:
         p = C.class_probability(F.col("probability"))
@@ -109,30 +113,29 @@ def score(model, df: DataFrame, name: str = "prob") -> DataFrame:
     return out.withColumn(name, p).drop(*drop)
 
 
-def best_rounds(model, validation: DataFrame) -> list[tuple[int, float]]:
-    """(rounds, validation loss) for each boosting prefix; the smallest loss is the choice."""
-    losses = model.evaluateEachIteration(validation)
-    return [(i + 1, float(v)) for i, v in enumerate(losses)]
-
-
-def penalty_path(train: DataFrame, lambdas: Sequence[float], folds: int = 5, alpha: float = 1.0,
-                 fold_col: str | None = None, label: str = "label") -> list[tuple[float, float, float]]:
-    """(lambda, mean AUC, standard error) by cross-validation."""
-    est = estimator("logistic", label=label, maxIter=100, elasticNetParam=alpha)
-    grid = ParamGridBuilder().addGrid(est.regParam, list(lambdas)).build()
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, numFolds=folds, parallelism=4, seed=42,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label))
-    if fold_col:
-        cv.setFoldCol(fold_col)
-    model = cv.fit(train)
-    return [(lam, float(m), float(s) / folds ** 0.5)
-            for lam, m, s in zip(lambdas, model.avgMetrics, model.stdMetrics)]
-
-
-def choose_penalty(path: Sequence[tuple[float, float, float]]) -> tuple[float, float]:
-    """(best lambda, largest lambda within one standard error of the best)."""
-    lam, mean, se = max(path, key=lambda r: (r[1], r[0]))
-    return lam, max(r[0] for r in path if r[1] >= mean - se)
+def fit_families(train: DataFrame, key: str, presets: dict[str, dict], held: Sequence[int | None] = (None,),
+                 final: dict[str, dict] | None = None, weight: str | None = None, penalty_folds: int = 3) -> dict:
+    """(preset, held-out fold) to model; None holds nothing out. With folds, `train` has a column `fold`.
+
+    Tree families of `boosting.SPECS` and the lasso share one table of binned rows, and every fold is fitted in the same
+    passes. Other presets are separate fits of Spark's learners. `final` overrides settings of the fits on all rows.
+    """
+    folds = [-2 if f is None else f for f in held]
+    settings = lambda n, f: {**presets[n], **((final or {}).get(n, {}) if f is None else {})}
+    shared = [n for n in presets if n in B.SPECS or n == "lasso"]
+    models: dict = {}
+    if shared:
+        data = B.bin_rows(train, key, weight=weight, fold="fold" if any(f >= 0 for f in folds) else None)
+        trees = [(n, f) for n in shared if n != "lasso" for f in held]
+        if trees:
+            jobs = [B.Job(replace(B.SPECS[n], **settings(n, f)), -2 if f is None else f) for n, f in trees]
+            models.update(zip(trees, B.fit_trees(data, jobs)))
+        if "lasso" in shared:
+            models.update({("lasso", f): path.model() for f, path in zip(held, penalty_paths(data, folds, penalty_folds))})
+    jobs = {(n, f): (lambda n=n, f=f: fit(n, train if f is None else train.filter(F.col("fold") != f), weight=weight, **settings(n, f)))
+            for n in presets if n not in shared for f in held}
+    models.update(fit_many(jobs))
+    return models
 
 
 def fit_recommender(ratings: DataFrame, user: str = "user_id", item: str = "item_id",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensity.operators.boosting import TreeModel, load_trees, save_trees
+from propensity.operators.penalised import LinearScore
 from propensity.session import new_path
 
 RUN_SCHEMA = "run_id string, kind string, key string, value string"
@@ -55,21 +58,43 @@ def save_model(spark: SparkSession, model, name: str = "model") -> str:
     return path
 
 
-def save_bundle(spark: SparkSession, models: dict[str, PipelineModel], details: dict,
+def save_bundle(spark: SparkSession, models: dict, details: dict,
                 medians: DataFrame | None = None) -> str:
     """Models, optional medians and one row of details under one folder."""
     path = new_path(spark, "bundle")
+    kinds = {}
     for name, model in models.items():
-        model.write().save(f"{path}/models/{name}")
+        kinds[name] = _save(spark, model, f"{path}/models/{name}")
     text = {k: str(v) for k, v in details.items()}
-    rows = [(k, v) for k, v in sorted({**text, "models": ",".join(sorted(models))}.items())]
+    rows = [(k, v) for k, v in sorted({**text, "models": ",".join(f"{n}:{kinds[n]}" for n in sorted(models))}.items())]
     spark.createDataFrame(rows, "key string, value string").coalesce(1).write.parquet(f"{path}/details")
     if medians is not None:
         medians.write.parquet(f"{path}/medians")
     return path
 
 
-def load_bundle(spark: SparkSession, path: str) -> tuple[dict[str, PipelineModel], dict[str, str]]:
+def load_bundle(spark: SparkSession, path: str) -> tuple[dict, dict[str, str]]:
     details = {r.key: r.value for r in spark.read.parquet(f"{path}/details").collect()}
-    models = {n: PipelineModel.load(f"{path}/models/{n}") for n in details["models"].split(",")}
-    return models, details
+    pairs = [x.split(":") for x in details["models"].split(",")]
+    return {n: _load(spark, kind, f"{path}/models/{n}") for n, kind in pairs}, details
+
+
+def _save(spark: SparkSession, model, path: str) -> str:
+    if isinstance(model, TreeModel):
+        save_trees(spark, model, path)
+        return "trees"
+    if isinstance(model, LinearScore):
+        spark.createDataFrame([(model.intercept, model.coefficients.tolist(), model.penalty)],
+                              "intercept double, coefficients array<double>, penalty double").write.parquet(path)
+        return "linear"
+    model.write().save(path)
+    return "pipeline"
+
+
+def _load(spark: SparkSession, kind: str, path: str):
+    if kind == "trees":
+        return load_trees(spark, path)
+    if kind == "linear":
+        r = spark.read.parquet(path).first()
+        return LinearScore(r.intercept, np.array(r.coefficients), r.penalty)
+    return PipelineModel.load(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
@@ -20,6 +22,7 @@ from propensity.sources import views
 COLS = [f"p_{m}" for m in views.MODELS]
 
 BASE: dict[str, dict] = {name: {} for name in BASE_MODELS}
+FINAL: dict[str, dict] = {"forest": {"rounds": 500}}  # of the fits on all training rows
 
 
 @query("n1_hard_vote", Q.with_views(Q.SCORES) + "SELECT custkey, CAST(" + " + ".join(
@@ -75,22 +78,22 @@ SELECT "CustomerID", "Churn" AS label, CAST((row_number() OVER (PARTITION BY "Ch
 ORDER BY md5(CAST("CustomerID" AS VARCHAR) || '|42'), "CustomerID") - 1) % 5 AS INTEGER) AS fold, TRUE AS in_range FROM train""")
 def n5_keys(spark, d):
     """Each training row once, in its fold, with scores between 0 and 1."""
-    out = N.out_of_fold(churn_data(spark, d).train, "CustomerID", {"tree": {}, "lasso": {}}, 5)
-    inside = F.col("prob_tree").between(0, 1) & F.col("prob_lasso").between(0, 1)
+    out = N.out_of_fold(churn_data(spark, d).train, "CustomerID", BASE, 5)
+    inside = reduce(lambda a, b: a & b, [F.col(f"prob_{n}").between(0, 1) for n in BASE])
     return out.select("CustomerID", "label", "fold", inside.alias("in_range"))
 
 
 @query("n6_stacking")
 def n6(spark, d):
     data = churn_data(spark, d)
-    stack = N.fit_stack(data.train, "CustomerID", BASE, 5)
+    stack = N.fit_stack(data.train, "CustomerID", BASE, 5, final=FINAL)
     return stack.score(data.test).select("CustomerID", "label", *stack.columns, "prob_stack")
 
 
 @query("n7_blending")
 def n7(spark, d):
     data = churn_data(spark, d)
-    blend = N.fit_blend(data.train, data.val, BASE)
+    blend = N.fit_blend(data.train, data.val, "CustomerID", BASE)
     return blend.score(data.test, "prob_blend").select("CustomerID", "label", *blend.columns, "prob_blend")
 
 
@@ -135,6 +138,6 @@ def eight_scores(scored, weights):
 @query("n11_multi_model_scores")
 def n11(spark, d):
     data = churn_data(spark, d)
-    stack = N.fit_blend(data.train, data.val, BASE)
+    stack = N.fit_blend(data.train, data.val, "CustomerID", BASE)
     weights = N.auc_weights(N.score_all(stack.base, data.val), "label", list(stack.columns))
     return eight_scores(stack.score(data.rows), weights)

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
 from propensity.operators import balance, linear, sampling
+from propensity.operators import boosting as B
 from propensity.operators import forecast as T
 from propensity.operators import models as M
 from propensity.operators.features import assemble
+from propensity.operators.penalised import penalty_paths
 from propensity.operators.subscribers import plan_flags, value_columns
 from propensity.plans import view_sql as Q
 from propensity.plans.prepared import VALUE_COLUMNS, churn_data
@@ -28,6 +30,11 @@ def p17(spark, d):
     return out.select("CustomerID", C.class_probability(F.col("probability")).alias("prob"))
 
 
+def _weighted(data, name):
+    train = balance.add_class_weight(data.train, "label")
+    return M.fit_families(train, "CustomerID", {name: {}}, weight="class_weight")[name, None]
+
+
 @query("m1_logistic_regression")
 def m1(spark, d):
     data = churn_data(spark, d)
@@ -122,43 +129,55 @@ def m5(spark, d):
 @query("m6_boosted_classifier")
 def m6(spark, d):
     data = churn_data(spark, d)
-    train = balance.add_class_weight(data.train, "label")
-    return _scored(M.fit("boosted", train, weight="class_weight"), data.rows)
+    return _scored(_weighted(data, "boosted"), data.rows)
+
+
+def _rounds(spark, d):
+    """A booster of 500 rounds, fitted once, with its validation loss after every round."""
+    data = churn_data(spark, d)
+    model = M.fit_families(data.train, "CustomerID", {"xgb_like": {"rounds": 500}})["xgb_like", None]
+    return data, model, B.loss_by_round(model, data.val).orderBy("rounds").collect()
 
 
 @query("m7_best_rounds")
 def m7(spark, d):
-    data = churn_data(spark, d)
-    model = M.fit("boosted", data.train)
-    losses = M.best_rounds(model, data.val)
-    best = min(losses, key=lambda r: (r[1], r[0]))[0]
-    return spark.createDataFrame([(n, v, n == best) for n, v in losses],
+    _, _, losses = _rounds(spark, d)
+    best = min(losses, key=lambda r: (r.loss, r.rounds)).rounds
+    return spark.createDataFrame([(r.rounds, r.loss, r.rounds == best) for r in losses],
                                  "rounds int, loss double, is_best boolean")
 
 
+@query("m7_scores_at_best_rounds")
+def m7b(spark, d):
+    """The chosen number of rounds goes into the model that scores."""
+    data, model, losses = _rounds(spark, d)
+    best = min(losses, key=lambda r: (r.loss, r.rounds)).rounds
+    return _scored(model.first(best), data.rows).withColumn("rounds", F.lit(best))
+
+
 @query("m8_xgb_like_booster")
 def m8(spark, d):
     data = churn_data(spark, d)
-    train = balance.add_class_weight(data.train, "label")
-    return _scored(M.fit("xgb_like", train, weight="class_weight"), data.rows)
+    return _scored(_weighted(data, "xgb_like"), data.rows)
 
 
 @query("m9_lgb_like_booster")
 def m9(spark, d):
     data = churn_data(spark, d)
-    train = balance.add_class_weight(data.train, "label")
-    return _scored(M.fit("lgb_like", train, weight="class_weight"), data.rows)
+    return _scored(_weighted(data, "lgb_like"), data.rows)
 
 
 @query("m10_lasso_path")
 def m10(spark, d):
+    return penalty_paths(B.bin_rows(churn_data(spark, d).train, "CustomerID"))[0].table(spark)
+
+
+@query("m10_lasso_scores")
+def m10b(spark, d):
+    """Scores of the fit that carries the chosen penalty."""
     data = churn_data(spark, d)
-    train = sampling.stratified_folds(data.train, "CustomerID", "label", 5)
-    path = M.penalty_path(keep(train), [10 ** (-i / 4) for i in range(4, 17)], 5, fold_col="fold")
-    best, sparse = M.choose_penalty(path)
-    return spark.createDataFrame(
-        [(lam, m, s, lam == best, lam == sparse) for lam, m, s in path],
-        "lambda double, auc double, se double, is_min boolean, is_1se boolean")
+    model = penalty_paths(B.bin_rows(data.train, "CustomerID"))[0].model()
+    return _scored(model, data.rows).withColumn("lambda", F.lit(model.penalty))
 
 
 @query("m11_decision_tree")
@@ -200,8 +219,8 @@ def m15(spark, d):
 @query("m16_score_any_model")
 def m16(spark, d):
     data = churn_data(spark, d)
-    parts = [M.score(M.fit(name, data.train), data.rows).select(
-        F.lit(name).alias("model"), "CustomerID", "prob") for name in ("tree", "bayes", "lasso")]
+    models = M.fit_families(data.train, "CustomerID", {"tree": {}, "bayes": {}, "lasso": {}})
+    parts = [M.score(model, data.rows).select(F.lit(name).alias("model"), "CustomerID", "prob") for (name, _), model in models.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

@@ -19,7 +19,7 @@ from propensity.operators import sampling, tuning
 from propensity.operators import subscribers as S
 from propensity.plans import view_sql as Q
 from propensity.plans.column_queries import RISK_SQL, TIER_SQL, ltv_tier, risk_segment
-from propensity.plans.ensemble_queries import BASE, eight_scores
+from propensity.plans.ensemble_queries import BASE, FINAL, eight_scores
 from propensity.plans.loan_job import errors, loan_frames
 from propensity.plans.model_queries import (OUTLIER_COLS, outlier_sql, rating_rows, value_rows)
 from propensity.plans.prepared import CHURN_COLUMNS, churn_data
@@ -238,17 +238,15 @@ def c9b(spark, d):
 @query("c10_ensemble_scoring")
 def c10(spark, d):
     data = churn_data(spark, d)
-    stack = N.fit_stack(data.train, "CustomerID", BASE, 5)
+    stack = N.fit_stack(data.train, "CustomerID", BASE, 5, final=FINAL)
     long = N.score_all(stack.base, data.val)
     weights = E.auc_roc(long.unpivot(["label"], list(stack.columns), "model", "p"), "label", "p", ["model"]).collect()
     total = sum(r.auc for r in weights)
     path = L.save_bundle(spark, {
-        "encoder": data.encoder, "meta": PipelineModel([stack.meta]),
-        **{f"base_{n}": PipelineModel([m]) for n, m in stack.base.items()}},
+        "encoder": data.encoder, "meta": stack.meta, **{f"base_{n}": m for n, m in stack.base.items()}},
         {f"weight_{r.model}": r.auc / total for r in weights})
     models, details = L.load_bundle(spark, path)
-    base = {n: models[f"base_{n}"].stages[0] for n in BASE}
-    again = N.Stack(base, models["meta"].stages[0], stack.columns)
+    again = N.Stack({n: models[f"base_{n}"] for n in BASE}, models["meta"], stack.columns)
     w = F.struct(*[F.lit(float(details[f"weight_{c}"])).alias(c) for c in stack.columns])
     everyone = X.charge_columns(views.churn(spark, d, everyone=True))
     new = models["encoder"].transform(everyone).select("CustomerID", "features")

@@ -6,12 +6,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
+from propensity.operators import boosting as B
 from propensity.operators import ensemble as N
 from propensity.operators import features as X
 from propensity.operators import metrics as E
 from propensity.operators import models as M
 from propensity.operators import records as L
 from propensity.operators import tuning as T
+from propensity.operators.penalised import penalty_paths
 from propensity.plans import view_sql as Q
 from propensity.plans.ensemble_queries import BASE
 from propensity.plans.loan_job import train_loan_model
@@ -68,12 +70,14 @@ def t6(spark, d):
 
 @query("t7_meta_alpha_search")
 def t7(spark, d):
-    data = churn_data(spark, d)
-    specs = {"tree": {}, "bayes": {}, "lasso": {}}
-    oof = N.out_of_fold(data.train, "CustomerID", specs, 5).drop("features", "fold")
-    rows = keep(X.assemble(oof, [f"prob_{n}" for n in specs]))
-    grid = T.combinations({"elasticNetParam": [i / 10 for i in range(11)]})
-    return T.grid_search(rows, "logistic", grid, 5, "CustomerID", regParam=0.001, maxIter=100)[1]
+    """Every alpha has its own path of penalties over the five out-of-fold scores; all paths in step."""
+    oof = N.out_of_fold(churn_data(spark, d).train, "CustomerID", BASE, 5).drop("features", "fold")
+    data = B.bin_rows(X.assemble(oof, [f"prob_{n}" for n in BASE]), "CustomerID")
+    alphas = [i / 10 for i in range(11)]
+    paths = penalty_paths(data, folds=5, alphas=alphas)
+    best = max(range(11), key=lambda i: (round(float(paths[i].auc.max()), 9), -i))
+    rows = [(a, float(p.penalties[p.smallest]), float(p.auc[p.smallest]), i == best) for i, (a, p) in enumerate(zip(alphas, paths))]
+    return spark.createDataFrame(rows, "alpha double, lambda double, auc double, is_best boolean").orderBy(F.desc("auc"), "alpha")
 
 
 REGULARISED: dict[str, dict] = {n: {} for n in (

@@ -1,9 +1,11 @@
+import math
 import random
 
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from propensity.operators import boosting as B
 from propensity.operators import ensemble as N
 from propensity.operators import explain as X
 from propensity.operators import metrics as E
@@ -144,17 +146,28 @@ def test_stack_and_blend(data):
     train, test = data.filter("id % 4 <> 0"), data.filter("id % 4 = 0")
     specs = {"tree": {}, "lasso": {}}
     for stack, name in ((N.fit_stack(train, "id", specs, 3), "prob_stack"),
-                        (N.fit_blend(train.filter("id % 4 = 1"), train.filter("id % 4 > 1"), specs), "prob_stack")):
+                        (N.fit_blend(train.filter("id % 4 = 1"), train.filter("id % 4 > 1"), "id", specs), "prob_stack")):
         s = stack.score(test)
         assert s.count() == 150
         assert E.auc_roc(s, "label", name).first().auc > 0.85
 
 
-def test_best_rounds_and_penalty_choice(data):
-    model = M.fit("boosted", data, maxIter=3)
-    assert [n for n, _ in M.best_rounds(model, data)] == [1, 2, 3]
-    best, sparse = M.choose_penalty([(0.01, 0.90, 0.02), (0.1, 0.89, 0.02), (1.0, 0.5, 0.02)])
-    assert (best, sparse) == (0.01, 0.1)
+def test_loss_by_round(data):
+    model = M.fit_families(data, "id", {"xgb_like": {"rounds": 6}})["xgb_like", None]
+    losses = [r.loss for r in B.loss_by_round(model, data).orderBy("rounds").collect()]
+    assert len(losses) == 6 and losses == sorted(losses, reverse=True)
+    p = {r.id: (r.label, r.prob) for r in model.first(2).score(data).collect()}
+    want = sum(-math.log(q if y else 1 - q) for y, q in p.values()) / len(p)
+    assert losses[1] == pytest.approx(want)
+
+
+def test_bundle_keeps_every_kind(spark, data):
+    models = M.fit_families(data, "id", {"xgb_like": {"rounds": 3}, "lasso": {}})
+    named = {n: m for (n, _), m in models.items()}
+    again, _ = L.load_bundle(spark, L.save_bundle(spark, named, {"x": 1}))
+    for n, m in named.items():
+        a, b = ({r.id: r.prob for r in M.score(x, data).collect()} for x in (m, again[n]))
+        assert a == pytest.approx(b)
 
 
 def test_grid_search_tables(data):
