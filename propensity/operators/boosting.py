@@ -51,6 +51,7 @@ class Spec:
     columns: float = 1.0  # share per tree; in a forest the number per split
     second_order: bool = True  # gain from second derivatives; otherwise from row counts
     from_mean: bool = False  # start at the log-odds of the label instead of 0
+    allowed: tuple[int, ...] | None = None  # features that may be split on; None: all
     forest: bool = False
     seed: int = 42
 
@@ -166,13 +167,16 @@ class Tree:
                 self.hists.pop(n)
 
     def _columns(self, node: int, n: int) -> np.ndarray | None:
+        """Features that the node may split on; None: all."""
         spec = self.spec
+        pool = np.arange(n) if spec.allowed is None else np.array(spec.allowed)
         if spec.forest:
-            k = int(spec.columns) or max(1, int(np.sqrt(n)))
-            return None if k >= n else np.random.default_rng((spec.seed, self.number, node)).permutation(n)[:k]
-        if spec.columns >= 1:
+            k, seed = int(spec.columns) or max(1, int(np.sqrt(len(pool)))), (spec.seed, self.number, node)
+        else:
+            k, seed = max(1, int(spec.columns * len(pool))), (spec.seed, self.number)
+        if k >= n:
             return None
-        return np.random.default_rng((spec.seed, self.number)).permutation(n)[:max(1, int(spec.columns * n))]
+        return np.random.default_rng(seed).permutation(pool)[:k]
 
     def _may_split(self, n: int) -> bool:
         return self.best[n][0] > 0 and (self.spec.depth is None or self.depth[n] < self.spec.depth)
@@ -268,14 +272,15 @@ def best_splits(hists: np.ndarray, spec: Spec, columns: list[np.ndarray | None])
     return [(float(v), int(i // gain.shape[2]), int(i % gain.shape[2])) if v > 1e-9 else (0.0, -1, 0) for v, i in zip(best, at)]
 
 
-def walk(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def walk(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndarray, depth: int | None = None) -> np.ndarray:
     node = np.zeros(len(bins), np.int64)
     rows = np.arange(len(bins))
     while True:
         inner = left[node[rows]] >= 0
         rows = rows[inner]
-        if not len(rows):
+        if not len(rows) or depth == 0:
             return node
+        depth = None if depth is None else depth - 1
         n = node[rows]
         node[rows] = np.where(bins[rows, feature[n]] <= cut[n], left[n], right[n])
 
@@ -297,11 +302,14 @@ class TreeModel:
         """trees x rows."""
         return np.stack([t["value"][walk(bins, t["feature"], t["bin"], t["left"], t["right"])] for t in self.trees])
 
-    def predict(self, bins: np.ndarray, trees: int | None = None) -> np.ndarray:
-        """Class probability (boosted), or mean of the trees (forest)."""
+    def predict(self, bins: np.ndarray, trees: int | None = None, depth: int | None = None) -> np.ndarray:
+        """Class probability (boosted), or mean of the trees (forest); of the first trees, or cut at a depth, if asked.
+
+        Trees that grow level by level and are cut at a depth are those that a fit with that depth gives.
+        """
         out = np.zeros(len(bins))
         for t in self.trees[:trees]:
-            out += t["value"][walk(bins, t["feature"], t["bin"], t["left"], t["right"])]
+            out += t["value"][walk(bins, t["feature"], t["bin"], t["left"], t["right"], depth)]
         return out / max(len(self.trees[:trees]), 1) if self.spec.forest else 1 / (1 + np.exp(-(self.base + out)))
 
     def first(self, rounds: int) -> "TreeModel":
@@ -353,9 +361,14 @@ class Binned:
 def quantile_edges(x: DataFrame, size: int, bins: int) -> list[np.ndarray]:
     """Upper edges of the bins, the largest value left out; a feature with few values has one bin for each."""
     shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    row = x.agg(*[F.percentile_approx(F.get("x", F.lit(i)), shares, 10_000).alias(f"q{i}") for i in range(size)],
-                *[F.max(F.get("x", F.lit(i))).alias(f"m{i}") for i in range(size)]).first()
-    return [np.array(sorted({v for v in (row[f"q{i}"] or []) if v < row[f"m{i}"]}), float) for i in range(size)]
+    at = lambda i: F.get("x", F.lit(i))
+    row = x.agg(*[F.percentile_approx(at(i), shares, 10_000).alias(f"q{i}") for i in range(size)],
+                *[F.max(at(i)).alias(f"m{i}") for i in range(size)],
+                *[F.approx_count_distinct(at(i)).alias(f"n{i}") for i in range(size)]).first()
+    few = [i for i in range(size) if row[f"n{i}"] <= 0.8 * bins]  # the estimate is some 5 % off
+    sets = x.agg(*[F.collect_set(at(i)).alias(f"q{i}") for i in few]).first() if few else {}
+    values = [(sets if i in few else row)[f"q{i}"] or [] for i in range(size)]
+    return [np.array(sorted({v for v in values[i] if v < row[f"m{i}"]}), float) for i in range(size)]
 
 
 def bin_rows(df: DataFrame, key: str, bins: int = 64, label: str = "label", weight: str | None = None, fold: str | None = None) -> Binned:

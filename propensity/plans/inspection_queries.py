@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
+from propensity.operators import boosting as B
 from propensity.operators import explain as X
 from propensity.operators import joins as J
 from propensity.operators import models as M
+from propensity.operators import outofbag as O
 from propensity.operators import trees as R
+from propensity.operators import treeshap as H
+from propensity.plans import view_sql as Q
 from propensity.plans.model_queries import value_rows
+from propensity.plans.order_queries import u_sql
 from propensity.plans.prepared import VALUE_COLUMNS, churn_data
 from propensity.plans.registry import query
 
@@ -19,19 +24,29 @@ def _forest(spark, d):
     return data, M.fit("forest", data.train)
 
 
+def _bagged(spark, d):
+    """Training rows, and a forest whose bags are known row by row."""
+    data = churn_data(spark, d)
+    binned = B.bin_rows(data.train, "CustomerID")
+    return data, binned, B.fit_trees(binned, [B.Job(B.SPECS["forest"])])[0]
+
+
 @query("e11_error_by_trees")
 def e11(spark, d):
-    data, model = _forest(spark, d)
-    nodes = R.node_table(spark, model, data.names)
-    return R.error_by_trees(R.tree_votes(model, nodes, data.test), "label")
+    _, binned, model = _bagged(spark, d)
+    return O.error_by_trees(binned, model)
 
 
 @query("e12_vote_share")
 def e12(spark, d):
-    data, model = _forest(spark, d)
-    nodes = R.node_table(spark, model, data.names)
-    return R.vote_share(R.tree_votes(model, nodes, data.test)).select(
-        "CustomerID", "label", "vote_share")
+    _, binned, model = _bagged(spark, d)
+    return O.votes(binned, model)
+
+
+@query("e12_bag_counts", Q.with_views(Q.CHURN, f"""train AS (SELECT * FROM churn WHERE {u_sql('"CustomerID"')} < 0.7)""")
+       + O.bag_counts_sql("train", "CustomerID", B.SPECS["forest"]))
+def e12_bags(spark, d):
+    return O.bag_counts(B.bin_rows(churn_data(spark, d).train, "CustomerID"), B.SPECS["forest"])
 
 
 @query("i1_forest_importance")
@@ -42,8 +57,8 @@ def i1(spark, d):
 
 @query("i2_permutation_importance")
 def i2(spark, d):
-    data, model = _forest(spark, d)
-    return X.permutation_importance(model, data.test, "CustomerID", "label", data.names)
+    data, binned, model = _bagged(spark, d)
+    return O.permutation_importance(binned, model, data.names)
 
 
 @query("i3_importance_spread")
@@ -144,16 +159,21 @@ def i13(spark, d):
     return R.leaf_map(model, data.rows, "CustomerID")
 
 
+def _attributed(spark, d):
+    data = churn_data(spark, d)
+    model = M.fit_families(data.train, "CustomerID", {"xgb_like": {}})["xgb_like", None]
+    return H.shapley_values(model, data.rows, "CustomerID", data.names)
+
+
 @query("i14_shapley_values")
 def i14(spark, d):
-    data, model = _forest(spark, d)
-    return X.shapley_values(model, data.rows, "CustomerID", data.names, 2)
+    """Exact values on the margin of the booster, for all rows."""
+    return _attributed(spark, d)
 
 
 @query("i14_mean_absolute_shapley")
 def i14b(spark, d):
-    data, model = _forest(spark, d)
-    return X.mean_absolute(X.shapley_values(model, data.rows, "CustomerID", data.names, 2))
+    return X.mean_absolute(_attributed(spark, d))
 
 
 @query("i15_representative_tree")

@@ -68,13 +68,12 @@ def j4(spark, d):
                        scored, "custkey")
 
 
-@query("j5_full_outer_list", """
-SELECT coalesce(a.custkey, b.custkey, c.custkey) AS custkey, n_1996, n_1997, n_1998 FROM
-(SELECT o_custkey AS custkey, count(*) AS n_1996 FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 1) a
-FULL JOIN (SELECT o_custkey AS custkey, count(*) AS n_1997 FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1) b
-ON a.custkey = b.custkey
-FULL JOIN (SELECT o_custkey AS custkey, count(*) AS n_1998 FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1) c
-ON c.custkey = coalesce(a.custkey, b.custkey)""")
+YEARS = range(1992, 1999)
+
+
+@query("j5_full_outer_list", "SELECT custkey, " + ", ".join(f"n_{y}" for y in YEARS) + " FROM " + " FULL JOIN ".join(
+    f"(SELECT o_custkey AS custkey, count(*) AS n_{y} FROM orders WHERE year(o_orderdate) = {y} GROUP BY 1) y{y}"
+    + (" USING (custkey)" if y > YEARS[0] else "") for y in YEARS))
 def j5(spark, d):
     orders = tables.table(spark, d, "orders")
 
@@ -84,7 +83,7 @@ def j5(spark, d):
         return (orders.filter((day >= lo) & (day < hi))
                 .groupBy(F.col("o_custkey").alias("custkey")).agg(F.count("*").alias(f"n_{y}")))
 
-    return J.full_outer([of_year(y) for y in (1996, 1997, 1998)], "custkey")
+    return J.full_outer([of_year(y) for y in YEARS], "custkey")
 
 
 @query("j6_keyed_bind", Q.with_views(Q.SCORES) + """

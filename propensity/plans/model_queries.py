@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
@@ -161,6 +163,26 @@ def m8(spark, d):
     return _scored(_weighted(data, "xgb_like"), data.rows)
 
 
+@query("m8_first_split", Q.with_views(Q.CHURN, """x AS (SELECT CAST(tenure AS DOUBLE) AS v, 0.5 - "Churn" AS g, 0.25 AS h FROM churn),
+t AS (SELECT sum(g)::DOUBLE AS g, sum(h)::DOUBLE AS h, count(*) AS n FROM x),
+c AS (SELECT DISTINCT v, sum(g) OVER w AS lg, sum(h) OVER w AS lh, count(*) OVER w AS ln FROM x WINDOW w AS (ORDER BY v RANGE UNBOUNDED PRECEDING)),
+s AS (SELECT v, lg::DOUBLE AS lg, lh::DOUBLE AS lh, ln, g - lg::DOUBLE AS rg, h - lh::DOUBLE AS rh, n - ln AS rn,
+ (lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) - g * g / (h + 1)) / 2.0::DOUBLE - 0.1 AS gain FROM c, t
+ WHERE lh >= 5 AND h - lh >= 5)""") + f"""
+SELECT v AS threshold, {rnd('gain', 4)} AS gain, ln AS n_left, rn AS n_right, {rnd('-lg / (lh + 1) * 0.05', 6)} AS left_value,
+{rnd('-rg / (rh + 1) * 0.05', 6)} AS right_value FROM s ORDER BY gain DESC, v LIMIT 1""")
+def m8_first(spark, d):
+    """The first split of the booster on one column, and its leaves."""
+    rows = views.churn(spark, d).select("CustomerID", F.col("Churn").alias("label"), F.col("tenure").cast("double").alias("tenure"))
+    data = B.bin_rows(assemble(rows, ["tenure"]), "CustomerID", bins=255)
+    spec = replace(B.SPECS["xgb_like"], rounds=1, depth=1, row_share=1.0, columns=1.0)
+    n = B.fit_trees(data, [B.Job(spec)])[0].nodes(spark, ["tenure"])
+    root, left, right = (n.filter(F.col("node") == i) for i in range(3))
+    return root.select("threshold", C.half_up(F.col("gain"), 4).alias("gain")).crossJoin(left.select(
+        F.col("rows").cast("bigint").alias("n_left"), C.half_up(F.col("value"), 6).alias("left_value"))).crossJoin(right.select(
+            F.col("rows").cast("bigint").alias("n_right"), C.half_up(F.col("value"), 6).alias("right_value")))
+
+
 @query("m9_lgb_like_booster")
 def m9(spark, d):
     data = churn_data(spark, d)

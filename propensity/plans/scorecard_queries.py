@@ -194,6 +194,23 @@ def c8b(spark, d):
         "is_suspicious", "action_priority")
 
 
+@query("c8_fitted_master")
+def c8_fitted(spark, d):
+    """The three score tables of fitted models, joined to every subscriber."""
+    churn = churn_rows(spark, d)
+    churn_scores = M.score(M.fit("churn_forest", churn.filter(F.col("split") == "train")), churn).select(
+        "subscriber_id", F.col("prob").alias("churn_probability"), risk_segment(F.col("prob")).alias("risk_segment"))
+    value = value_rows(spark, d)
+    value_scores = M.fit("value_boosted", value.filter(F.col("split") == "train")).transform(value).select(
+        "subscriber_id", F.col("prediction").alias("predicted_ltv_usd"), ltv_tier(F.col("prediction")).alias("ltv_tier"))
+    rows = keep(views.subscriber_features(spark, d))
+    outliers = fraud_scores(rows).select("subscriber_id", "outlier_score", "is_suspicious")
+    wide = rows.select("subscriber_id", "plan", "tenure_months", "monthly_fee_usd")
+    for scores in (churn_scores, value_scores, outliers):
+        wide = wide.join(scores, "subscriber_id", "left")
+    return wide.withColumn("action_priority", S.action_priority(F.col("is_suspicious"), F.col("risk_segment"), F.col("ltv_tier")))
+
+
 # ---- batch scoring -------------------------------------------------------------------
 
 @query("c9_batch_churn_scoring")

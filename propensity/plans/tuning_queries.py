@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
@@ -11,6 +12,7 @@ from propensity.operators import ensemble as N
 from propensity.operators import features as X
 from propensity.operators import metrics as E
 from propensity.operators import models as M
+from propensity.operators import outofbag as O
 from propensity.operators import records as L
 from propensity.operators import tuning as T
 from propensity.operators.penalised import penalty_paths
@@ -26,11 +28,16 @@ from propensity.sources import tables, views
 # ---- tuning --------------------------------------------------------------------------
 
 
+# The published grids.
+FOREST_GRID = {"trees": [100, 300, 500], "depths": [4, 6, 8], "min_rows": [5, 10], "shares": [0.7, 0.9]}
+BOOSTER_GRID = {"rounds": [100, 300, 500], "depth": [3, 5, 7], "eta": [0.01, 0.05, 0.1], "gamma": [0.0, 0.1],
+                "columns": [0.6, 0.8], "min_weight": [1.0, 5.0], "row_share": [0.7, 0.9]}
+GBM_GRID = {"rounds": [200, 500], "depth": [3, 5], "eta": [0.01, 0.05], "min_rows": [10, 20]}
+
+
 @query("t1_grid_search")
 def t1(spark, d):
-    data = churn_data(spark, d)
-    grid = T.combinations({"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]})
-    return T.grid_search(data.train, "logistic", grid, 5, "CustomerID", maxIter=100)[1]
+    return T.forest_grid(churn_data(spark, d).train, "CustomerID", **FOREST_GRID, folds=3)
 
 
 @query("t2_train_validation_split")
@@ -42,9 +49,21 @@ def t2(spark, d):
 
 @query("t3_metrics_per_parameters")
 def t3(spark, d):
-    data = churn_data(spark, d)
-    grid = T.combinations({"maxDepth": [3, 5], "minInstancesPerNode": [5, 10]})
-    return T.grid_search(data.train, "forest", grid, 5, "CustomerID")[1]
+    """All sixteen sets of the plain booster, five folds."""
+    fixed = {"second_order": False, "from_mean": True}
+    return T.booster_grid(churn_data(spark, d).train, "CustomerID", [{**c, **fixed} for c in T.combinations(GBM_GRID)], 5)
+
+
+@query("t4_out_of_bag_grid")
+def t4_oob(spark, d):
+    """Eighteen forests judged by the rows that their trees did not see."""
+    data = B.bin_rows(churn_data(spark, d).train, "CustomerID")
+    fitted = [(c, m) for c in (3, 5, 7) for m in (1, 5, 10)]
+    models = B.fit_trees(data, [B.Job(B.Spec(rounds=500, depth=8, min_rows=m, forest=True, columns=c)) for c, m in fitted])
+    names = F.array(*[F.lit(f"featureSubset={c}, minInstancesPerNode={m}") for c, m in fitted])
+    out = O.grid_errors(data, models, [300, 500]).select(F.get(names, "model").alias("params"), "trees", "error", "brier")
+    best = F.row_number().over(Window.partitionBy().orderBy("brier", "params", "trees")) == 1  # a row per set
+    return out.withColumn("is_best", best)
 
 
 @query("t4_holdout_error_grid")
@@ -62,10 +81,8 @@ def t5(spark, d):
 
 @query("t6_random_grid")
 def t6(spark, d):
-    data = churn_data(spark, d)
-    grid = T.random_combinations({"regParam": [0.001, 0.01, 0.1, 1.0], "maxIter": [20, 40],
-                                  "elasticNetParam": [0.0, 0.5, 1.0]}, 4)
-    return T.grid_search(data.train, "logistic", grid, 5, "CustomerID")[1]
+    grid = [{**c, "l2": 1.0} for c in T.random_combinations(BOOSTER_GRID, 20)]
+    return T.booster_grid(churn_data(spark, d).train, "CustomerID", grid, 5)
 
 
 @query("t7_meta_alpha_search")
@@ -113,9 +130,7 @@ def t11(spark, d):
 @query("f12_feature_elimination")
 def f12(spark, d):
     data = churn_data(spark, d)
-    cols = [f"{c}_imp" for c in CHURN_FEATURES.numeric]  # medians of the training rows
-    rows = data.encoder.transform(data.raw.filter(F.col("split") == "train")).select("CustomerID", "label", *cols)
-    return T.eliminate_features(rows, cols, [2, 4], "CustomerID", 5)
+    return T.eliminate_features(data.train, data.names, [5, 10, 15, 20], "CustomerID", 5)
 
 
 # ---- records -------------------------------------------------------------------------

@@ -94,8 +94,8 @@ WEEKLY = """weekly_all AS (
   SELECT o_orderpriority AS series, CAST(date_trunc('week', o_orderdate) AS DATE) AS week,
          count(*) AS y FROM orders GROUP BY 1, 2),
 weekly AS (SELECT * FROM weekly_all
-           WHERE week > (SELECT min(week) FROM weekly_all)
-             AND week < (SELECT max(week) FROM weekly_all))"""
+           WHERE week >= (SELECT CAST(min(o_orderdate) AS DATE) FROM orders)
+             AND week + 6 <= (SELECT CAST(max(o_orderdate) AS DATE) FROM orders))"""
 
 
 def _score(name: str) -> str:

@@ -189,14 +189,14 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per priority and week, without the part weeks at both ends."""
-    week = F.to_date(F.date_trunc("week", F.col("o_orderdate")))
-    weekly = (table(spark, sf_dir, "orders").select("o_orderpriority", week.alias("week"))
+    """Orders per priority and week; a week at either end counts only if the days of the data reach its ends."""
+    week, day = F.to_date(F.date_trunc("week", F.col("o_orderdate"))), F.to_date("o_orderdate")
+    weekly = (table(spark, sf_dir, "orders").select("o_orderpriority", week.alias("week"), day.alias("day"))
               .groupBy(F.col("o_orderpriority").alias("series"), "week")
-              .agg(F.count("*").alias("y")))
-    ends = weekly.agg(F.struct(F.min("week").alias("lo"), F.max("week").alias("hi"))).scalar()
+              .agg(F.count("*").alias("y"), F.min("day").alias("first"), F.max("day").alias("last")))
+    ends = weekly.agg(F.struct(F.min("first").alias("lo"), F.max("last").alias("hi"))).scalar()
     return (weekly.withColumn("ends", ends)
-            .filter((F.col("week") > F.col("ends.lo")) & (F.col("week") < F.col("ends.hi")))
+            .filter((F.col("week") >= F.col("ends.lo")) & (F.date_add("week", 6) <= F.col("ends.hi")))
             .select("series", "week", "y"))
 
 
