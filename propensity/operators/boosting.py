@@ -84,6 +84,14 @@ def uniform(number: np.ndarray, seed: int, tree: int) -> np.ndarray:
     return ((number * a + b) % PRIME) / PRIME
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = (x + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
 def poisson_cuts(rate: float, most: int = 12) -> np.ndarray:
     p = np.exp(-rate) * np.cumprod(np.concatenate([[1.0], rate / np.arange(1, most)]))
     return np.cumsum(p)
@@ -160,23 +168,30 @@ class Tree:
             self.hists[other] = self.hists.pop(parent) - self.hists[small]
             new.append(other)
         self.pairs = []
-        stack = np.stack([self.hists[n] for n in new])
-        for n, found in zip(new, best_splits(stack, self.spec, [self._columns(n, stack.shape[2]) for n in new])):
-            self.best[n] = found
-            if found[0] <= 0:
+        apt = [n for n in new if self._splittable(n)]
+        self.best.update((n, (0.0, -1, 0)) for n in new)
+        if apt:
+            columns = self._columns(apt, got.shape[2])
+            stack = np.stack([self.hists[n] if columns is None else self.hists[n][:, columns[i]] for i, n in enumerate(apt)])
+            for i, (n, (gain, f, b)) in enumerate(zip(apt, best_splits(stack, self.spec))):
+                self.best[n] = (gain, f if columns is None or f < 0 else int(columns[i, f]), b)
+        for n in new:
+            if self.best[n][0] <= 0:
                 self.hists.pop(n)
 
-    def _columns(self, node: int, n: int) -> np.ndarray | None:
-        """Features that the node may split on; None: all."""
+    def _splittable(self, n: int) -> bool:
+        return self.sums[n][2] >= 2 * max(self.spec.min_rows, 1) and (self.spec.depth is None or self.depth[n] < self.spec.depth)
+
+    def _columns(self, nodes: list[int], n: int) -> np.ndarray | None:
+        """nodes x features: what each node may split on, drawn by hashes; None: all."""
         spec = self.spec
         pool = np.arange(n) if spec.allowed is None else np.array(spec.allowed)
-        if spec.forest:
-            k, seed = int(spec.columns) or max(1, int(np.sqrt(len(pool)))), (spec.seed, self.number, node)
-        else:
-            k, seed = max(1, int(spec.columns * len(pool))), (spec.seed, self.number)
+        k = (int(spec.columns) or max(1, int(np.sqrt(len(pool))))) if spec.forest else max(1, int(spec.columns * len(pool)))
         if k >= n:
             return None
-        return np.random.default_rng(seed).permutation(pool)[:k]
+        draw = np.array(nodes if spec.forest else [0] * len(nodes), np.uint64)
+        keys = mixed(mixed(np.uint64(spec.seed << 32 | self.number) + draw)[:, None] + pool.astype(np.uint64))
+        return np.sort(pool[np.argsort(keys, axis=1, kind="stable")[:, :k]], axis=1)
 
     def _may_split(self, n: int) -> bool:
         return self.best[n][0] > 0 and (self.spec.depth is None or self.depth[n] < self.spec.depth)
@@ -212,8 +227,8 @@ class Tree:
                     column.append(v)
                 self.sums.append(s)
             small, other = kids if inside[2] <= self.sums[n][2] - inside[2] else kids[::-1]
-            if self.spec.depth is not None and self.depth[kids[0]] >= self.spec.depth:
-                for k in kids:  # never split: no histogram is needed
+            if not any(map(self._splittable, kids)):
+                for k in kids:  # no histogram is needed
                     self.best[k] = (0.0, -1, 0)
                 self.hists.pop(n)
             else:
@@ -246,7 +261,7 @@ def shrunk(g: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0) if l1 else g
 
 
-def best_splits(hists: np.ndarray, spec: Spec, columns: list[np.ndarray | None]) -> list[tuple[float, int, int]]:
+def best_splits(hists: np.ndarray, spec: Spec) -> list[tuple[float, int, int]]:
     """(gain, feature, bin) per node; rows up to the bin go left; the first best by feature and bin."""
     left = np.cumsum(hists, axis=3)[..., :-1]
     total = hists.sum(axis=3)[..., None]
@@ -260,13 +275,7 @@ def best_splits(hists: np.ndarray, spec: Spec, columns: list[np.ndarray | None])
     gain = (worth(left) + worth(right) - worth(total)) / 2 - spec.gamma
     ok = (left[:, 2] >= max(spec.min_rows, 1)) & (right[:, 2] >= max(spec.min_rows, 1))
     ok &= (left[:, 1] >= spec.min_weight * UNIT) & (right[:, 1] >= spec.min_weight * UNIT)
-    gain = np.where(ok, gain, -np.inf)
-    for k, c in enumerate(columns):
-        if c is not None:
-            out = np.ones(gain.shape[1], bool)
-            out[c] = False
-            gain[k, out] = -np.inf
-    flat = gain.reshape(len(gain), -1)
+    flat = np.where(ok, gain, -np.inf).reshape(len(gain), -1)
     at = flat.argmax(axis=1)
     best = flat[np.arange(len(flat)), at]
     return [(float(v), int(i // gain.shape[2]), int(i % gain.shape[2])) if v > 1e-9 else (0.0, -1, 0) for v, i in zip(best, at)]
