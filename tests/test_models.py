@@ -14,6 +14,7 @@ from propensity.operators import records as L
 from propensity.operators import trees as R
 from propensity.operators import tuning as T
 from propensity.operators.features import FeatureSet, assemble, feature_names
+from propensity.operators.sampling import stratified_folds
 from propensity.session import keep
 
 NAMES = ["noise", "signal", "weak"]
@@ -182,8 +183,23 @@ def test_grid_search_tables(data):
 def test_stepwise_and_elimination(data):
     out = T.stepwise_features_per_split(data, data, 3, numTrees=5, maxDepth=3)
     assert out.filter("is_best").count() == 1
-    rfe = T.eliminate_features(data.drop("features"), NAMES, [1], "id", 3, numTrees=5, maxDepth=3)
-    assert {r.size: r.features for r in rfe.collect()}[1] == "signal"
+    rfe = T.eliminate_features(data, NAMES, [2, 1], "id", 3, B.Spec(rounds=9, depth=3, forest=True, columns=3))
+    rows = {r.size: r for r in rfe.collect()}
+    assert set(rows) == {3, 2, 1} and rows[1].features == "signal" and sum(r.is_best for r in rows.values()) == 1
+
+
+def test_shared_grids(data):
+    """A grid's figure is the mean over the folds of the area of models fitted one by one."""
+    table = T.booster_grid(data, "id", [{"rounds": 3, "depth": 2}, {"rounds": 1, "depth": 2}, {"rounds": 3, "depth": 1}], 3)
+    got = {r.params: r.metric for r in table.collect()}
+    rows = keep(stratified_folds(data, "id", "label", 3))
+    each = []
+    for f in range(3):
+        model = B.fit_trees(B.bin_rows(rows.filter(F.col("fold") != f), "id"), [B.Job(B.Spec(rounds=3, depth=2))])[0]
+        each.append(E.auc_roc(model.score(rows.filter(F.col("fold") == f)), "label", "prob").first().auc)
+    assert got["rounds=3, depth=2"] == pytest.approx(sum(each) / 3, abs=0.02)  # quantile cuts differ a little
+    forest = T.forest_grid(data, "id", [2, 5], [1, 3], [3], [0.8], 3).collect()
+    assert len(forest) == 4 and forest[0].is_best and forest[0].metric >= forest[-1].metric > 0.5
 
 
 def test_bundle_round_trip(spark, data):
