@@ -170,7 +170,7 @@ s AS (SELECT v, lg::DOUBLE AS lg, lh::DOUBLE AS lh, ln, g - lg::DOUBLE AS rg, h
  (lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) - g * g / (h + 1)) / 2.0::DOUBLE - 0.1 AS gain FROM c, t
  WHERE lh >= 5 AND h - lh >= 5)""") + f"""
 SELECT v AS threshold, {rnd('gain', 4)} AS gain, ln AS n_left, rn AS n_right, {rnd('-lg / (lh + 1) * 0.05', 6)} AS left_value,
-{rnd('-rg / (rh + 1) * 0.05', 6)} AS right_value FROM s ORDER BY gain DESC, v LIMIT 1""")
+{rnd('-rg / (rh + 1) * 0.05', 6)} AS right_value FROM s WHERE s.gain > 1e-9 ORDER BY s.gain DESC, v LIMIT 1""")
 def m8_first(spark, d):
     """The first split of the booster on one column, and its leaves."""
     rows = views.churn(spark, d).select("CustomerID", F.col("Churn").alias("label"), F.col("tenure").cast("double").alias("tenure"))
