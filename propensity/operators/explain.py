@@ -9,7 +9,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from propensity.functions import columns as C
 from propensity.operators.models import score
 from propensity.operators.ordered import hash_ranks
 from propensity.session import keep
