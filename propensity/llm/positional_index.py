@@ -1,28 +1,34 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters. A window is `width`
-consecutive words of a benchmark item (an item with fewer words is one window). The steps:
-
-1. term statistics: how often each benchmark word occurs in all documents (partial counts in
-   the tasks, one sum per word);
-2. postings: for the rarest words of each window, a table (term, doc, positions) written once;
-3. intersection: a posting at position p of a word at offset o of a window votes for a start
-   p - o; a start that gets all votes of the window is a candidate;
-4. phrases: candidates are compared word by word with the document, byte for byte.
+consecutive words of a benchmark item (an item with fewer words is one window); equal windows are
+one, with all their items. The steps:
+
+1. postings: documents are dealt to segments of bounded size where they lie; a segment stores, for each
+   benchmark word, the sorted places where its documents have it, next to the documents themselves.
+   The segments are written once, and nothing is shuffled;
+2. term statistics: list lengths summed over all segments. A window with a word that no document has
+   cannot occur and is dropped;
+3. intersection: in each segment the lists of a window's rarest words, moved by their offsets, are
+   intersected, rarest first;
+4. phrases: what is left is compared word by word with the document, byte for byte.
 
 Proximity matches are documents where the rarest words of a window vote for starts at most
 `slop` apart, that is, occur near each other though not as the phrase.
 
-The benchmark is the stated query set: it is taken in blocks of bounded words, each block
-against all documents, so what a task or the driver holds does not grow with either table.
-A null text has no words; documents without words give zero counts; items without words or
-without an id match nothing. Equal items each count. Every row of `docs` gives one row; rows with
-the same id are each compared with the candidates of all of them, rows without id get no hits.
+The benchmark is the stated query set: it is taken in blocks of bounded words, one block after the other
+against all documents. Driver and tasks hold one block; a task holds one segment (about SEGMENT_BYTES of text, or
+one longer document) and at most about CANDIDATES starts at a time.
+
+A null text has no words; documents without words give zero counts; items without words match nothing.
+Equal items each count; an item without id is matched like others but has no name to report. Every row of `docs`
+gives one row, judged by its own text, whether its id is null or repeated. Other columns, whatever their
+names, travel inside the segment.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,83 +36,91 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.arrow_text import Words, blocks, merge_spans
-from propensity.session import keep
+from propensity.llm.arrow_text import Words, blocks, merge_spans, runs
+from propensity.session import new_path
 
 WIDTH = 10
 ANCHORS = 3  # words of a window whose postings are intersected
-BLOCK_WORDS = 1_000_000  # benchmark words of a block: bounds the driver, closures and broadcasts
+BLOCK_WORDS = 1_000_000  # benchmark words of a block: bounds the driver and the closures
+SEGMENT_BYTES = 1 << 19
+CANDIDATES = 1 << 20
 SLOP = 5
+ROW_GROUP = 16 << 20  # of the written segments, so that a reader holds few of them
 
+_FOUND = pa.list_(pa.struct([("doc", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("items", pa.list_(pa.string()))]))
+_FOUND_SQL = "array<struct<doc:int,start:int,end:int,items:array<string>>>"
+_INDEX_SQL = f"docs binary, found {_FOUND_SQL}, n_words array<int>, terms array<int>, sizes array<int>, places array<int>"
 
-@dataclass
-class Windows:
-    """The windows of a block of benchmark items, as word hashes and exact words."""
-
-    item: np.ndarray  # item number of each window
-    hashes: list[np.ndarray]
-    phrase: list[bytes]  # the words, each followed by a zero byte
-    item_ids: list
-
-    @property
-    def vocabulary(self) -> np.ndarray:
-        return np.unique(np.concatenate(self.hashes)) if self.hashes else np.zeros(0, np.uint64)
-
-    def anchors(self, frequency: dict[int, int], count: int) -> list[tuple[int, int, int, int]]:
-        """(window, term, offset, bit) of the rarest distinct words of each window."""
-        out = []
-        for w, h in enumerate(self.hashes):
-            terms, offsets = np.unique(h, return_index=True)
-            order = sorted(range(len(terms)), key=lambda i: (frequency.get(int(terms[i]), 0), offsets[i]))
-            out += [(w, _signed(terms[i]), int(offsets[i]), 1 << n) for n, i in enumerate(order[:count])]
-        return out
-
-
-def _signed(h) -> int:
-    return int(np.uint64(h).astype(np.int64))
+Batches = Iterator[pa.RecordBatch]
 
 
-def windows_of(rows: list[tuple], width: int) -> Windows:
+@dataclass
+class Windows:
+    """The different windows of a block of benchmark items."""
+
+    words: Words  # of all items
+    first: np.ndarray  # first word of each window
+    size: np.ndarray
+    owners: list[list[str]]  # ids of the items with the window
+    vocabulary: np.ndarray  # sorted word hashes
+    terms: np.ndarray  # the vocabulary number of each word
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def anchors(self, frequency: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(windows, terms, offsets) of the windows whose words all occur: the rarest different words of each,
+        rarest first; -1 where a window has fewer."""
+        windows, terms, offsets = [], [], []
+        for w, (a, n) in enumerate(zip(self.first.tolist(), self.size.tolist())):
+            here, at = np.unique(self.terms[a:a + n], return_index=True)
+            often = frequency[here]
+            if not often.all():
+                continue
+            order = np.lexsort((at, often))[:count]
+            fill = [-1] * (count - len(order))
+            windows.append(w)
+            terms.append([*here[order].tolist(), *fill])
+            offsets.append([*at[order].tolist(), *fill])
+        shape = (len(windows), count)
+        return np.array(windows, np.int64), np.array(terms, np.int64).reshape(shape), np.array(offsets, np.int64).reshape(shape)
+
+
+def windows_of(rows: list[tuple], width: int = WIDTH) -> Windows:
     """Windows of (item_id, text) rows."""
     words = Words(pa.array([t for _, t in rows], pa.string()))
-    item, hashes, phrase = [], [], []
-    for i in range(len(rows)):
-        a, b = words.bounds[i], words.bounds[i + 1]
-        if a == b:
-            continue
-        for s in range(a, max(a, b - width) + 1):
+    numbers: dict[bytes, int] = {}
+    exact = np.array([numbers.setdefault(words.word(k), len(numbers)) for k in range(len(words.hashes))], np.int32)
+    seen: dict[bytes, int] = {}
+    first, size, owners = [], [], []
+    for i, (name, _) in enumerate(rows):
+        a, b = int(words.bounds[i]), int(words.bounds[i + 1])
+        for s in range(a, max(a + 1, b - width + 1) if b > a else a):
             e = min(s + width, b)
-            item.append(i)
-            hashes.append(words.hashes[s:e])
-            phrase.append(b"".join(words.word(k) + b"\0" for k in range(s, e)))
-    return Windows(np.array(item, np.int64), hashes, phrase, [r[0] for r in rows])
+            w = seen.setdefault(exact[s:e].tobytes(), len(first))
+            if w == len(first):
+                first.append(s)
+                size.append(e - s)
+                owners.append([])
+            if name is not None and str(name) not in owners[w][-1:]:
+                owners[w].append(str(name))
+    vocabulary = np.unique(words.hashes)
+    return Windows(words, np.array(first, np.int64), np.array(size, np.int64), owners, vocabulary,
+                   np.searchsorted(vocabulary, words.hashes))
 
 
 def item_blocks(items: DataFrame, key: str, text: str, block_words: int) -> Iterator[list[tuple]]:
     """Rows of the benchmark, in blocks of about `block_words` words, one block at a time."""
-    items = items.select(key, text).filter(F.col(key).isNotNull())
-    size = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    items = items.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(size // (3 * block_words)) + 1
     for b in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)) == b)
+        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b)
         rows = [tuple(r) for r in part.collect()]
         if rows:
             yield rows
 
 
-def term_counts(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") -> dict[int, int]:
-    """Occurrences in all documents of each word hash of the (sorted, bounded) vocabulary."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(vocabulary), np.int64)
-        for part in blocks(batches, text):
-            total += np.bincount(_known(Words(part.column(0)).hashes, vocabulary)[0], minlength=len(vocabulary))
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], ["term", "n"])
-
-    counts = docs.select(text).mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    return {int(vocabulary[r.term]): r.n for r in counts.collect()}
-
-
 def _known(hashes: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number in the vocabulary, position) of the words that are in it."""
     if not len(vocabulary):
@@ -119,89 +133,204 @@ def _known(hashes: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.n
     return number[same], at[same]
 
 
-def postings(docs: DataFrame, terms: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The positional index for some terms: (term, doc, positions array<int>)."""
-    terms = np.sort(terms)
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, text):
-            words = Words(part.column(1))
-            number, at = _known(words.hashes, terms)
-            doc = words.text_of(at)
-            place = (at - words.bounds[doc]).astype(np.int32)
-            order = np.lexsort((place, number, doc))
-            number, doc, place = number[order], doc[order], place[order]
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(number) != 0) | (np.diff(doc) != 0)])) if len(doc) else np.zeros(0, int)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)), pa.int32()), pa.array(place))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms[number[first]].astype(np.int64)), part.column(0).take(pa.array(doc[first])), lists],
-                ["term", "doc", "positions"])
-
-    return docs.select(key, text).mapInArrow(
-        index, f"term bigint, doc {dict(docs.dtypes)[key]}, positions array<int>")
+# ---- segments
+
+def _packed(text: str) -> Callable[[Batches], Batches]:
+    """Documents to segments: a slice of rows, all columns, as one value."""
+    def run(batches: Batches) -> Batches:
+        for part in blocks(batches, text, limit=SEGMENT_BYTES):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(part)
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([[]], _FOUND)],
+                                             ["docs", "found"])
+
+    return run
+
+
+def _documents(data: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data.as_buffer()).read_next_batch()
+
+
+def _indexed(vocabulary: np.ndarray, text: str, gap: int) -> Callable[[Batches], Batches]:
+    """Adds the postings of a block's vocabulary to segments. Places count through the documents of the
+    segment, with `gap` places between two documents, so that no window reaches from one into the next."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                docs = _documents(batch.column(0)[i])
+                words = Words(docs.column(docs.schema.get_field_index(text)))
+                number, at = _known(words.hashes, vocabulary)
+                order = np.argsort(number, kind="stable")
+                number, at = number[order], at[order]
+                edge = runs(number)
+                terms, sizes = (number[edge[:-1]], np.diff(edge)) if len(number) else (number, number)
+                places = at + gap * words.text_of(at)
+                lists = [np.diff(words.bounds), terms, sizes, places]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1).cast(_FOUND)]
+                    + [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x.astype(np.int32))) for x in lists],
+                    ["docs", "found", "n_words", "terms", "sizes", "places"])
+
+    return run
+
+
+def term_counts(index: DataFrame, size: int) -> np.ndarray:
+    """Occurrences in all documents of each term: the lengths of its lists, `size` terms at most."""
+    rows = (index.select(F.explode(F.arrays_zip("terms", "sizes")).alias("x"))
+            .groupBy("x.terms").agg(F.sum("x.sizes").alias("n")).collect())
+    out = np.zeros(size, np.int64)
+    for term, n in rows:
+        out[term] = n
+    return out
+
+
+class Postings:
+    """The lists of one segment, by term."""
+
+    def __init__(self, n_words: np.ndarray, terms: np.ndarray, sizes: np.ndarray, places: np.ndarray, size: int, gap: int):
+        edge = np.concatenate([[0], np.cumsum(sizes)])
+        self.low, self.count = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)  # the last one for "no term"
+        self.low[terms], self.count[terms] = edge[:-1], sizes
+        self.places = places.astype(np.int64)
+        self.keys = np.repeat(terms.astype(np.int64), sizes) << 32 | self.places
+        self.n_words = n_words.astype(np.int64)
+        self.base = np.cumsum(self.n_words) - self.n_words + gap * np.arange(len(n_words))
+
+    def starts(self, terms: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the entry, start) for every place of each entry's term."""
+        n = self.count[terms]
+        entry = np.repeat(np.arange(len(terms)), n)
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return entry, self.places[self.low[terms][entry] + step] - offsets[entry]
+
+    def between(self, terms: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether the list of each term has a place from `low` to `high`."""
+        if not len(self.keys):
+            return np.zeros(len(terms), bool)
+        key = terms << 32 | np.maximum(low, 0)
+        at = np.searchsorted(self.keys, key)
+        found = self.keys[np.minimum(at, len(self.keys) - 1)]
+        return (at < len(self.keys)) & (found <= (terms << 32 | np.maximum(high, 0))) & (high >= 0)
+
+    def document(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document, word) at each place; the word may lie outside the document."""
+        doc = np.maximum(np.searchsorted(self.base, places, "right") - 1, 0)
+        return doc, places - self.base[doc]
+
+    def _slices(self, terms: np.ndarray) -> Iterator[np.ndarray]:
+        """Numbers of windows with postings of all their anchors, about CANDIDATES starts at a time."""
+        live = np.flatnonzero(((terms < 0) | (self.count[terms] > 0)).all(axis=1))
+        part = np.cumsum(self.count[terms[live, 0]]) // CANDIDATES
+        edge = runs(part)
+        for a, b in zip(edge[:-1], edge[1:]):
+            yield live[a:b]
+
+    def phrases(self, terms: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, start) where the lists of all anchors meet."""
+        for live in self._slices(terms):
+            entry, start = self.starts(terms[live, 0], offsets[live, 0])
+            win = live[entry]
+            for a in range(1, terms.shape[1]):
+                t, at = terms[win, a], start + offsets[win, a]
+                ok = (t < 0) | self.between(np.maximum(t, 0), at, at)
+                win, start = win[ok], start[ok]
+            yield win, start
+
+    def near(self, terms: np.ndarray, offsets: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, place) where all anchors vote for starts from that of one of them to `slop` further."""
+        for live in self._slices(terms):
+            for a in range(terms.shape[1]):
+                mine = live[terms[live, a] >= 0]
+                entry, start = self.starts(terms[mine, a], offsets[mine, a])
+                place, win = start + offsets[mine, a][entry], mine[entry]
+                for b in range(terms.shape[1]):
+                    t, at = terms[win, b], start + offsets[win, b]
+                    ok = (t < 0) | self.between(np.maximum(t, 0), at, at + slop)
+                    win, start, place = win[ok], start[ok], place[ok]
+                yield win, place
+
+
+def _segments(batches: Batches, size: int, gap: int) -> Iterator[tuple[pa.RecordBatch, int, Postings]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lists = [batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in range(2, 6)]
+            yield batch, i, Postings(*lists, size, gap)
+
+
+def _exact(block: Windows, words: Words, text: np.ndarray, start: np.ndarray, win: np.ndarray) -> np.ndarray:
+    """Whether window `win` stands at word `start` of the text: hashes first, then all bytes."""
+    at, first, size = words.bounds[text] + start, block.first[win], block.size[win]
+    ok = np.ones(len(win), bool)
+    for j in range(int(size.max(initial=0))):
+        here = np.flatnonzero(ok & (size > j))
+        ok[here] = words.hashes[at[here] + j] == block.words.hashes[first[here] + j]
+    for k in np.flatnonzero(ok).tolist():
+        a, f = int(at[k]), int(first[k])
+        ok[k] = all(words.word(a + j) == block.words.word(f + j) for j in range(int(size[k])))
+    return ok
+
+
+def _matched(block: Windows, anchors: tuple, text: str, gap: int) -> Callable[[Batches], Batches]:
+    """Adds the windows found to segments; gives (docs, found, n_words)."""
+    windows, terms, offsets = anchors
+
+    def found_in(batch: pa.RecordBatch, i: int, index: Postings) -> list[dict]:
+        docs, out = None, []
+        for entry, place in index.phrases(terms, offsets):
+            win = windows[entry]
+            doc, start = index.document(place)
+            inside = (start >= 0) & (start + block.size[win] <= index.n_words[doc])
+            win, doc, start = win[inside], doc[inside], start[inside]
+            if not len(win):
+                continue
+            if docs is None:
+                docs = _documents(batch.column(0)[i])
+            chosen, number = np.unique(doc, return_inverse=True)
+            words = Words(docs.column(docs.schema.get_field_index(text)).take(pa.array(chosen)))
+            ok = _exact(block, words, number, start, win)
+            out += [{"doc": d, "start": s, "end": s + n, "items": block.owners[w]} for d, s, n, w in zip(
+                doc[ok].tolist(), start[ok].tolist(), block.size[win[ok]].tolist(), win[ok].tolist())]
+        return out
 
+    def run(batches: Batches) -> Batches:
+        for batch, i, index in _segments(batches, len(block.vocabulary), gap):
+            found = batch.column(1)[i].as_py() + found_in(batch, i, index)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([found], _FOUND), batch.column(2).slice(i, 1)],
+                                             ["docs", "found", "n_words"])
 
-def votes(index: DataFrame, anchors: list[tuple[int, int, int, int]]) -> DataFrame:
-    """(doc, win, bit, need, start): where each posting puts the start of a window.
+    return run
 
-    `bit` marks the anchor, `need` has the bits of all anchors of the window. The anchors are at
-    most ANCHORS per word of one bounded block, hence the broadcast.
-    """
-    need: dict[int, int] = {}
-    for w, _, _, bit in anchors:
-        need[w] = need.get(w, 0) | bit
-    rows = index.sparkSession.createDataFrame(
-        [(w, t, o, bit, need[w]) for w, t, o, bit in anchors], "win int, term bigint, at int, bit int, need int")
-    return (index.join(F.broadcast(rows), "term")
-            .select("doc", "win", "bit", "need", "at", F.explode("positions").alias("place"))
-            .select("doc", "win", "bit", "need", (F.col("place") - F.col("at")).alias("start")))
 
+def _written(df: DataFrame) -> DataFrame:
+    path = new_path(df.sparkSession, "postings")
+    df.write.option("parquet.block.size", str(ROW_GROUP)).option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def phrase_candidates(voted: DataFrame) -> DataFrame:
-    """(doc, win, start) with a vote of every anchor."""
-    return (voted.filter("start >= 0").groupBy("doc", "win", "start")
-            .agg(F.bit_or("bit").alias("got"), F.first("need").alias("need"))
-            .filter("got = need").select("doc", "win", "start"))
 
+def postings(rows: DataFrame, vocabulary: np.ndarray, text: str = "text", gap: int = WIDTH, packed: bool = False) -> DataFrame:
+    """The written positional index: a segment of documents a row, with (terms, sizes, places)."""
+    pack, index = _packed(text), _indexed(vocabulary, text, gap)
+    run = index if packed else lambda batches: index(pack(batches))
+    return _written(rows.mapInArrow(run, _INDEX_SQL))
 
-def proximity_matches(voted: DataFrame, slop: int = SLOP) -> DataFrame:
-    """(doc, win) where all anchors of the window vote within `slop` of each other.
 
-    Starts go to bins of slop + 1, each also to the next bin, so starts that near share a bin.
-    """
-    span = slop + 1
-    bins = F.explode(F.array(F.floor(F.col("start") / span), F.floor(F.col("start") / span) + 1)).alias("bin")
-    near = voted.select("doc", "win", "bit", "need", "start", bins).groupBy("doc", "win", "bin").agg(
-        F.bit_or("bit").alias("got"), F.first("need").alias("need"),
-        F.collect_set(F.struct("start", "bit")).alias("votes"))
-
-    def bits_from(x):
-        close = F.filter("votes", lambda y: (y["start"] >= x["start"]) & (y["start"] <= x["start"] + slop))
-        return F.aggregate(close, F.lit(0), lambda acc, y: acc.bitwiseOR(y["bit"]))
-
-    return (near.filter("got = need").filter(F.exists("votes", lambda x: bits_from(x) == F.col("need")))
-            .select("doc", "win").distinct())
-
-
-def with_candidates(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str, item_text: str, width: int,
-                    anchors: int, block_words: int) -> tuple[DataFrame, list[Windows]]:
-    """`docs` with `__found` array<struct<block, win, start>>, and the windows by block."""
-    found = None
-    dictionary: list[Windows] = []
-    for rows in item_blocks(items, item_key, item_text, block_words):
-        block = windows_of(rows, width)
-        if not block.hashes:
+def _search(docs: DataFrame, items: DataFrame, text: str, item_key: str, item_text: str, width: int, anchors: int,
+            block_words: int, finish: Callable[[Batches], Batches], schema) -> DataFrame:
+    """All blocks of the benchmark against the documents, then `finish` over (docs, found, n_words) segments."""
+    rows, matched = docs, None
+    for part in item_blocks(items, item_key, item_text, block_words):
+        block = windows_of(part, width)
+        if not len(block):
             continue
-        chosen = block.anchors(term_counts(docs, block.vocabulary, text), anchors)
-        terms = np.unique(np.array([a[1] for a in chosen], np.int64)).view(np.uint64)
-        index = keep(postings(docs, terms, key, text))
-        candidates = phrase_candidates(votes(index, chosen)).withColumn("block", F.lit(len(dictionary)))
-        found = candidates if found is None else found.unionByName(candidates)
-        dictionary.append(block)
-    if found is None:
-        return docs.withColumn("__found", F.lit(None).cast("array<struct<block:int,win:int,start:int>>")), dictionary
-    lists = found.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("block", "win", "start")).alias("__found"))
-    return docs.join(lists, docs[key] == lists["__doc"], "left").drop("__doc"), dictionary
+        if matched is not None:
+            rows = _written(rows.mapInArrow(matched, f"docs binary, found {_FOUND_SQL}, n_words array<int>"))
+        rows = postings(rows, block.vocabulary, text, width, matched is not None)
+        matched = _matched(block, block.anchors(term_counts(rows, len(block.vocabulary)), anchors), text, width)
+    if matched is None:
+        pack, index = _packed(text), _indexed(np.zeros(0, np.uint64), text, width)
+        return docs.mapInArrow(lambda batches: finish(b.select(["docs", "found", "n_words"]) for b in index(pack(batches))), schema)
+    return rows.mapInArrow(lambda batches: finish(matched(batches)), schema)
 
 
 def find_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
@@ -211,60 +340,68 @@ def find_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
     Returns key, n_words, hits array<struct<start, end>> in word numbers, items array<string>.
     """
-    joined, dictionary = with_candidates(docs.select(key, text), items, key, text, item_key, item_text, width, anchors, block_words)
-    match = _matcher(dictionary)
-    kind = dict(docs.dtypes)[key]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, text):
-            n_words, hits, names = match(part.column(1), part.column(2))
-            spans = [[{"start": x, "end": y} for x, y in h] for h in hits]
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def finish(batches: Batches) -> Batches:
+        for batch in batches:
+            rows = _documents(batch.column(0)[0])
+            spans: list[list] = [[] for _ in range(rows.num_rows)]
+            names: list[set] = [set() for _ in range(rows.num_rows)]
+            for f in batch.column(1)[0].as_py():
+                spans[f["doc"]].append((f["start"], f["end"]))
+                names[f["doc"]].update(f["items"])
+            hits = []
+            for one in spans:
+                at = np.array(one, np.int64).reshape(-1, 2)
+                a, e = merge_spans(at[:, 0], at[:, 1])
+                hits.append([{"start": x, "end": y} for x, y in zip(a.tolist(), e.tolist())])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n_words), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(names, pa.list_(pa.string()))], [key, "n_words", "hits", "items"])
+                [rows.column(0), batch.column(2)[0].values.cast(pa.int64()), pa.array(hits, span),
+                 pa.array([sorted(n) for n in names], pa.list_(pa.string()))], [key, "n_words", "hits", "items"])
 
-    return joined.select(key, text, "__found").mapInArrow(
-        run, f"`{key}` {kind}, n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>")
+    kind = dict(docs.dtypes)[key]
+    return _search(docs.select(key, text), items, text, item_key, item_text, width, anchors, block_words, finish,
+                   f"`{key}` {kind}, n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
                       item_text: str = "text", width: int = WIDTH, anchors: int = ANCHORS,
                       block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of `docs`, with all their columns, that hold no window of an item."""
-    joined, dictionary = with_candidates(docs, items, key, text, item_key, item_text, width, anchors, block_words)
-    match = _matcher(dictionary)
-    columns = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, text):
-            place = part.schema.get_field_index
-            _, hits, _ = match(part.column(place(text)), part.column(place("__found")))
-            yield part.select(columns).filter(pa.array([not h for h in hits], pa.bool_()))
-
-    return joined.mapInArrow(run, docs.schema)
-
-
-def _matcher(dictionary: list[Windows]):
-    """A function (texts, candidates) -> (words, disjoint spans hit, items found) per text, compared byte by byte."""
-    phrases = [b.phrase for b in dictionary]
-    sizes = [[len(h) for h in b.hashes] for b in dictionary]
-    owner = [[str(b.item_ids[i]) for i in b.item] for b in dictionary]
-
-    def match(texts: pa.Array, candidates: pa.Array):
-        words = Words(texts)
-        hits, items = [], []
-        for d, found in enumerate(candidates.to_pylist()):
-            spans, names = [], set()
-            for f in found or ():
-                b, w, s = f["block"], f["win"], f["start"]
-                a = words.bounds[d] + s
-                e = a + sizes[b][w]
-                if e <= words.bounds[d + 1] and b"".join(words.word(k) + b"\0" for k in range(a, e)) == phrases[b][w]:
-                    spans.append((s, s + sizes[b][w]))
-                    names.add(owner[b][w])
-            at = np.array(spans, np.int64).reshape(-1, 2)
-            hits.append(list(zip(*(x.tolist() for x in merge_spans(at[:, 0], at[:, 1])))))
-            items.append(sorted(names))
-        return np.diff(words.bounds).astype(np.int64), hits, items
-
-    return match
+    def finish(batches: Batches) -> Batches:
+        for batch in batches:
+            rows = _documents(batch.column(0)[0])
+            clean = np.ones(rows.num_rows, bool)
+            clean[[f["doc"] for f in batch.column(1)[0].as_py()]] = False
+            yield rows.filter(pa.array(clean))
+
+    return _search(docs, items, text, item_key, item_text, width, anchors, block_words, finish, docs.schema)
+
+
+def proximity_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+                      item_text: str = "text", width: int = WIDTH, slop: int = SLOP, anchors: int = ANCHORS,
+                      block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(key, item): documents where all anchors of a window of the item vote within `slop` of each other."""
+    gap, kind, out = width + 2 * slop, dict(docs.dtypes)[key], None
+    for part in item_blocks(items, item_key, item_text, block_words):
+        block = windows_of(part, width)
+        if not len(block):
+            continue
+        index = postings(docs.select(key, text), block.vocabulary, text, gap)
+        chosen = block.anchors(term_counts(index, len(block.vocabulary)), anchors)
+
+        def run(batches: Batches, block: Windows = block, chosen: tuple = chosen) -> Batches:
+            windows, terms, offsets = chosen
+            for batch, i, lists in _segments(batches, len(block.vocabulary), gap):
+                names = _documents(batch.column(0)[i]).column(0)
+                pairs = {(d, name) for entry, place in lists.near(terms, offsets, slop)
+                         for d, w in set(zip(lists.document(place)[0].tolist(), windows[entry].tolist())) for name in block.owners[w]}
+                found = sorted(pairs)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array([d for d, _ in found], pa.int64())),
+                                                  pa.array([n for _, n in found], pa.string())], [key, "item"])
+
+        here = index.mapInArrow(run, f"`{key}` {kind}, item string")
+        out = here if out is None else out.unionByName(here)
+    if out is None:
+        return docs.sparkSession.createDataFrame([], f"`{key}` {kind}, item string")
+    return out.distinct()
