@@ -101,7 +101,7 @@ def piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_codes")
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_codes.write_tokens(table(spark, sf_dir, "documents"), WORDS, end_id=2)
-    return token_codes.read_documents(spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_codes.read_documents(spark.read.parquet(path), ids=False)
 
 
 # ---- 9: URLs

@@ -16,12 +16,15 @@ kept, in the order of their token bytes, each with its own start.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,11 +146,22 @@ class Segment:
 
 # ---- encoding with the library
 
+def _words_stand_alone(settings: dict) -> bool:
+    """Whether the settings compose, collapse white space, lower-case, and cut at white space, which they drop."""
+    steps = (settings.get("normalizer") or {}).get("normalizers", [])
+    cuts = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return False
+    pattern = cuts[0]["pattern"].get("Regex")
+    return bool(pattern and cuts[0]["invert"] and cuts[0]["behavior"] == "Removed" and steps[1]["content"] == " "
+                and not cuts[1]["add_prefix_space"] and regex.search(pattern, " \t\n\r\x0b\x0c\x85\u00a0\u2003") is None)
+
+
 class WordEncoder:
     """The tokenizers library, with its results per word kept in a cache of bounded size.
 
-    The vocabulary drops white space and lower-cases, so no token crosses a space or a line end and a
-    text's ids are those of its space-separated parts. A part made of Latin letters and marks after
+    If the vocabulary's own settings drop white space and lower-case, no token crosses a space or a line end and a
+    text's ids are those of its space-separated parts; with other settings whole texts are encoded. A part made of Latin letters and marks after
     them is cut in two, as the vocabulary's own pattern cuts there. Letters-only parts are encoded
     many in one call and told apart by their last token, which ends a word.
     """
@@ -156,6 +170,7 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        self.by_word = _words_stand_alone(json.loads(self.library.to_str()))
         vocabulary = self.library.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
@@ -191,10 +206,10 @@ class WordEncoder:
             return (word.lower(),) if self.plain(word) else (word,)
         return core.lower(), word[len(core):]
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of different words, from the cache or the library."""
         young, old = self.young, self.old
-        fresh = set().union(*split).difference(young)
+        fresh = [w for w in words if w not in young]
         young.update({w: old[w] for w in fresh if w in old})
         cut = {w: self._parts(w) for w in fresh if w not in old}
         parts = {p for ps in cut.values() for p in ps}
@@ -202,14 +217,37 @@ class WordEncoder:
         ready |= self._encode_new([p for p, ids in ready.items() if ids is None])
         young.update(ready)
         young.update({w: b"".join([ready[p] for p in ps]) for w, ps in cut.items()})
-        get = young.__getitem__
-        out = [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
+        out = [young[w] for w in words]
         for w in [w for w in {*cut, *parts} if len(w) > LONGEST]:
             del young[w]
         if len(young) >= CACHE:
             self.old, self.young = young, {}
         return out
 
+    def encode_all(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id, and where each text's ids begin).
+
+        Arrow splits the texts and numbers their different words; ids are gathered by word number.
+        """
+        texts = texts.fill_null("")
+        if self.by_word:
+            spaced = pc.replace_substring(texts, "\n", " ")
+            lists = pc.split_pattern(spaced, " ")
+            coded = lists.flatten().dictionary_encode()
+            words, number = self._word_ids(coded.dictionary.to_pylist()), coded.indices.to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        else:
+            words = [i.tobytes() for i in self._library_ids(texts.to_pylist())]
+            number, ends = np.arange(len(words)), np.arange(1, len(words) + 1)
+        pool = np.frombuffer(b"".join(words) + np.uint32(end_id).tobytes(), "<u4")
+        size = np.array([*(len(w) // 4 for w in words), 1], np.int64)  # the end id is one more word
+        begin = np.cumsum(size) - size
+        number = np.insert(number.astype(np.int64), ends, len(words))
+        length = size[number]
+        stop = np.cumsum(length)
+        ids = pool[np.repeat(begin[number] - (stop - length), length) + np.arange(length.sum())]
+        return ids, np.concatenate([[0], stop[ends + np.arange(len(ends))]]).astype(np.int64)
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -220,6 +258,12 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def _binary(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Slices of an array, between the offsets `at`, as binary values."""
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [
+        None, pa.py_buffer((at * values.itemsize).astype(np.int64)), pa.py_buffer(values.tobytes())]).cast(pa.binary())
+
+
 def write_tokens(docs: DataFrame, model: str, end_id: int, key: str = "doc_id", text: str = "text",
                  files: int | None = None, segment: int = SEGMENT) -> str:
     """Encode all rows and write them in ascending key order; returns the dataset's path."""
@@ -232,15 +276,14 @@ def write_tokens(docs: DataFrame, model: str, end_id: int, key: str = "doc_id",
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
-        for part in blocks(batches, text, limit=1 << 20):
+        for part in blocks(batches, text, limit=1 << 21):
             keys = part.column(0).cast(pa.int64())
             place = keys.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy(zero_copy_only=False)
-            ids = enc.encode_all([t or "" for t in part.column(1).to_pylist()])
-            wide = any(len(i) and i.max() > 0xFFFF for i in ids) or end_id > 0xFFFF
-            data = [np.append(i, end_id).astype("<u4" if wide else "<u2").tobytes() for i in ids]
+            ids, at = enc.encode_all(part.column(1), end_id)
+            wide = len(ids) > 0 and int(ids.max()) > 0xFFFF
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.searchsorted(cuts, place, "left").astype(np.int32)), keys.fill_null(NO_ID),
-                 pa.array([wide] * len(data)), pa.array(data, pa.binary())], ["file", "k", "wide", "ids"])
+                 pa.array([wide] * len(keys)), _binary(ids.astype("<u4" if wide else "<u2"), at)], ["file", "k", "wide", "ids"])
 
     coded = docs.select(key, text).mapInArrow(encode, "file int, k bigint, wide boolean, ids binary")
     ordered = coded.repartition(files, "file").sortWithinPartitions("file", "k", "ids")
@@ -298,21 +341,22 @@ def file_starts(tokens: DataFrame) -> dict[int, int]:
     return starts
 
 
-def read_documents(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per document of the written files: key, start (tokens of all documents before it), ids binary
-    (little-endian unsigned 32-bit), n_tokens and ids_crc32."""
+def read_documents(tokens: DataFrame, key: str = "doc_id", ids: bool = True) -> DataFrame:
+    """Per document of the written files: key, start (tokens of all documents before it), n_tokens, ids_crc32 and,
+    if asked for, ids binary (little-endian unsigned 32-bit)."""
     starts = file_starts(tokens)
+    names = [key, "start", "n_tokens", "ids_crc32"] + ["ids"] * ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, before, image in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 seg = Segment(image.as_buffer())
-                data = [seg.document(d).astype("<u4").tobytes() for d in range(len(seg.keys))]
-                keys = pa.array(seg.keys, mask=seg.keys == NO_ID)
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(starts[file] + before + seg.first[:-1]), pa.array(seg.counts),
-                     pa.array([zlib.crc32(x) for x in data], pa.int64()), pa.array(data, pa.binary())],
-                    [key, "start", "n_tokens", "ids_crc32", "ids"])
+                values = seg.ids.slice(0, len(seg.ids)).astype("<u4")
+                data, at = memoryview(values).cast("B"), (4 * seg.first).tolist()
+                crc = [zlib.crc32(data[a:b]) for a, b in zip(at, at[1:])]
+                columns = [pa.array(seg.keys, mask=seg.keys == NO_ID), pa.array(starts[file] + before + seg.first[:-1]),
+                           pa.array(seg.counts), pa.array(crc, pa.int64())] + [_binary(values, seg.first)] * ids
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return tokens.select("file", "before", "image").mapInArrow(
-        read, f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+        read, f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * ids)

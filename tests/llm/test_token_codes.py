@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -49,3 +50,18 @@ def test_documents(spark, small, files, segment):
     empty = tc.write_tokens(docs.limit(0), MODEL, 2)
     schema = "file int, seg int, before bigint, n_docs int, n_tokens bigint, image binary"
     assert tc.read_documents(spark.read.schema(schema).parquet(empty)).count() == 0
+
+
+def test_other_settings_are_encoded_whole():
+    library = Tokenizer.from_file(MODEL)
+    texts = ["Two  words\n and\ta third", None, "", "it's \u00a0 I\u0301 x"]
+    enc = tc.WordEncoder(MODEL)
+    assert enc.by_word
+    assert not tc._words_stand_alone({"normalizer": None, "pre_tokenizer": {"type": "Whitespace"}})
+    for by_word in (True, False):
+        enc.by_word = by_word
+        ids, at = enc.encode_all(pa.array(texts), 2)
+        got = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    ids, at = enc.encode_all(pa.array([], pa.string()), 2)
+    assert len(ids) == 0 and at.tolist() == [0]
