@@ -9,13 +9,19 @@ smaller their edit distance is. Texts that agree in one of `SKETCHES` sketches a
 A candidate pair is aligned word by word inside the band of diagonals that a similar pair cannot leave.
 Pairs are linked whose edit similarity, 1 - distance / words of the longer text, is `least` or more, and
 whose labelled shingles have a Jaccard similarity of `shingles` or more. op1 and the pipeline ask for 0.8 in
-both; without `shingles` only the edit similarity counts. A pair with shingle similarity J is a candidate with
+both, which is the default; with `shingles=0` only the edit similarity counts. A pair with shingle similarity J is a candidate with
 probability 1 - (1 - J^3)^12: 0.9998 at 0.8. Pairs that edit similarity alone would link have a far smaller J (0.2 at
 an edit similarity of 0.8 by scattered substitutions) and are mostly missed. Texts whose passages changed places have
 a high J but a low edit similarity: they are not linked.
 
-Equal word sequences are one text with a class of copies from the start. Buckets are worked off
-in rounds: the members that are not yet in the class of the bucket's leaders are compared with
+Equal word sequences are one text with a class of copies from the start. Of buckets with more than `SMALL`
+members, most members may share a template and yet not link. So their texts are dealt anew, by an exact prefix filter: with the
+labelled shingles of each text ordered rarest first, two texts with a Jaccard similarity of s share one of the first
+m - ceil(s m) + 1 of their m shingles; and where they share the first one, enough shingles must be left behind it in
+both. Rarity comes from a histogram of a fixed number of slots; any order is exact, a rarer one only makes buckets smaller. No pair that
+reaches the shingle similarity is lost. Without a shingle similarity the buckets stay as they are and are split by further sketches.
+
+Buckets are worked off in rounds: the members that are not yet in the class of the bucket's leaders are compared with
 these, small buckets are compared pair by pair, and what was linked counts as one class. A bucket of
 many copies costs a few comparisons per member; leaders multiply from round to round, so rounds are few. The rounds go
 on until no bucket holds two classes that were not compared.
@@ -27,11 +33,12 @@ as empty. Rows without id are classes of their own and keep no one else from sta
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.llm.arrow_text import Words, blocks, mix
@@ -44,7 +51,8 @@ LENGTH = 3  # k-mers of a sketch
 SKETCHES = 12
 LEADERS = 4  # of a large bucket in the first round; 64 times as many in each further one
 SMALL = 40  # members of a bucket that are compared pair by pair
-REFINE = (2, 4)  # rounds after which the large buckets left are split by a further sketch
+REFINE = (2, 4)  # rounds after which, without a shingle similarity, the large buckets left are split by a further sketch
+SLOTS = 1 << 18  # of the histogram of shingles
 _SALTS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -208,10 +216,10 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float, shingles: float)
 
 
 def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY,
-                sketches: int = SKETCHES, length: int = LENGTH, shingles: float = 0.0) -> DataFrame:
+                sketches: int = SKETCHES, length: int = LENGTH, shingles: float = SIMILARITY) -> DataFrame:
     """Per row of `docs` with an id: key, component_id (smallest id of its class), copy_of (smallest id
     with the same words), kept (it is the smallest). Repeated ids give one row. `shingles` is the
-    shingle similarity that a link needs besides the edit similarity `least`."""
+    shingle similarity that a link needs besides the edit similarity `least`; 0 asks for none."""
     rows = keep(sketched(docs, key, text, sketches, length))
     # copies first: minima combine before the shuffle, so a hot text is no burden. Aggregates are
     # written before they are joined, so that a hot key of the other side can be split
@@ -221,26 +229,29 @@ def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
                  .dropDuplicates(["id"]).select("id", "keys"))
     members = texts.select("id", F.posexplode("keys").alias("number", "value")).select(
         "id", F.xxhash64("number", "value").alias("bucket"))
-    members = _shared(members.distinct())
+    members = _shared(members.distinct().withColumn("m", F.lit(0)).withColumn("rest", F.lit(0)))
     words = keep(word_rows(docs, members.select("id").distinct(), key, text))
+    if shingles > 0:
+        members = _by_prefix(members, words, shingles)
     links = labels = asked = led = None
     turn = 0
     while True:
         now = _with_labels(members, labels)
-        pairs, leaders = _round_pairs(now, led, LEADERS << 6 * min(turn, 4))
+        pairs, leaders = _round_pairs(now, led, LEADERS << 6 * min(turn, 4), shingles)
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         leaders = keep(leaders)
         pairs = keep(pairs)
         if not leaders.limit(1).count() and not pairs.limit(1).count():
             break
-        asked = pairs if asked is None else keep(asked.unionByName(pairs))
-        led = leaders if led is None else keep(led.unionByName(leaders))
+        # each round's part is written once; the history is the union of these files
+        asked = pairs if asked is None else asked.unionByName(pairs)
+        led = leaders if led is None else led.unionByName(leaders)
         new = keep(_verified(pairs, words, least, shingles).select("a", "b"))
-        links = new if links is None else keep(links.unionByName(new))
+        links = new if links is None else links.unionByName(new)
         labels = keep(components(links))
         turn += 1
-        if turn in REFINE:
+        if turn in REFINE and not shingles > 0:
             members = _refined(_with_labels(members, labels), texts)
     if labels is None:
         out = copies.withColumn("component", F.col("copy_of"))
@@ -257,13 +268,63 @@ def _shared(members: DataFrame) -> DataFrame:
     return keep(members.join(sizes, "bucket"))
 
 
+def _histogram(words: DataFrame) -> np.ndarray:
+    """Labelled shingles of all texts, counted by hash in SLOTS slots; at most that many rows come to the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                h = labelled(shingle_hashes(np.frombuffer(x.as_buffer(), np.uint64)))
+                np.add.at(total, (h % np.uint64(SLOTS)).astype(np.int64), 1)
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], ["slot", "n"])
+
+    counts = words.select("words").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SLOTS, np.int64)
+    out[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    return out
+
+
+def prefix(words: np.ndarray, often: np.ndarray, shingles: float) -> tuple[np.ndarray, int]:
+    """(the shingles of the prefix, rarest first; the number of all shingles)."""
+    h = labelled(shingle_hashes(words))
+    m = len(h)
+    order = np.lexsort((h, often[(h % np.uint64(len(often))).astype(np.int64)]))
+    return h[order[:m - math.ceil(shingles * m - 1e-6) + 1]], m
+
+
+def _by_prefix(members: DataFrame, words: DataFrame, shingles: float) -> DataFrame:
+    """Members of small buckets as they are; the texts of large buckets under the shingles of their prefix,
+    with the number `m` of their shingles and of those from that one on, `rest`."""
+    sizes = keep(members.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > SMALL).select("bucket"))
+    hot = keep(members.join(sizes, "bucket", "left_semi").select("id").distinct())
+    texts = keep(words.join(hot, "id", "left_semi"))
+    often = _histogram(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [prefix(np.frombuffer(x.as_buffer(), np.uint64), often, shingles) for x in batch.column(1)]
+            if not found:
+                continue
+            n = np.array([len(f) for f, _ in found])
+            m = np.repeat([m for _, m in found], n)
+            rest = m - (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column(0).to_numpy(), n)), pa.array(np.concatenate([f for f, _ in found]).astype(np.int64)),
+                 pa.array(m.astype(np.int32)), pa.array(rest.astype(np.int32))], ["id", "bucket", "m", "rest"])
+
+    dealt = texts.select("id", "words").mapInArrow(run, "id bigint, bucket bigint, m int, rest int")
+    dealt = _shared(dealt.withColumn("bucket", F.xxhash64(F.lit("prefix"), "bucket")))
+    return keep(members.join(sizes, "bucket", "left_anti").unionByName(dealt))
+
+
 def _with_labels(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """(id, bucket, label, n, main): the class of each member, and of each bucket the size and the
     most frequent class; only buckets that hold more than one class."""
     if labels is None:
         now = members.withColumn("label", F.col("id"))
     else:
-        now = members.join(labels, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("label"))
+        now = members.join(labels, "id", "left").select("id", "bucket", "m", "rest", F.coalesce("component", "id").alias("label"))
     now = keep(now)
     per_class = now.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     mixed = keep(per_class.groupBy("bucket").agg(
@@ -272,23 +333,29 @@ def _with_labels(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return keep(now.join(mixed, "bucket"))
 
 
-def _round_pairs(now: DataFrame, led: DataFrame | None, leaders: int) -> tuple[DataFrame, DataFrame]:
+def _round_pairs(now: DataFrame, led: DataFrame | None, leaders: int, shingles: float) -> tuple[DataFrame, DataFrame]:
     """(pairs a < b to compare, leaders): in small buckets all pairs of different classes; in large ones
     leaders with the members of other classes. Leaders are those members outside the bucket's main
     class with the smallest hash that did not lead there yet. When all of them led, every pair of
-    classes of the bucket was compared."""
+    classes of the bucket was compared. In buckets of the prefix filter a pair also needs as many shingles, from the
+    shared one on, as the shingle similarity asks for; a pair meets under the first shingle it shares."""
+    def enough(m: str, rest: str) -> Column:
+        need = shingles / (1 + shingles) * (F.col("m") + F.col(m))
+        return (F.col("m") == 0) | (F.least("rest", rest) >= need - 1e-6)
+
     small = now.filter(F.col("n") <= SMALL)
-    left = small.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"))
-    right = small.select("bucket", F.col("id").alias("b"), F.col("label").alias("lb"))
-    pairs = left.join(right, "bucket").filter("a < b and la <> lb").select("a", "b")
-    able = now.filter((F.col("n") > SMALL) & (F.col("label") != F.col("main"))).select("bucket", "id", "label")
+    left = small.select("bucket", "m", "rest", F.col("id").alias("a"), F.col("label").alias("la"))
+    right = small.select("bucket", F.col("m").alias("mb"), F.col("rest").alias("rb"), F.col("id").alias("b"), F.col("label").alias("lb"))
+    pairs = left.join(right, "bucket").filter("a < b and la <> lb").filter(enough("mb", "rb")).select("a", "b")
+    able = now.filter((F.col("n") > SMALL) & (F.col("label") != F.col("main"))).select("bucket", "id", "label", "m", "rest")
     if led is not None:
         able = able.join(led, ["bucket", "id"], "left_anti")
     order = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
     chosen = able.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= leaders)
-    heads = keep(chosen.select("bucket", F.col("id").alias("head"), F.col("label").alias("head_label")))
-    large = now.filter(F.col("n") > SMALL).join(heads, "bucket").filter("label <> head_label").select(
-        F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b"))
+    heads = keep(chosen.select("bucket", F.col("id").alias("head"), F.col("label").alias("head_label"), F.col("m").alias("mb"),
+                               F.col("rest").alias("rb")))
+    large = (now.filter(F.col("n") > SMALL).join(heads, "bucket").filter("label <> head_label").filter(enough("mb", "rb"))
+             .select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")))
     return pairs.unionByName(large).distinct(), heads.select("bucket", F.col("head").alias("id"))
 
 
@@ -298,4 +365,5 @@ def _refined(now: DataFrame, texts: DataFrame) -> DataFrame:
     large = now.filter(F.col("n") > SMALL).select("id", "bucket").join(texts, "id")
     split = large.select("id", "bucket", F.posexplode("keys").alias("number", "value")).select(
         "id", F.xxhash64("bucket", "number", "value").alias("bucket"))
-    return _shared(now.filter(F.col("n") <= SMALL).select("id", "bucket").unionByName(split).distinct())
+    rows = now.filter(F.col("n") <= SMALL).select("id", "bucket").unionByName(split).distinct()
+    return _shared(rows.withColumn("m", F.lit(0)).withColumn("rest", F.lit(0)))

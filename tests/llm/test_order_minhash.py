@@ -109,7 +109,7 @@ def test_classes_equal_all_pairs(spark, monkeypatch, small, refine):
     words = {i: [codes.setdefault(x, len(codes)) for x in __import__("re").findall(r"[a-z0-9]+", (t or "").lower())] for i, t in texts.items()}
     rows = [(i, t, "c") for i, t in texts.items()] + [(900, None, "again"), (None, texts[1], "c")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, label string").repartition(4)
-    got = om.find_groups(docs).collect()
+    got = om.find_groups(docs, shingles=0).collect()
     assert {r.doc_id: r.component_id for r in got} == classes(texts, words)
     assert len(got) == len(texts) and all(r.kept == (r.doc_id == r.component_id) for r in got)
 
@@ -198,3 +198,40 @@ def test_recall_just_above_the_threshold(spark):
     a = np.arange(300, dtype=np.uint64)
     swapped = np.concatenate([a[150:], a[:150]])
     assert om.shingle_similarity(a, swapped) > 0.95 and om.linked(a, swapped, 0.8, 0.8) == 0.0  # order counts
+
+
+def test_prefixes_of_similar_texts_meet():
+    rng = random.Random(15)
+    often = np.array([rng.randint(0, 3) for _ in range(64)])
+    met = 0
+    for _ in range(2000):
+        a = [rng.randint(0, 30) for _ in range(rng.randint(1, 60))]
+        b = list(a)
+        for _ in range(rng.randint(0, 2)):
+            k = rng.randrange(len(b))
+            b[k:k + 1] = [rng.randint(0, 30)] * rng.randint(1, 2)
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        if not om.shingle_similarity(x, y, 0.8):
+            continue
+        met += 1
+        (p, m), (q, n) = om.prefix(x, often, 0.8), om.prefix(y, often, 0.8)
+        i = next(i for i, h in enumerate(p.tolist()) if h in q.tolist())  # the first shingle that both have
+        j = q.tolist().index(p[i])
+        assert min(m - i, n - j) >= 0.8 / 1.8 * (m + n) - 1e-6
+    assert met > 300
+
+
+def test_a_template_with_other_words_makes_no_pairs(spark, monkeypatch):
+    """A bucket of a template whose copies are too far apart is left without a pair."""
+    monkeypatch.setattr(om, "SMALL", 5)
+    form = [f"f{i}" for i in range(200)]
+    rows = [(i, " ".join(f"n{i}x{k}" if k % 32 == 0 else w for k, w in enumerate(form))) for i in range(60)]  # shingles 0.73
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    keys = om.sketched(docs, "doc_id", "text", om.SKETCHES, om.LENGTH).select("id", om.F.explode("keys").alias("bucket"))
+    members = om._shared(keys.distinct().withColumn("m", om.F.lit(0)).withColumn("rest", om.F.lit(0)))
+    assert members.groupBy("bucket").count().agg(om.F.max("count")).first()[0] > 20
+    dealt = om._by_prefix(members, om.word_rows(docs, members.select("id").distinct(), "doc_id", "text"), 0.8)
+    large = dealt.filter("m > 0")
+    pairs, _ = om._round_pairs(om._with_labels(large, None), None, 1000, 0.8)
+    assert pairs.count() == 0
+    assert all(r.doc_id == r.component_id for r in om.find_groups(docs).collect())
