@@ -1,6 +1,6 @@
-"""Repeated passages by hash grouping of suffixes, in place of a depth-limited radix sort.
+"""Repeated passages by a depth-limited radix sort of suffixes, with hashes ahead of the byte passes.
 
-Suffixes are grouped only through their first `depth` bytes, in two passes; a group that a pass
+Suffixes are grouped only through their first `depth` bytes, in passes; a group that a pass
 leaves with one document is done. The suffixes at the start of the
 windows are grouped by a sampled digit first: the 24-byte string of smallest hash inside the
 window. Equal windows have the same digit at the same offset, so a digit that one document alone
@@ -8,9 +8,10 @@ holds ends all its windows at once, and about one row stands for fourteen suffix
 
 1. Digit pass: digits are dealt to buckets; those found in two documents stay.
 2. Window pass: the digits that stay take the bytes around them along; in each group the windows
-   are grouped at every offset by a 64-bit hash of all `depth` bytes, not by the bytes themselves. Equal groups are exactly the repeated
-   windows, and every member but those of the smallest document is removed.
-3. The removed windows of a document are united and cut out.
+   are grouped at every offset by a 64-bit hash of all `depth` bytes. A bucket is worked off in slices of digits.
+3. Byte passes: windows that several documents have by their hash are sorted on by their bytes, eight at a time from the
+   first. Equal groups are exactly the repeated windows, and every member but those of the smallest document is removed.
+4. The removed windows of a document are united and cut out.
 
 Rows travel as packed arrays per (task block, bucket), and what a block can decide alone it does
 not send to the digit's bucket: of many documents with one digit or one surrounding only the
@@ -40,6 +41,7 @@ DIGIT = 24
 BUCKETS_PER_PARTITION = 1  # rows between buckets are at most the square of their number
 _HASH_BITS = np.uint64(0xFFFFFFFFFFFFFFFF << 26 & 0xFFFFFFFFFFFFFFFF)
 UNDECIDED, SHARED, DECIDED = 0, 1, 2
+SLICE = 1 << 19  # windows that a bucket works off at a time
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -190,6 +192,8 @@ def shared_digits(rows: DataFrame, buckets: int) -> DataFrame:
 
 def window_rows(texts: DataFrame, digits: DataFrame, buckets: int, depth: int, digit: int) -> DataFrame:
     """(bucket, data): the digits that stay with the bytes of their windows; decided ones as spans."""
+    size_type = np.min_scalar_type(2 * depth)  # of the bytes around a digit
+
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         schema = {"bucket": pa.int32(), "data": pa.binary()}
         none = pa.table({c: pa.array([], t) for c, t in schema.items()})
@@ -235,17 +239,22 @@ def window_rows(texts: DataFrame, digits: DataFrame, buckets: int, depth: int, d
         gi, gt, first, back, length, h, whole, body = [np.concatenate(x) for x in zip(*out_rows)]
         # equal surroundings inside this home: only the smallest document goes on, the others are decided
         many, least = _several(whole, gi)
-        decided = many & ~least
+        order = np.lexsort((~least, whole))
+        edge = runs(whole[order])
+        smallest = np.empty(len(whole), np.int64)
+        smallest[order] = np.repeat(order[edge[:-1]], np.diff(edge))
+        # unequal bytes under one hash are left to the next pass
+        decided = many & ~least & (body == body[smallest]).astype(bool)
         own = ~decided
         bucket = ((h[own] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((h[own], bucket))
         edge = runs(bucket[order])
         index = np.flatnonzero(own)[order]
         for a, b in zip(edge[:-1], edge[1:]):
             r = index[a:b]
             numbers.append(int(bucket[order[a]]))
-            data.append(pack(np.array([UNDECIDED], np.uint8), gi[r], gt[r], first[r].astype(np.uint32), back[r].astype(np.uint8),
-                             length[r].astype(np.uint8), h[r], np.frombuffer(b"".join(body[r]), np.uint8)))
+            data.append(pack(np.array([UNDECIDED], np.uint8), gi[r], gt[r], first[r].astype(np.uint32), back[r].astype(size_type),
+                             length[r].astype(size_type), h[r], np.frombuffer(b"".join(body[r]), np.uint8)))
         if decided.any():
             r = np.flatnonzero(decided)
             home = _spread(gi[r[:1]], gt[r[:1]], buckets)
@@ -256,6 +265,48 @@ def window_rows(texts: DataFrame, digits: DataFrame, buckets: int, depth: int, d
     return texts.groupBy("home").cogroup(digits.groupBy("home")).applyInArrow(run, "bucket int, data binary")
 
 
+def equal_groups(raw: np.ndarray, at: np.ndarray, key: np.ndarray, depth: int) -> np.ndarray:
+    """Group numbers of the windows at `at`: windows with one key are sorted on by their bytes, the most significant
+    digit of up to eight bytes first, so equal numbers mean equal bytes. A pass sorts only groups its digit divides."""
+    group = np.unique(key, return_inverse=True)[1].astype(np.int64)
+    if not len(at):
+        return group
+    wide = 1 << min(3, depth.bit_length() - 1)  # bytes of a digit
+    digits = np.ndarray(len(raw) - wide + 1, f"<u{wide}", np.ascontiguousarray(raw), strides=(1,))
+    for p in range(0, depth, wide):
+        w = digits[at + min(p, depth - wide)].astype(np.uint64)
+        n = int(group.max()) + 1
+        one = np.zeros(n, np.uint64)
+        one[group] = w
+        split = np.zeros(n, bool)
+        split[group[w != one[group]]] = True
+        rows = np.flatnonzero(split[group])
+        if len(rows):
+            order = rows[np.lexsort((w[rows], group[rows]))]
+            new = np.concatenate([[True], (np.diff(group[order]) != 0) | (w[order][1:] != w[order][:-1])])
+            group[order] = n + np.cumsum(new) - 1
+    return group
+
+
+def _slices(items: list[list[np.ndarray]], depth: int) -> Iterator[list[np.ndarray]]:
+    """The entries of a bucket by ranges of their digit, about SLICE windows at a time; the items are sorted by digit,
+    a digit is never divided."""
+    if not items:
+        return
+    h = np.concatenate([x[5] for x in items])
+    order = np.argsort(h)
+    total = np.cumsum(np.concatenate([x[4] for x in items])[order].astype(np.int64) - depth + 1)
+    bounds = np.unique(h[order][np.searchsorted(total, np.arange(SLICE, total[-1], SLICE))])
+    del order, total
+    cuts = [np.concatenate([[0], np.searchsorted(x[5], bounds, "left"), [len(x[5])]]) for x in items]
+    places = [np.concatenate([[0], np.cumsum(x[4], dtype=np.int64)]) for x in items]
+    for k in range(len(bounds) + 1):
+        part = [[c[cut[k]:cut[k + 1]] for c in x[:6]] + [x[6][place[cut[k]]:place[cut[k + 1]]]]
+                for x, cut, place in zip(items, cuts, places) if cut[k] < cut[k + 1]]
+        if part:
+            yield [np.concatenate(c) for c in zip(*part)]
+
+
 def repeated_spans(rows: DataFrame, buckets: int, depth: int) -> DataFrame:
     """(home, data): spans of windows that also start in a smaller document, per home of the row."""
     def run(table: pa.Table) -> pa.Table:
@@ -268,8 +319,7 @@ def repeated_spans(rows: DataFrame, buckets: int, depth: int) -> DataFrame:
                     out.append(a.astype(np.int64))
             else:
                 undecided.append(arrays)
-        if undecided:
-            gi, gt, first, back, length, h, raw = [np.concatenate(x) for x in zip(*undecided)]
+        for gi, gt, first, back, length, h, raw in _slices(undecided, depth):
             length = length.astype(np.int64)
             offset = np.concatenate([[0], np.cumsum(length)])
             sums = prefix_sums(raw)
@@ -277,10 +327,11 @@ def repeated_spans(rows: DataFrame, buckets: int, depth: int) -> DataFrame:
             entry = np.repeat(np.arange(len(n)), n)
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             at = offset[entry] + step
-            # the sort key of a window: the digit, the offset of the window to it, and all its bytes
             key = mix(span_hashes(sums, at, at + depth) + mix(h[entry] + (back[entry].astype(np.int64) - step + 64).astype(np.uint64)))
-            many, least = _several(key, gi[entry])
-            gone = np.flatnonzero(many & ~least)
+            again = np.flatnonzero(_several(key, gi[entry])[0])
+            same = equal_groups(raw, at[again], key[again], depth)
+            many, least = _several(same, gi[entry[again]])
+            gone = again[many & ~least]
             if len(gone):
                 new = np.concatenate([[True], (np.diff(gone) != 1) | (np.diff(entry[gone]) != 0)])
                 a = gone[new]

@@ -71,3 +71,48 @@ def test_places_beyond_the_bits_of_a_key(monkeypatch):
     want = [min(range(s, s + 27), key=lambda i: (h[i] & mask, i)) for s in range(len(data) - 49)]
     _, place, first, last, _ = suffix_sort.sampled(data, np.array([0, len(data)]), 50, 24)
     assert [p for p, a, b in zip(place, first, last) for _ in range(a, b + 1)] == want
+
+
+def test_windows_longer_than_a_byte_counts(spark):
+    rng = random.Random(9)
+    draw = lambda n: "".join(rng.choice("abcdef") for _ in range(n))
+    shared = draw(700)
+    rows = [(d, draw(rng.randint(0, 300)) + shared[rng.randint(0, 200):rng.randint(350, 700)] + draw(50)) for d in range(30)]
+    got = check(spark, rows, 300, 4)
+    assert sum(r.n_removed for r in got) > 500
+
+
+def test_windows_with_one_key_are_told_apart_by_their_bytes():
+    import numpy as np
+
+    from propensity.llm import suffix_sort
+
+    rng = np.random.default_rng(4)
+    for depth in (1, 3, 8, 13, 50):
+        raw = rng.integers(97, 99, 400).astype(np.uint8)
+        at = rng.integers(0, len(raw) - depth + 1, 300)
+        for key in (np.zeros(300, np.uint64), (at % 3).astype(np.uint64)):
+            got = suffix_sort.equal_groups(raw, at, key, depth)
+            texts = [(int(k), raw[a:a + depth].tobytes()) for k, a in zip(key, at)]
+            assert len(set(zip(got.tolist(), texts))) == len(set(got.tolist())) == len(set(texts))
+
+
+def test_slices_hold_every_entry_once_and_divide_no_digit(monkeypatch):
+    import numpy as np
+
+    from propensity.llm import suffix_sort
+
+    monkeypatch.setattr(suffix_sort, "SLICE", 50)
+    rng = np.random.default_rng(5)
+    items = []
+    for i in range(4):
+        n = 40 + i
+        h = np.sort(rng.integers(0, 30, n).astype(np.uint64))
+        length = rng.integers(10, 15, n).astype(np.uint8)
+        ids = np.arange(n) + 100 * i
+        items.append([ids, ids, ids, ids, length, h, np.repeat(ids, length).astype(np.uint16)])
+    parts = list(suffix_sort._slices(items, 10))
+    assert len(parts) > 5 and sorted(np.concatenate([p[0] for p in parts])) == sorted(np.concatenate([x[0] for x in items]))
+    assert sum(len(set(p[5].tolist())) for p in parts) == len(set(np.concatenate([x[5] for x in items]).tolist()))
+    assert all((np.repeat(p[0], p[4]) == p[6]).all() for p in parts)
+    assert list(suffix_sort._slices([], 10)) == []
