@@ -53,6 +53,7 @@ LEADERS = 4  # of a large bucket in the first round; 64 times as many in each fu
 SMALL = 40  # members of a bucket that are compared pair by pair
 REFINE = (2, 4)  # rounds after which, without a shingle similarity, the large buckets left are split by a further sketch
 SLOTS = 1 << 18  # of the histogram of shingles
+OUTLINE = 256  # counts in the outline of a text
 _SALTS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -155,6 +156,13 @@ def shingle_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY)
     return found if found >= least else 0.0
 
 
+def outline(words: np.ndarray) -> bytes | None:
+    """Labelled shingles counted by a part of their hash, a byte each; None where a byte is too small. The smaller
+    counts of two texts add up to at least the shingles they share."""
+    n = np.bincount((labelled(shingle_hashes(words)) >> np.uint64(48)).astype(np.int64) % OUTLINE, minlength=OUTLINE)
+    return n.astype(np.uint8).tobytes() if n.max() < 256 else None
+
+
 def linked(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, shingles: float = 0.0) -> float:
     """Edit similarity if it reaches `least` and the shingles reach `shingles`, else 0.0. Shingles are
     looked at first, as they cost less than the alignment."""
@@ -188,15 +196,33 @@ def sketched(docs: DataFrame, key: str, text: str, sketches: int, length: int) -
 
 
 def word_rows(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, words binary): the word hashes of the wanted ids, one row per id."""
+    """(id, words binary, outline binary): the word hashes of the wanted ids, one row per id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, text):
             words = Words(part.column(1))
-            data = [words.hashes[a:b].tobytes() for a, b in zip(words.bounds[:-1], words.bounds[1:])]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], ["id", "words"])
+            each = [words.hashes[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([w.tobytes() for w in each], pa.binary()),
+                                              pa.array([outline(w) for w in each], pa.binary())], ["id", "words", "outline"])
 
     rows = docs.select(F.col(key).cast("bigint").alias("id"), text).join(wanted, "id", "left_semi")
-    return rows.mapInArrow(run, "id bigint, words binary").groupBy("id").agg(F.min("words").alias("words"))
+    return (rows.mapInArrow(run, "id bigint, words binary, outline binary").groupBy("id")
+            .agg(F.min(F.struct("words", "outline")).alias("w")).select("id", "w.*"))
+
+
+def _possible(pairs: DataFrame, words: DataFrame, shingles: float) -> DataFrame:
+    """The pairs whose outlines leave the shingle similarity possible; none that has it is lost."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = np.array(batch.column(2).is_valid()) & np.array(batch.column(3).is_valid())
+            x, y = (np.frombuffer(b"".join(c.filter(pa.array(known)).to_pylist()), np.uint8).reshape(-1, OUTLINE) for c in batch.columns[2:])
+            need = shingles / (1 + shingles) * (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64))
+            stay = ~known
+            stay[known] = np.minimum(x, y).sum(axis=1, dtype=np.int64) >= need - 1e-6
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(stay)) for c in batch.columns[:2]], ["a", "b"])
+
+    joined = (pairs.join(words.select(F.col("id").alias("a"), F.col("outline").alias("oa")), "a")
+              .join(words.select(F.col("id").alias("b"), F.col("outline").alias("ob")), "b"))
+    return joined.select("a", "b", "oa", "ob").mapInArrow(run, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float, shingles: float) -> DataFrame:
@@ -210,6 +236,8 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float, shingles: float)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(ok), batch.column(1).filter(ok), pa.array(s).filter(ok)], ["a", "b", "similarity"])
 
+    if shingles > 0:
+        pairs = keep(_possible(pairs, words, shingles))
     joined = (pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
               .join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"))
     return joined.select("a", "b", "wa", "wb").mapInArrow(run, "a bigint, b bigint, similarity double")

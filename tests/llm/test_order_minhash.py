@@ -235,3 +235,34 @@ def test_a_template_with_other_words_makes_no_pairs(spark, monkeypatch):
     pairs, _ = om._round_pairs(om._with_labels(large, None), None, 1000, 0.8)
     assert pairs.count() == 0
     assert all(r.doc_id == r.component_id for r in om.find_groups(docs).collect())
+
+
+def test_outlines_bound_the_shared_shingles():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        a = rng.integers(0, 40, rng.integers(0, 300)).astype(np.uint64)
+        b = np.concatenate([a[:rng.integers(0, len(a) + 1)], rng.integers(0, 40, rng.integers(0, 30)).astype(np.uint64)])
+        x, y = (np.frombuffer(om.outline(w), np.uint8).astype(int) for w in (a, b))
+        shared = np.intersect1d(*(om.labelled(om.shingle_hashes(w)) for w in (a, b)))
+        assert x.sum() == max(1, len(a) - om.SHINGLE + 1) and np.minimum(x, y).sum() >= len(shared)
+    assert om.outline(np.arange(200_000, dtype=np.uint64)) is None
+
+
+def test_possible_pairs_lose_none(spark):
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 10**6, 200).astype(np.uint64)
+    texts = []
+    for i in range(40):
+        w = base.copy()
+        at = rng.choice(200, i, replace=False)
+        w[at] = rng.integers(10**6, 10**7, i)
+        texts.append(w)
+    texts.append(np.arange(70_000, dtype=np.uint64) % 7)  # counts over a byte: no outline, always possible
+    words = spark.createDataFrame([(i, bytearray(w.tobytes()), (lambda o: o and bytearray(o))(om.outline(w))) for i, w in enumerate(texts)],
+                                  "id bigint, words binary, outline binary")
+    assert om.outline(texts[-1]) is None
+    every = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))]
+    got = {tuple(r) for r in om._possible(spark.createDataFrame(every, "a bigint, b bigint"), words, 0.8).collect()}
+    true = {(a, b) for a, b in every if om.shingle_similarity(texts[a], texts[b], 0.8)}
+    assert true and true <= got and {(a, 40) for a in range(40)} <= got
+    assert len(got) < len(every) // 2
