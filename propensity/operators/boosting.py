@@ -53,6 +53,7 @@ class Spec:
     from_mean: bool = False  # start at the log-odds of the label instead of 0
     allowed: tuple[int, ...] | None = None  # features that may be split on; None: all
     forest: bool = False
+    bagged: bool = True  # a forest's trees see Poisson bags; otherwise every row once
     seed: int = 42
 
 
@@ -99,7 +100,7 @@ def poisson_cuts(rate: float, most: int = 12) -> np.ndarray:
 
 def bag(number: np.ndarray, spec: Spec, tree: int) -> np.ndarray:
     """How often a tree sees each row."""
-    if not spec.forest and spec.row_share >= 1:
+    if not spec.bagged or not spec.forest and spec.row_share >= 1:
         return np.ones(len(number))
     u = uniform(number, spec.seed, tree // spec.bag_every)
     if spec.forest:

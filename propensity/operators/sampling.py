@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -43,9 +44,31 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int = 42
     return ranked.withColumn(name, ((F.col("rank") - 1) % k).cast("int")).drop("rank", "n_group")
 
 
-def fraction_sample(df: DataFrame, fraction: float, replacement: bool = False,
+def poisson_edges(rate: float) -> list[float]:
+    """Distribution function of the Poisson law at 0, 1, ..., as far as a fraction of 32 bits can tell."""
+    term = total = math.exp(-rate)
+    out, k = [total], 0
+    while k < rate or term > 2.0 ** -34:
+        k += 1
+        term *= rate / k
+        total += term
+        out.append(total)
+    return out
+
+
+def fraction_sample(df: DataFrame, key: str, fraction: float, replacement: bool = False,
                     seed: int = 42) -> DataFrame:
-    return df.sample(replacement, fraction, seed)
+    """A share of the rows, drawn by the key's hash: no shuffle, the same rows after a retry or in another file layout.
+
+    Without replacement a row is in or out; with it a row comes as often as a Poisson law of mean `fraction` says, at
+    most some hundred times the mean. Rows with one key share their draw; a null key is never drawn.
+    """
+    u = C.hash_fraction(key, seed)
+    if not replacement:
+        return df.filter(u < F.lit(fraction))
+    times = F.size(F.filter(F.array(*[F.lit(e) for e in poisson_edges(fraction)]), lambda e: e <= F.col("__u")))
+    drawn = df.withColumn("__u", u).filter("__u is not null").withColumn("__n", times)
+    return drawn.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__n").cast("int")))).drop("__u", "__n", "__copy")
 
 
 def fixed_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

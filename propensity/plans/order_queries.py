@@ -189,11 +189,16 @@ def x4(spark, d):
                                      "custkey", "label", 5)
 
 
-@query("x5_fraction_sample")
+_TIMES = " + ".join(f"CAST(u >= {e!r}::DOUBLE AS INTEGER)" for e in sampling.poisson_edges(2.0))
+
+
+@query("x5_fraction_sample", f"""WITH drawn AS (SELECT o_orderkey, o_totalprice, {u_sql('o_orderkey')} AS u FROM orders)
+SELECT o_orderkey, o_totalprice, FALSE AS replacement FROM drawn WHERE u < 0.3
+UNION ALL SELECT o_orderkey, o_totalprice, TRUE FROM (SELECT *, unnest(range({_TIMES})) AS i FROM drawn)""")
 def x5(spark, d):
     orders = tables.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    once = sampling.fraction_sample(orders, 0.3).withColumn("replacement", F.lit(False))
-    again = sampling.fraction_sample(orders, 2.0, True).withColumn("replacement", F.lit(True))
+    once = sampling.fraction_sample(orders, "o_orderkey", 0.3).withColumn("replacement", F.lit(False))
+    again = sampling.fraction_sample(orders, "o_orderkey", 2.0, True).withColumn("replacement", F.lit(True))
     return once.unionByName(again)
 
 

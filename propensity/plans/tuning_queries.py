@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -13,7 +15,9 @@ from propensity.operators import features as X
 from propensity.operators import metrics as E
 from propensity.operators import models as M
 from propensity.operators import outofbag as O
+from propensity.operators import pruning as P
 from propensity.operators import records as L
+from propensity.operators import sampling
 from propensity.operators import tuning as T
 from propensity.operators.penalised import penalty_paths
 from propensity.plans import view_sql as Q
@@ -127,6 +131,30 @@ def t11(spark, d):
     return T.grid_search(data.train, "tree", grid, 5, "CustomerID")[1]
 
 
+@query("t11_pruning_path")
+def t11b(spark, d):
+    """Complexity, splits, error and cross-validated error of the nested subtrees."""
+    train = sampling.stratified_folds(churn_data(spark, d).train, "CustomerID", "label", 10)
+    return P.pruning_path(B.bin_rows(train, "CustomerID", fold="fold"), 10).table(spark)
+
+
+@query("t11_first_link", Q.with_views(Q.CHURN, """x AS (SELECT CAST(tenure AS DOUBLE) AS v, CAST("Churn" AS INTEGER) AS y FROM churn),
+t AS (SELECT sum(y)::DOUBLE AS g, count(*)::DOUBLE AS n FROM x),
+c AS (SELECT DISTINCT v, sum(y) OVER w AS lg, count(*) OVER w AS ln FROM x WINDOW w AS (ORDER BY v RANGE UNBOUNDED PRECEDING)),
+s AS (SELECT v, lg::DOUBLE AS lg, ln::DOUBLE AS ln, g - lg::DOUBLE AS rg, n - ln::DOUBLE AS rn,
+ (lg * lg / ln + (g - lg) * (g - lg) / nullif(n - ln, 0) - g * g / n) / 2 AS gain FROM c, t WHERE ln >= 10 AND n - ln >= 10),
+b AS (SELECT * FROM s WHERE gain > 1e-9 ORDER BY gain DESC, v LIMIT 1),
+r AS (SELECT least(t.g, t.n - t.g) AS root, coalesce(least(lg, ln - lg) + least(rg, rn - rg), least(t.g, t.n - t.g)) AS leaves FROM t LEFT JOIN b ON TRUE)""")
+       + f" SELECT CASE WHEN root > leaves THEN 1 ELSE 0 END AS links, {rnd('(root - leaves) / root', 6)} AS price FROM r")
+def t11c(spark, d):
+    """The only link of a tree with one split: the price at which it goes; 0 where the split saves nothing."""
+    rows = views.churn(spark, d).select("CustomerID", F.col("Churn").alias("label"), F.col("tenure").cast("double").alias("tenure"))
+    data = B.bin_rows(X.assemble(rows, ["tenure"]), "CustomerID", bins=255)
+    links = P.weakest_links(B.fit_trees(data, [B.Job(replace(P.TREE, depth=1))])[0].trees[0])
+    return spark.createDataFrame([(len(links) - 1, float(links[-1][0]))], "links int, price double").withColumn(
+        "price", C.half_up(F.col("price"), 6))
+
+
 @query("f12_feature_elimination")
 def f12(spark, d):
     data = churn_data(spark, d)
