@@ -120,7 +120,7 @@ class PruningPath:
 
 
 def _errors(data: Binned, variants: list[list[Arrays]]) -> dict[int, tuple[float, float, float]]:
-    """Candidate to (weight of rows, weight of wrong rows, sum of squared weights of wrong rows): each row is judged by
+    """Candidate to (rows, weight of wrong rows, sum of squared weights of wrong rows): each row is judged by
     the trees of its own fold, in one scan."""
     n_features = len(data.edges)
 
@@ -134,7 +134,7 @@ def _errors(data: Binned, variants: list[list[Arrays]]) -> dict[int, tuple[float
                     for k, t in enumerate(trees):
                         guess = t["value"][walk(r.bins[mine], t["feature"], t["bin"], t["left"], t["right"])] >= 0.5
                         bad = r.w[mine] * (guess != (r.y[mine] >= 0.5))
-                        out.append((k, r.w[mine].sum(), bad.sum(), (bad ** 2).sum()))
+                        out.append((k, float(mine.sum()), bad.sum(), (bad ** 2).sum()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["k", "n", "bad", "squares"])
 

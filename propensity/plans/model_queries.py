@@ -11,7 +11,6 @@ from propensity.operators import balance, linear, sampling
 from propensity.operators import boosting as B
 from propensity.operators import forecast as T
 from propensity.operators import models as M
-from propensity.operators import pruning as P
 from propensity.operators.features import assemble
 from propensity.operators.penalised import penalty_paths
 from propensity.operators.subscribers import plan_flags, value_columns
@@ -209,14 +208,6 @@ def m11(spark, d):
     return _scored(M.fit("tree", data.train), data.rows)
 
 
-@query("m11_pruned_tree")
-def m11b(spark, d):
-    """Scores of the tree cut back to the published least complexity."""
-    data = churn_data(spark, d)
-    model = B.fit_trees(B.bin_rows(data.train, "CustomerID"), [B.Job(P.TREE)])[0]
-    return _scored(P.pruned(model, P.LEAST_COMPLEXITY), data.rows)
-
-
 @query("m12_linear_svc")
 def m12(spark, d):
     data = churn_data(spark, d)

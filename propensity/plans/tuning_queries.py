@@ -131,27 +131,46 @@ def t11(spark, d):
     return T.grid_search(data.train, "tree", grid, 5, "CustomerID")[1]
 
 
+def _costed(rows):
+    """Rows weighted by what an error on them costs: a missed leaver counts three times."""
+    return rows.withColumn("cost", F.when(F.col("label") == 1, 3.0).otherwise(1.0))
+
+
+def _path(data):
+    train = sampling.stratified_folds(_costed(data.train), "CustomerID", "label", 10)
+    return P.pruning_path(B.bin_rows(train, "CustomerID", weight="cost", fold="fold"), 10)
+
+
 @query("t11_pruning_path")
 def t11b(spark, d):
     """Complexity, splits, error and cross-validated error of the nested subtrees."""
-    train = sampling.stratified_folds(churn_data(spark, d).train, "CustomerID", "label", 10)
-    return P.pruning_path(B.bin_rows(train, "CustomerID", fold="fold"), 10).table(spark)
+    return _path(churn_data(spark, d)).table(spark)
+
+
+@query("m11_pruned_tree")
+def m11b(spark, d):
+    """Scores of the subtree with the smallest cross-validated error."""
+    data = churn_data(spark, d)
+    path = _path(data)
+    return M.score(path.model(), data.rows).select("CustomerID", "label", "prob").withColumn("complexity", F.lit(path.smallest))
 
 
-@query("t11_first_link", Q.with_views(Q.CHURN, """x AS (SELECT CAST(tenure AS DOUBLE) AS v, CAST("Churn" AS INTEGER) AS y FROM churn),
-t AS (SELECT sum(y)::DOUBLE AS g, count(*)::DOUBLE AS n FROM x),
-c AS (SELECT DISTINCT v, sum(y) OVER w AS lg, count(*) OVER w AS ln FROM x WINDOW w AS (ORDER BY v RANGE UNBOUNDED PRECEDING)),
-s AS (SELECT v, lg::DOUBLE AS lg, ln::DOUBLE AS ln, g - lg::DOUBLE AS rg, n - ln::DOUBLE AS rn,
- (lg * lg / ln + (g - lg) * (g - lg) / nullif(n - ln, 0) - g * g / n) / 2 AS gain FROM c, t WHERE ln >= 10 AND n - ln >= 10),
+@query("t11_first_link", Q.with_views(Q.CHURN, """x AS (SELECT CAST(tenure AS DOUBLE) AS v, CASE WHEN "Churn" = 1 THEN 3 ELSE 0 END AS g,
+ CASE WHEN "Churn" = 1 THEN 3 ELSE 1 END AS h FROM churn),
+t AS (SELECT sum(g)::DOUBLE AS g, sum(h)::DOUBLE AS h, count(*) AS n FROM x),
+c AS (SELECT DISTINCT v, sum(g) OVER w AS g, sum(h) OVER w AS h, count(*) OVER w AS n FROM x WINDOW w AS (ORDER BY v RANGE UNBOUNDED PRECEDING)),
+s AS (SELECT v, c.g::DOUBLE AS lg, c.h::DOUBLE AS lh, t.g - c.g AS rg, t.h - c.h AS rh,
+ (lg * lg / lh + rg * rg / nullif(rh, 0) - t.g * t.g / t.h) / 2 AS gain FROM c, t WHERE c.n >= 10 AND t.n - c.n >= 10),
 b AS (SELECT * FROM s WHERE gain > 1e-9 ORDER BY gain DESC, v LIMIT 1),
-r AS (SELECT least(t.g, t.n - t.g) AS root, coalesce(least(lg, ln - lg) + least(rg, rn - rg), least(t.g, t.n - t.g)) AS leaves FROM t LEFT JOIN b ON TRUE)""")
+r AS (SELECT least(t.g, t.h - t.g) AS root, coalesce(least(lg, lh - lg) + least(rg, rh - rg), least(t.g, t.h - t.g)) AS leaves
+ FROM t LEFT JOIN b ON TRUE)""")
        + f" SELECT CASE WHEN root > leaves THEN 1 ELSE 0 END AS links, {rnd('(root - leaves) / root', 6)} AS price FROM r")
 def t11c(spark, d):
-    """The only link of a tree with one split: the price at which it goes; 0 where the split saves nothing."""
+    """The only link of a tree with one split: the price at which it goes; no link where the split saves nothing."""
     rows = views.churn(spark, d).select("CustomerID", F.col("Churn").alias("label"), F.col("tenure").cast("double").alias("tenure"))
-    data = B.bin_rows(X.assemble(rows, ["tenure"]), "CustomerID", bins=255)
+    data = B.bin_rows(X.assemble(_costed(rows), ["tenure"]), "CustomerID", bins=255, weight="cost")
     links = P.weakest_links(B.fit_trees(data, [B.Job(replace(P.TREE, depth=1))])[0].trees[0])
-    return spark.createDataFrame([(len(links) - 1, float(links[-1][0]))], "links int, price double").withColumn(
+    return spark.createDataFrame([(len(links) - 1, links[-1][0])], "links int, price double").withColumn(
         "price", C.half_up(F.col("price"), 6))
 
 
