@@ -2,7 +2,8 @@
 
 Each outer step needs one pass over the rows: per fit and penalty the weighted second moments of the columns
 and their products with the residual. The penalised step is solved on these moments by coordinate descent, for all fits and
-penalties at once. What reaches the driver is fits x penalties x columns squared, whatever the number of rows.
+penalties at once. Moments are added up by fit on the executors: what reaches the driver is fits x penalties x columns squared a step, whatever
+the number of rows and partitions.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as C
-from propensity.operators.boosting import Binned
+from propensity.operators.boosting import Binned, added, part_size
 
 SCORE_BINS = 1024  # the area under the curve that chooses a penalty counts scores in so many bins
 CHUNK = 2048
@@ -167,7 +168,7 @@ def penalty_paths(data: Binned, held: Sequence[int] = (-2,), folds: int = 5, alp
     """
     problems = [(h, i, a) for h in held for a in alphas for i in range(-1, folds)]
     size = len(data.edges)
-    n_parts = max(1, data.n_rows >> 12)
+    n_parts = max(1, data.n_rows // part_size(data, 1 << 17))
 
     def pack(batches):
         for b in batches:
@@ -191,6 +192,10 @@ def penalty_paths(data: Binned, held: Sequence[int] = (-2,), folds: int = 5, alp
         return np.stack([np.concatenate([[w.sum(), (w * y).sum()], w @ x, w @ (x * x), (w * y) @ x])
                          for w in (_seen(part, *p[:2], folds) for p in problems)])
 
+    def total(of, n: int) -> np.ndarray:
+        pairs = rows.flatMap(lambda part: ((k, of(part, k)) for k in range(n)))
+        return np.stack([v for _, v in sorted(added(pairs, min(n, rows.context.defaultParallelism)).collect(), key=lambda kv: kv[0])])
+
     sums = rows.map(first).treeReduce(np.add)
     n, mean_y = np.maximum(sums[:, 0], 1e-12), sums[:, 1] / np.maximum(sums[:, 0], 1e-12)
     centre = sums[:, 2:2 + size] / n[:, None]
@@ -208,7 +213,7 @@ def penalty_paths(data: Binned, held: Sequence[int] = (-2,), folds: int = 5, alp
     active = list(range(len(problems)))
     for _ in range(steps):
         some, b, c, s = [problems[k] for k in active], beta[active], centre[active], scale[active]
-        got = rows.map(lambda part: _steps(part, some, b, c, s, folds)).treeReduce(np.add) / n[active][:, None, None]
+        got = total(lambda part, k: _steps(part, some[k:k + 1], b[k:k + 1], c[k:k + 1], s[k:k + 1], folds)[0], len(some)) / n[active][:, None, None]
         d = size + 1
         l1, l2 = (penalty * alpha)[active], (penalty * (1 - alpha))[active]
         moments = got[..., :d * d].reshape(*got.shape[:2], d, d)
@@ -219,14 +224,14 @@ def penalty_paths(data: Binned, held: Sequence[int] = (-2,), folds: int = 5, alp
         active = [k for k, m in zip(active, moved) if m > tolerance]
         if not active:
             break
-    counts = rows.map(lambda part: _areas(part, problems, beta, centre, scale, folds)).treeReduce(np.add)
+    counts = total(lambda part, k: _areas(part, problems[k:k + 1], beta[k:k + 1], centre[k:k + 1], scale[k:k + 1], folds)[0], len(problems))
     rows.unpersist()
     out = []
     for k in whole:
         inner = [i for i, p in enumerate(problems) if (p[0], p[2]) == (problems[k][0], problems[k][2]) and p[1] >= 0]
         each, size_of = area(counts[inner]), counts[inner][:, 0].sum(axis=(1, 2))
         share = size_of / max(size_of.sum(), 1)
-        mean = share @ each
+        mean = 0.5 + share @ (each - 0.5)  # exactly one half where no fold has pairs
         error = np.sqrt(share @ (each - mean) ** 2 / max(len(inner) - 1, 1))
         coefficients = beta[k, :, 1:] / scale[k]
         out.append(Path(penalty[k], mean, error, beta[k, :, 0] - coefficients @ centre[k], coefficients))
