@@ -88,3 +88,26 @@ def test_shapley_values_equal_all_subsets(spark, spec):
     np.testing.assert_allclose(got.sum(axis=1) + S.mean_score(model), raw, atol=1e-9)
     rows = {(r.id, r.feature): r.value for r in S.shapley_values(model, df, "id", list("abcd")).collect()}
     assert len(rows) == 480 and rows[3, "b"] == pytest.approx(got[3, 1])
+
+
+def test_shapley_values_without_tables_of_patterns(spark, monkeypatch):
+    df, x, _ = frame(spark, 200)
+    model = B.fit_trees(B.bin_rows(df, "id"), [B.Job(B.Spec(rounds=4, depth=4, eta=0.3, l2=1.0))])[0]
+    bins = model.binned(x)
+    tables = S.leaves(model)
+    assert all(leaf.table is not None for leaf in tables)
+    got = S.shares(model, bins, tables)
+    monkeypatch.setattr(S, "TABLE", 0)
+    assert all(leaf.table is None for leaf in S.leaves(model))
+    np.testing.assert_allclose(S.shares(model, bins), got, atol=1e-12)
+
+
+def test_shapley_tables_are_filled_once_per_task(spark, monkeypatch):
+    """Results per pattern are worked out per leaf, not per batch of rows."""
+    df, x, _ = frame(spark, 200)
+    model = B.fit_trees(B.bin_rows(df, "id"), [B.Job(B.Spec(rounds=4, depth=4, eta=0.3, l2=1.0))])[0]
+    tables, calls = S.leaves(model), []
+    monkeypatch.setattr(S, "path_shares", lambda o, z: calls.append(1))
+    for at in range(0, 200, 20):
+        S.shares(model, model.binned(x)[at:at + 20], tables)
+    assert not calls
