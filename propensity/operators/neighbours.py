@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +21,12 @@ from propensity.session import keep
 
 MAX_PIVOTS = 4096  # pivots go to every task: at most this many vectors
 BLOCK = 256  # rows of a distance block inside a task
+TASK = 1 << 13  # points that a task places, or copies that it compares, about
+CELLS = 1 << 22  # distances that a task holds at a time
 WIDTH = 1024  # columns of it
 SLACK = 1e-9  # relative room for rounding in the bounds
+SCHEMA = pa.schema([("pid", pa.int64()), ("neighbours", pa.list_(pa.struct([
+    ("distance", pa.float64()), ("pid", pa.int64()), ("copies", pa.int64()), ("v", pa.list_(pa.float64()))])))])
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -67,7 +72,9 @@ def nearest(points: DataFrame, k: int, pivots: int | None = None) -> DataFrame:
         return pd.DataFrame({"cell": np.concatenate(cells).astype("int32"),
                              "reach": np.concatenate(reach)})
 
-    placed = keep(points.withColumn("at", locate("v")).select(
+    # points are small and work per point is not: the number of tasks follows the points, not their bytes
+    parts = -(-n // TASK)
+    placed = keep(points.repartition(parts, "pid").withColumn("at", locate("v")).select(
         "pid", "v", "copies", F.col("at.cell").alias("cell"), F.col("at.reach").alias("reach")))
 
     # per cell: its radius, and the k + 1 points closest to the pivot (one may be the point itself)
@@ -101,24 +108,36 @@ def nearest(points: DataFrame, k: int, pivots: int | None = None) -> DataFrame:
             out += [np.flatnonzero(h).astype("int32") for h in hit]
         return pd.Series(out)
 
-    copied = placed.withColumn("target", F.explode(reached("v", "cell"))).select(
+    copied = placed.repartition(parts, "pid").withColumn("target", F.explode(reached("v", "cell"))).select(
         "target", (F.col("target") == F.col("cell")).alias("own"), "pid", "copies", "v")
 
-    def closest(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, ids = np.stack(pdf["v"].to_numpy()), pdf["pid"].to_numpy()
-        own = np.flatnonzero(pdf["own"].to_numpy())
-        many = pdf["copies"].to_numpy()
-        rows = []
-        for i in range(0, len(own), BLOCK):
-            mine = own[i:i + BLOCK]
+    def closest(table: pa.Table) -> pa.Table:
+        ids, many = (table.column(c).to_numpy() for c in ("pid", "copies"))
+        own = np.flatnonzero(table.column("own").to_numpy())
+        if not len(own):
+            return SCHEMA.empty_table()
+        x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        block, most = max(1, min(BLOCK, CELLS // len(x))), min(k, len(x))
+        takes, gaps = [], []
+        for i in range(0, len(own), block):
+            mine = own[i:i + block]
             d = distances(x[mine], x)
             d[np.arange(len(mine)), mine] = np.inf
-            for row, at in zip(d, mine):
-                take = np.lexsort((ids, row))[:k]
-                rows.append((ids[at], [(row[j], ids[j], many[j], x[j].tolist()) for j in take
-                                       if np.isfinite(row[j])]))
-        return pd.DataFrame(rows, columns=["pid", "neighbours"])
-
-    return copied.groupBy("target").applyInPandas(
-        closest, "pid bigint, neighbours array<struct<distance:double,pid:bigint,"
-                 "copies:bigint,v:array<double>>>")
+            d[np.isnan(d)] = np.inf
+            bound = np.partition(d, most - 1, axis=1)[:, most - 1]
+            for row, last in zip(d, bound):
+                near = np.flatnonzero((row <= last) & np.isfinite(row))
+                take = near[np.lexsort((ids[near], row[near]))[:k]]
+                takes.append(take)
+                gaps.append(row[take])
+        flat = np.concatenate(takes)
+        ends = np.cumsum([0] + [len(t) for t in takes]).astype(np.int32)
+        vectors = pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * x.shape[1], pa.array(x[flat].ravel()))
+        found = pa.StructArray.from_arrays([pa.array(np.concatenate(gaps)), pa.array(ids[flat]), pa.array(many[flat]), vectors],
+                                           ["distance", "pid", "copies", "v"])
+        return pa.table([pa.array(ids[own]), pa.ListArray.from_arrays(pa.array(ends), found)], ["pid", "neighbours"])
+
+    # a cell may get copies of many points, so cells are dealt to more tasks than the points are
+    cells = min(len(centre), 4 * parts)
+    return copied.repartition(cells, "target").groupBy("target").applyInArrow(
+        closest, "pid bigint, neighbours array<struct<distance:double,pid:bigint,copies:bigint,v:array<double>>>")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propensity.operators import balance as B
+from propensity.operators import neighbours as N
 from propensity.operators.neighbours import distinct_points, nearest
 
 
@@ -29,6 +30,26 @@ def test_nearest_is_exact(spark, pivots):
     assert {r.pid: r.copies for r in points.collect()}[0] == 101
 
 
+def test_nearest_deals_cells_to_many_tasks(spark, monkeypatch):
+    """Cells are dealt by the number of points: they are few bytes and would meet in one task."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 2)).round(1)  # equal distances
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<double>")
+    points = distinct_points(df, "id", "v")
+    monkeypatch.setattr(N, "TASK", 50)
+    monkeypatch.setattr(N, "CELLS", 1000)
+    found = nearest(points, 4).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in found}) > 5
+    at = {r.pid: r.v for r in points.collect()}
+    ids = np.array(sorted(at))
+    y = np.array([at[i] for i in ids])
+    for r in found:
+        d = np.sqrt(((y - np.array(at[r.pid])) ** 2).sum(axis=1))
+        d[ids == r.pid] = np.inf
+        assert [n.pid for n in r.neighbours] == ids[np.lexsort((ids, d))[:4]].tolist()
+        assert all(n.v == at[n.pid] and n.copies >= 1 for n in r.neighbours)
+
+
 def test_nearest_with_too_few_points(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id bigint, v array<double>")
     got = {r.pid: len(r.neighbours) for r in nearest(distinct_points(df, "id", "v"), 5).collect()}
