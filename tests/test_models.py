@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -239,3 +240,38 @@ def test_recommendations(spark):
     recs = M.recommend(model, 5)
     assert recs.groupBy("user_id").count().filter("count <> 5").count() == 0
     assert {r.rank for r in recs.collect()} == {1, 2, 3, 4, 5}
+
+
+def test_recommendations_are_the_exact_best(spark, monkeypatch):
+    """All user-item products next to the blocks, with several blocks, a user of zeros and equal items."""
+    rng = np.random.default_rng(3)
+    u, v = rng.normal(size=(300, 4)).astype(np.float32), rng.normal(size=(200, 4)).astype(np.float32)
+    u[7], v[20] = 0, v[30]
+    frame = lambda x: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id int, features array<float>").repartition(3)
+
+    class Model:
+        userFactors, itemFactors, rank = frame(u), frame(v), 4
+        getUserCol, getItemCol = staticmethod(lambda: "user_id"), staticmethod(lambda: "item_id")
+
+    monkeypatch.setattr(M, "LONGEST", 16)
+    monkeypatch.setattr(M, "SCORED", 64)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        got = {(r.user_id, r["rank"]): (r.item_id, r.rating) for r in M.recommend(Model, 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 1500
+    s = u @ v.T
+    for i in range(300):
+        order = np.lexsort((-np.arange(200), -s[i]))[:5]
+        np.testing.assert_allclose([got[i, k][1] for k in range(1, 6)], s[i, order], rtol=1e-4, atol=1e-6)
+        for k, item in enumerate(order, 1):
+            assert got[i, k][0] == item or abs(s[i, got[i, k][0]] - s[i, item]) < 1e-4
+
+
+def test_recommendations_score_only_blocks_that_can_reach(spark):
+    """The plan joins blocks under a bound instead of all users with all items."""
+    rows = [(u, i, float(1 + (u + i) % 5)) for u in range(12) for i in range(9) if (u * i) % 4]
+    model = M.fit_recommender(spark.createDataFrame(rows, "user_id int, item_id int, rating float"))
+    plan = M.recommend(model, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "least" in plan and "<= top" in plan and "collect_top_k" not in plan
