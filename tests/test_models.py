@@ -275,3 +275,11 @@ def test_recommendations_score_only_blocks_that_can_reach(spark):
     model = M.fit_recommender(spark.createDataFrame(rows, "user_id int, item_id int, rating float"))
     plan = M.recommend(model, 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "least" in plan and "<= top" in plan and "collect_top_k" not in plan
+
+
+def test_recommendations_are_those_of_the_learner(spark):
+    """To the last digit of the rating."""
+    rows = [(u, i, float(1 + (3 * u + i * i) % 5)) for u in range(40) for i in range(30) if (u * i) % 3]
+    model = M.fit_recommender(spark.createDataFrame(rows, "user_id int, item_id int, rating float"), maxIter=2)
+    want = {(r.user_id, x.item_id, x.rating) for r in model.recommendForAllUsers(5).collect() for x in r.recommendations}
+    assert {(r.user_id, r.item_id, r.rating) for r in M.recommend(model, 5).collect()} == want
