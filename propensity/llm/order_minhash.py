@@ -54,6 +54,7 @@ SMALL = 40  # members of a bucket that are compared pair by pair
 REFINE = (2, 4)  # rounds after which, without a shingle similarity, the large buckets left are split by a further sketch
 SLOTS = 1 << 18  # of the histogram of shingles
 OUTLINE = 256  # counts in the outline of a text
+MARKS = 1 << 25  # slots that tell the rows whose words are compared
 _SALTS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -195,17 +196,39 @@ def sketched(docs: DataFrame, key: str, text: str, sketches: int, length: int) -
         run, "id bigint, same binary, n_words bigint, keys array<bigint>")
 
 
+def _marks(ids: DataFrame) -> np.ndarray:
+    """One bit for each of MARKS slots: whether an id of the column `id` has it. Bits are set where the slots were sent to."""
+    slots = ids.select(_mark(F.col("id")).alias("slot")).select("slot", F.bitmap_bucket_number("slot").alias("part")).repartition("part")
+    found = slots.groupBy("part").agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).toArrow()
+    out = np.zeros((MARKS // 32768, 4096), np.uint8)
+    for part, bits in zip(*found.columns):
+        out[part.as_py() - 1] = np.frombuffer(bits.as_buffer(), np.uint8)
+    return out.ravel()
+
+
+def _mark(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(MARKS)) + 1
+
+
 def word_rows(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, words binary, outline binary): the word hashes of the wanted ids, one row per id."""
+    """(id, words binary, outline binary): the word hashes of the wanted ids, one row per id. Texts are not shuffled: rows whose
+    slot no wanted id has are dropped where they are read, and the few others that are not wanted by the join."""
+    marks = _marks(wanted)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy() - 1
+            yield batch.filter(pa.array((marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, text):
+        for part in blocks(marked(batches), text):
             words = Words(part.column(1))
             each = [words.hashes[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([w.tobytes() for w in each], pa.binary()),
                                               pa.array([outline(w) for w in each], pa.binary())], ["id", "words", "outline"])
 
-    rows = docs.select(F.col(key).cast("bigint").alias("id"), text).join(wanted, "id", "left_semi")
-    return (rows.mapInArrow(run, "id bigint, words binary, outline binary").groupBy("id")
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), text).withColumn("slot", _mark(F.col("id")))
+    return (rows.mapInArrow(run, "id bigint, words binary, outline binary").join(wanted, "id", "left_semi").groupBy("id")
             .agg(F.min(F.struct("words", "outline")).alias("w")).select("id", "w.*"))
 
 

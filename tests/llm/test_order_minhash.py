@@ -266,3 +266,34 @@ def test_possible_pairs_lose_none(spark):
     true = {(a, b) for a, b in every if om.shingle_similarity(texts[a], texts[b], 0.8)}
     assert true and true <= got and {(a, 40) for a in range(40)} <= got
     assert len(got) < len(every) // 2
+
+
+def test_components_read_a_dense_group_twice(spark, monkeypatch):
+    """Links inside one class vanish after the first round, so that later rounds read the few that are left."""
+    from propensity.llm import components as module
+    links = [(i, j) for i in range(40) for j in range(i)] + [(i, i + 1) for i in range(100, 140)] + [(7, 7), (500, 500), (None, 3)]
+    links += [(39, 1000 + i) for i in range(30)] + [(2000, 2001 + i) for i in range(5)] + [(1029, 2005)]
+    written = []
+
+    def counted(df):
+        out = df.localCheckpoint()
+        if out.columns == ["a", "b"]:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "keep", counted)
+    got = {r.id: r.component for r in module.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {**{i: 0 for i in [*range(40), *range(1000, 1030), *range(2000, 2006)]}, **{i: 100 for i in range(100, 141)}, 500: 500}
+    assert got == want and written[0] > 800 and sum(written[1:]) < 60
+
+
+def test_texts_that_are_not_compared_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, f"w{i} some words of text {i % 7}") for i in range(3000)] + [(None, "no id"), (5, None)], "doc_id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in (0, 3, 5, 2999, 40000)], "id long")
+    rows = om.word_rows(docs, wanted, "doc_id", "text")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("MapInArrow")  # the join reads what the tasks on the texts gave
+    got = {r.id: len(r.words) // 8 for r in rows.collect()}
+    assert got == {0: 6, 3: 6, 5: 0, 2999: 6}
+    marks = om._marks(wanted)
+    assert np.unpackbits(marks).sum() == 5
