@@ -18,7 +18,8 @@ Equal word sequences are one text with a class of copies from the start. Of buck
 members, most members may share a template and yet not link. So their texts are dealt anew, by an exact prefix filter: with the
 labelled shingles of each text ordered rarest first, two texts with a Jaccard similarity of s share one of the first
 m - ceil(s m) + 1 of their m shingles; and where they share the first one, enough shingles must be left behind it in
-both. Rarity comes from a histogram of a fixed number of slots; any order is exact, a rarer one only makes buckets smaller. No pair that
+both. Rarity comes from a histogram of a fixed number of slots; any order is exact, a rarer one only makes buckets smaller. Shingles that
+no second prefix has are dropped before they become rows, and a pair is made only if the parities of its shingles allow the similarity. No pair that
 reaches the shingle similarity is lost. Without a shingle similarity the buckets stay as they are and are split by further sketches.
 
 Buckets are worked off in rounds: the members that are not yet in the class of the bucket's leaders are compared with
@@ -54,7 +55,9 @@ SMALL = 40  # members of a bucket that are compared pair by pair
 REFINE = (2, 4)  # rounds after which, without a shingle similarity, the large buckets left are split by a further sketch
 SLOTS = 1 << 18  # of the histogram of shingles
 OUTLINE = 256  # counts in the outline of a text
-MARKS = 1 << 25  # slots that tell the rows whose words are compared
+PARITY = 16  # words of 64 bits in the parities of a text
+MARKS = 1 << 25  # slots that tell the rows whose words are compared, and the shingles that several prefixes have
+PART = 1 << 16  # slots that are counted together
 _SALTS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -164,6 +167,13 @@ def outline(words: np.ndarray) -> bytes | None:
     return n.astype(np.uint8).tobytes() if n.max() < 256 else None
 
 
+def parity(words: np.ndarray) -> np.ndarray:
+    """Whether labelled shingles are odd or even in number, a bit for each part of their hash. Each shingle that only one of
+    two texts has changes one bit, so they have at least as many such shingles as bits that differ."""
+    n = np.bincount((labelled(shingle_hashes(words)) >> np.uint64(40)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY)
+    return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
+
+
 def linked(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, shingles: float = 0.0) -> float:
     """Edit similarity if it reaches `least` and the shingles reach `shingles`, else 0.0. Shingles are
     looked at first, as they cost less than the alignment."""
@@ -211,7 +221,7 @@ def _mark(key: Column) -> Column:
 
 
 def word_rows(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, words binary, outline binary): the word hashes of the wanted ids, one row per id. Texts are not shuffled: rows whose
+    """(id, words binary, outline binary, parity array<bigint>): the word hashes of the wanted ids, one row per id. Texts are not shuffled: rows whose
     slot no wanted id has are dropped where they are read, and the few others that are not wanted by the join."""
     marks = _marks(wanted)
 
@@ -225,11 +235,12 @@ def word_rows(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
             words = Words(part.column(1))
             each = [words.hashes[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([w.tobytes() for w in each], pa.binary()),
-                                              pa.array([outline(w) for w in each], pa.binary())], ["id", "words", "outline"])
+                                              pa.array([outline(w) for w in each], pa.binary()),
+                                              pa.array([parity(w) for w in each], pa.list_(pa.int64()))], ["id", "words", "outline", "parity"])
 
     rows = docs.select(F.col(key).cast("bigint").alias("id"), text).withColumn("slot", _mark(F.col("id")))
-    return (rows.mapInArrow(run, "id bigint, words binary, outline binary").join(wanted, "id", "left_semi").groupBy("id")
-            .agg(F.min(F.struct("words", "outline")).alias("w")).select("id", "w.*"))
+    return (rows.mapInArrow(run, "id bigint, words binary, outline binary, parity array<bigint>").join(wanted, "id", "left_semi").groupBy("id")
+            .agg(F.min(F.struct("words", "outline", "parity")).alias("w")).select("id", "w.*"))
 
 
 def _possible(pairs: DataFrame, words: DataFrame, shingles: float) -> DataFrame:
@@ -288,7 +299,7 @@ def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
     turn = 0
     while True:
         now = _with_labels(members, labels)
-        pairs, leaders = _round_pairs(now, led, LEADERS << 6 * min(turn, 4), shingles)
+        pairs, leaders = _round_pairs(now, led, LEADERS << 6 * min(turn, 4), shingles, words)
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         leaders = keep(leaders)
@@ -344,6 +355,44 @@ def prefix(words: np.ndarray, often: np.ndarray, shingles: float) -> tuple[np.nd
     return h[order[:m - math.ceil(shingles * m - 1e-6) + 1]], m
 
 
+def _repeated(texts: DataFrame, often: np.ndarray, shingles: float) -> np.ndarray:
+    """One bit for each of MARKS slots: whether two or more shingles of the prefixes have it. Tasks give on the slots of a
+    part in one row, and a part is counted where its rows were sent to."""
+    def pack(slots: list[np.ndarray]) -> pa.RecordBatch:
+        at = np.sort(np.concatenate(slots))
+        parts, first = np.unique(at // PART, return_index=True)
+        each = np.split((at % PART).astype(np.uint16), first[1:])
+        return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int32)), pa.array([e.tobytes() for e in each], pa.binary())], ["part", "slots"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, size = [], 0
+        for batch in batches:
+            for x in batch.column(0):
+                slots.append(_slots(prefix(np.frombuffer(x.as_buffer(), np.uint64), often, shingles)[0]))
+                size += len(slots[-1])
+                if size > 1 << 20:
+                    yield pack(slots)
+                    slots, size = [], 0
+        if slots:
+            yield pack(slots)
+
+    def count(table: pa.Table) -> pa.Table:
+        n = np.zeros(PART, np.int64)
+        for x in table.column("slots"):
+            n += np.bincount(np.frombuffer(x.as_buffer(), np.uint16), minlength=PART)
+        return pa.table({"part": table.column("part")[:1], "bits": pa.array([np.packbits(n > 1).tobytes()], pa.binary())})
+
+    found = texts.select("words").mapInArrow(run, "part int, slots binary").groupBy("part").applyInArrow(count, "part int, bits binary").toArrow()
+    out = np.zeros((MARKS // PART, PART // 8), np.uint8)
+    for part, bits in zip(*found.columns):
+        out[part.as_py()] = np.frombuffer(bits.as_buffer(), np.uint8)
+    return out.ravel()
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes >> np.uint64(20)) % np.uint64(MARKS)).astype(np.int64)
+
+
 def _by_prefix(members: DataFrame, words: DataFrame, shingles: float) -> DataFrame:
     """Members of small buckets as they are; the texts of large buckets under the shingles of their prefix,
     with the number `m` of their shingles and of those from that one on, `rest`."""
@@ -351,17 +400,23 @@ def _by_prefix(members: DataFrame, words: DataFrame, shingles: float) -> DataFra
     hot = keep(members.join(sizes, "bucket", "left_semi").select("id").distinct())
     texts = keep(words.join(hot, "id", "left_semi"))
     often = _histogram(texts)
+    marks = _repeated(texts, often, shingles)
+
+    def places(hashes: np.ndarray) -> np.ndarray:
+        at = _slots(hashes)
+        return np.flatnonzero(marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [prefix(np.frombuffer(x.as_buffer(), np.uint64), often, shingles) for x in batch.column(1)]
             if not found:
                 continue
-            n = np.array([len(f) for f, _ in found])
+            at = [places(f) for f, _ in found]
+            n = np.array([len(a) for a in at])
             m = np.repeat([m for _, m in found], n)
-            rest = m - (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+            rest = m - np.concatenate(at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column(0).to_numpy(), n)), pa.array(np.concatenate([f for f, _ in found]).astype(np.int64)),
+                [pa.array(np.repeat(batch.column(0).to_numpy(), n)), pa.array(np.concatenate([f[a] for (f, _), a in zip(found, at)]).astype(np.int64)),
                  pa.array(m.astype(np.int32)), pa.array(rest.astype(np.int32))], ["id", "bucket", "m", "rest"])
 
     dealt = texts.select("id", "words").mapInArrow(run, "id bigint, bucket bigint, m int, rest int")
@@ -384,12 +439,13 @@ def _with_labels(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return keep(now.join(mixed, "bucket"))
 
 
-def _round_pairs(now: DataFrame, led: DataFrame | None, leaders: int, shingles: float) -> tuple[DataFrame, DataFrame]:
+def _round_pairs(now: DataFrame, led: DataFrame | None, leaders: int, shingles: float, words: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(pairs a < b to compare, leaders): in small buckets all pairs of different classes; in large ones
     leaders with the members of other classes. Leaders are those members outside the bucket's main
     class with the smallest hash that did not lead there yet. When all of them led, every pair of
     classes of the bucket was compared. In buckets of the prefix filter a pair also needs as many shingles, from the
-    shared one on, as the shingle similarity asks for; a pair meets under the first shingle it shares."""
+    shared one on, as the shingle similarity asks for; a pair meets under the first shingle it shares. In large buckets the parities
+    of the two may differ in no more bits than the similarity allows them shingles that only one has."""
     def enough(m: str, rest: str) -> Column:
         need = shingles / (1 + shingles) * (F.col("m") + F.col(m))
         return (F.col("m") == 0) | (F.least("rest", rest) >= need - 1e-6)
@@ -405,7 +461,13 @@ def _round_pairs(now: DataFrame, led: DataFrame | None, leaders: int, shingles:
     chosen = able.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= leaders)
     heads = keep(chosen.select("bucket", F.col("id").alias("head"), F.col("label").alias("head_label"), F.col("m").alias("mb"),
                                F.col("rest").alias("rb")))
-    large = (now.filter(F.col("n") > SMALL).join(heads, "bucket").filter("label <> head_label").filter(enough("mb", "rb"))
+    others, led_by, near = now.filter(F.col("n") > SMALL), heads, F.lit(True)
+    if shingles > 0 and words is not None:
+        others = others.join(words.select("id", "parity"), "id")
+        led_by = heads.join(words.select(F.col("id").alias("head"), F.col("parity").alias("pb")), "head")
+        differ = sum((F.bit_count(F.get("parity", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i)))) for i in range(PARITY)), F.lit(0))
+        near = differ <= (1 - shingles) / (1 + shingles) * (F.col("m") + F.col("mb")) + 1e-6
+    large = (others.join(led_by, "bucket").filter("label <> head_label").filter(enough("mb", "rb")).filter(near)
              .select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")))
     return pairs.unionByName(large).distinct(), heads.select("bucket", F.col("head").alias("id"))
 

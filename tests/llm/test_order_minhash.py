@@ -297,3 +297,40 @@ def test_texts_that_are_not_compared_are_not_shuffled(spark):
     assert got == {0: 6, 3: 6, 5: 0, 2999: 6}
     marks = om._marks(wanted)
     assert np.unpackbits(marks).sum() == 5
+
+
+def test_parities_bound_the_shingles_that_one_text_has():
+    rng = np.random.default_rng(21)
+    for _ in range(200):
+        a = rng.integers(0, 40, rng.integers(0, 300)).astype(np.uint64)
+        b = np.concatenate([a[:rng.integers(0, len(a) + 1)], rng.integers(0, 40, rng.integers(0, 30)).astype(np.uint64)])
+        differ = sum(int(v).bit_count() for v in (om.parity(a) ^ om.parity(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(*(om.labelled(om.shingle_hashes(w)) for w in (a, b))))
+
+
+def test_a_large_bucket_makes_no_pairs_that_are_far_apart(spark, monkeypatch):
+    """Before, each leader met every member of its bucket."""
+    monkeypatch.setattr(om, "SMALL", 5)
+    form = [f"f{i}" for i in range(200)]
+    rows = [(i, " ".join(f"n{i}x{k}" if k % 16 == 5 else w for k, w in enumerate(form))) for i in range(0, 60, 2)]
+    rows += [(i + 1, t + " end") for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    words = om.word_rows(docs, docs.select(om.F.col("doc_id").alias("id")), "doc_id", "text")
+    one = words.selectExpr("id", "1L AS bucket", "196 AS m", "196 AS rest")
+    pairs, _ = om._round_pairs(om._with_labels(one, None), None, 1000, 0.8, words)
+    assert sorted(map(tuple, pairs.collect())) == [(i, i + 1) for i in range(0, 60, 2)]
+
+
+def test_shingles_of_one_prefix_make_no_rows(spark):
+    rng = np.random.default_rng(22)
+    base = rng.integers(0, 10**6, 100).astype(np.uint64)
+    texts = [np.concatenate([rng.integers(10**6, 10**12, 100).astype(np.uint64), base[:20 * (i % 2)]]) for i in range(30)]
+    rows = spark.createDataFrame([(i, bytearray(w.tobytes())) for i, w in enumerate(texts)], "id bigint, words binary").repartition(3)
+    often = np.zeros(16, np.int64)
+    marks = om._repeated(rows, often, 0.5)
+    found = np.concatenate([om.prefix(w, often, 0.5)[0] for w in texts])
+    at = om._slots(found)
+    twice = np.unpackbits(marks)[at] == 1
+    values, n = np.unique(found, return_counts=True)
+    assert twice[np.isin(found, values[n > 1])].all() and (n > 1).any()
+    assert np.unpackbits(marks).sum() < 1.2 * (n > 1).sum() + 3
