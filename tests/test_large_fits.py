@@ -142,3 +142,20 @@ def test_moments_of_a_step():
         s = p * (1 - p) * v
         np.testing.assert_allclose(got[k, :16].reshape(4, 4), (z * s[:, None]).T @ z, rtol=1e-9)
         np.testing.assert_allclose(got[k, 16:], z.T @ ((y - p) * v + s * (z @ beta[0, k])), rtol=1e-9, atol=1e-9)
+
+
+def test_forests_on_amounts(spark, monkeypatch):
+    """One pass for all folds and sets; depths are cuts of one fit; leaves are means in the label's own unit."""
+    df, x, _ = frame(spark)
+    amounts = df.withColumn("label", df.label * 30000.25 + df.id * 10).drop("fold")
+    asked = []
+    monkeypatch.setattr(M.B, "fit_trees", lambda data, jobs, fit=B.fit_trees: asked.append(jobs) or fit(data, jobs))
+    grid = T.combinations({"maxDepth": [1, 4], "minInstancesPerNode": [2, 40], "numTrees": [6]})
+    best, table, plain = T.amount_search(amounts, "id", "loan_forest", grid, 3)
+    rows = table.collect()
+    assert [len(jobs) for jobs in asked] == [6, 2] and len(plain.trees) == 200 and plain.spec.depth == 5 and plain.spec.columns == 1
+    assert len(rows) == 4 and rows[0].is_best and rows[0].metric == min(r.metric for r in rows) < rows[-1].metric
+    y = np.array([r.label for r in amounts.orderBy("id").collect()])
+    (tree,) = M.fit_amounts(*M.bin_amounts(amounts, "id"), [B.Job(B.Spec(rounds=1, depth=0, forest=True, columns=1, bagged=False))])[0].trees
+    assert tree["value"][0] == pytest.approx(y.mean(), rel=1e-6)
+    assert np.corrcoef(best.predict(best.binned(x)), y)[0, 1] > 0.5
