@@ -218,7 +218,8 @@ def penalty_paths(data: Binned, held: Sequence[int] = (-2,), folds: int = 5, alp
     scale = np.where(spread > 1e-9, spread, np.inf)  # a constant column has no coefficient
     cross = np.abs(sums[:, 2 + 2 * size:] / n[:, None] - centre * mean_y[:, None]) / scale
     whole = [k for k, p in enumerate(problems) if p[1] < 0]
-    grids = {problems[k][0]: max(cross[k].max(), 1e-9) * ratio ** np.linspace(0, 1, n_penalties) for k in whole}
+    # with room for rounding, which follows the order of rows
+    grids = {problems[k][0]: max(cross[k].max(), 1e-9) * (1 + 1e-10) * ratio ** np.linspace(0, 1, n_penalties) for k in whole}
     alpha = np.array([a for _, _, a in problems])[:, None]
     penalty = np.stack([grids[h] for h, _, _ in problems]) / np.maximum(alpha, 1e-3)
 

@@ -159,3 +159,12 @@ def test_forests_on_amounts(spark, monkeypatch):
     (tree,) = M.fit_amounts(*M.bin_amounts(amounts, "id"), [B.Job(B.Spec(rounds=1, depth=0, forest=True, columns=1, bagged=False))])[0].trees
     assert tree["value"][0] == pytest.approx(y.mean(), rel=1e-6)
     assert np.corrcoef(best.predict(best.binned(x)), y)[0, 1] > 0.5
+
+
+def test_the_first_penalty_leaves_nothing_in_any_order(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((200, 3))
+    rows = [(i, Vectors.dense(v), int(t)) for i, (v, t) in enumerate(zip(x, rng.random(200) < 1 / (1 + np.exp(-x[:, 0]))))]
+    for order in range(4):
+        df = spark.createDataFrame([rows[i] for i in rng.permutation(200)], ["id", "features", "label"]).selectExpr(f"id * {7 * order + 1} AS id", "features", "label")
+        assert (P.penalty_paths(B.bin_rows(df, "id"), n_penalties=3, steps=4)[0].coefficients[0] == 0).all()
